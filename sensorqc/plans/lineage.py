@@ -1,0 +1,22 @@
+"""Cutting lineage through the cluster's shared checkpoint folder."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """``checkpoint()`` into the folder named by ``spark.checkpoint.dir``.
+
+    Reliable checkpoints survive lost executors (local checkpoints do not).
+    Without a configured folder the lineage is kept as is: results are the
+    same, only recomputation grows.
+    """
+    spark = df.sparkSession
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        d = spark.conf.get("spark.checkpoint.dir", None)
+        if not d:
+            return df
+        sc.setCheckpointDir(d)
+    return df.checkpoint(eager=True)
