@@ -10,14 +10,15 @@ Two plans with the same result:
   are expanded and shuffled again; the sample standard deviation is combined
   exactly from per-pane moments (Chan et al.).
 
-Both work on streams (the pane form needs ``append``/``update`` mode with a
-watermark on the pane column). Windows start at multiples of the slide.
+Streams use the first form (the watermark needs a window on event time).
+Windows start at multiples of the slide.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 from sensorqc.functions.timeutil import from_micros, to_micros
 
@@ -37,6 +38,8 @@ def sliding_aggregate(readings: DataFrame, window: str = "5 minutes", slide: str
     if panes:
         return _pane_aggregate(readings, _duration_us(window), _duration_us(slide), ts_col)
     w = F.window(ts_col, window, slide)
+    # window bounds back to NTZ through microseconds (no session time zone)
+    us = to_micros if isinstance(readings.schema[ts_col].dataType, TimestampNTZType) else F.unix_micros
     return (
         readings.groupBy(w.alias("w"), "sensor_id")
         .agg(
@@ -46,8 +49,8 @@ def sliding_aggregate(readings: DataFrame, window: str = "5 minutes", slide: str
             F.avg("wind_speed").alias("avg_wind_speed"),
             F.stddev_samp("temperature").alias("temp_stddev"),
         )
-        .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+        .select(from_micros(us(F.col("w.start"))).alias("window_start"),
+                from_micros(us(F.col("w.end"))).alias("window_end"),
                 *AGG_COLUMNS[2:])
     )
 
