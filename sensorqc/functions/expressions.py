@@ -27,7 +27,13 @@ def py_fixed(value: Column | str, digits: int) -> Column:
     the ratios the metrics produce.
     """
     value = _col(value)
-    return F.format_string(f"%.{digits}f", F.bround(value, digits))
+    # A rounded double prints exactly as its decimal of the same scale; the
+    # decimal cast avoids java.util.Formatter per row. NaN/inf keep the format.
+    rounded = F.bround(value, digits)
+    fixed = rounded.cast(f"decimal(38,{digits})").cast("string")
+    return (F.when(F.isnan(value) | (F.abs(value) > F.lit(1e20)), F.format_string(f"%.{digits}f", value))
+            .when((value < 0) & (rounded == 0), F.concat(F.lit("-"), fixed))  # Python keeps "-0.0"
+            .otherwise(fixed))
 
 
 def alert_severity(metric_name: Column | str = "metric_name",

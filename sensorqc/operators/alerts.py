@@ -55,11 +55,10 @@ def build_alerts(metrics: DataFrame, timestamp: Column | None = None) -> DataFra
         "seq", "sensor_id", ts.alias("timestamp"),
         F.lit(texts.ALERT_TYPE_QUALITY).alias("alert_type"),
         alert_severity().alias("severity"),
-        severity_rank(alert_severity()).alias("severity_rank"),
         alert_message().alias("message"),
         "metric_name", "metric_order", "metric_value", "threshold",
         F.lit(False).alias("resolved"),
-    )
+    ).withColumn("severity_rank", severity_rank()).select(*ALERT_COLUMNS)
 
 
 def notify_candidates(alerts: DataFrame) -> DataFrame:

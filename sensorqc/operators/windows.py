@@ -105,10 +105,10 @@ def trailing_window(readings: DataFrame, rules: QualityRules = DEFAULT_RULES,
     )
     order = Window.partitionBy("sensor_id", "_bucket").orderBy("us")
     frame = order.rangeBetween(-(window_us - 1), Window.currentRow)
-    flagged = spread.select(
-        "*", *reading_flags(rules),
-        *jump_flags(F.lag("temperature").over(order), rules),
-    )
+    # lag once into a column: a Column reused in several expressions would be
+    # evaluated once per use
+    flagged = (spread.select("*", *reading_flags(rules), F.lag("temperature").over(order).alias("_prev_t"))
+               .select("*", *jump_flags(F.col("_prev_t"), rules)))
     stats = flagged.select(
         "seq", "sensor_id", *passthrough, "us", "timestamp", "_bucket", "_own",
         *frame_stats(frame),
