@@ -10,6 +10,7 @@ library so both sides state them once.
 from __future__ import annotations
 
 from sensorqc.functions import texts
+from sensorqc.operators import extensions as X
 from sensorqc.plans.registry import AS_OF, DAY, FIXTURE_RULES, SENSOR
 from sensorqc.rules import DEFAULT_RULES, QualityRules
 from sensorqc.sources import fixtures as fx
@@ -425,6 +426,29 @@ SELECT (SELECT CAST(count(*) AS BIGINT) FROM readings WHERE timestamp >= {_lower
        CAST(count(DISTINCT sensor_id) AS BIGINT) AS active_sensors, CAST(count(*) AS BIGINT) AS processed_count,
        'healthy' AS status
 FROM readings"""
+    on_time = f"{fx.BASE_US} + (epoch_us(ts) - {fx.BASE_US}) // {fx.SQUEEZE}"
+    q["delayed_readings"] = _with(readings_cte(late=True), f"""recv AS (
+  SELECT r.*, make_timestamp({on_time}) AS received_at FROM readings r JOIN events e ON e.event_id = r.seq)""") + (
+        "SELECT *, CAST(epoch_us(received_at) - epoch_us(timestamp) AS DOUBLE) / 1000000 AS delay_seconds FROM recv "
+        f"WHERE epoch_us(received_at) - epoch_us(timestamp) > {X.DELAY_LIMIT_SECONDS * 1_000_000}")
+    q["offline_sensors"] = _with(*R) + (
+        f"SELECT k.sensor_id, l.last_seen FROM (SELECT DISTINCT 'SNS-' || lpad(CAST(c_custkey AS VARCHAR), 5, '0') "
+        f"AS sensor_id FROM customer) k LEFT JOIN (SELECT sensor_id, max(timestamp) AS last_seen FROM readings "
+        f"GROUP BY sensor_id) l ON k.sensor_id = l.sensor_id "
+        f"WHERE l.last_seen IS NULL OR l.last_seen <= {AS_OF_SQL} - INTERVAL {FIXTURE_RULES.time_window_minutes} MINUTE")
+    season = " ".join(f"WHEN month(timestamp) IN ({', '.join(map(str, months))}) THEN {{}}"
+                      for _, months, _ in X.SEASONAL_TEMPERATURE)
+    pick = lambda k: "CASE " + season.format(*[
+        (_s(n) if k == 0 else _d(rng[k - 1])) for n, _, rng in X.SEASONAL_TEMPERATURE]) + " END"
+    q["seasonal_validity"] = _with(*R) + (
+        f"SELECT *, CASE WHEN temperature IS NULL THEN NULL "
+        f"ELSE temperature BETWEEN temperature_lo AND temperature_hi END AS temperature_in_range FROM "
+        f"(SELECT *, {pick(0)} AS season, {pick(1)} AS temperature_lo, {pick(2)} AS temperature_hi FROM readings)")
+    q["area_quality"] = _with(*M) + (
+        "SELECT area, metric_name, round(avg(metric_value), 6) AS avg_value, CAST(count(*) AS BIGINT) AS checks, "
+        "CAST(count(*) FILTER (WHERE status = 'FAIL') AS BIGINT) AS failed_checks, "
+        "(CAST(count(*) FILTER (WHERE status = 'FAIL') AS DOUBLE) / count(*)) * 100 AS failure_rate "
+        "FROM metrics GROUP BY area, metric_name")
     q["sliding_aggregate"] = _sliding_sql()
     q["sliding_aggregate_panes"] = _sliding_sql()
     return q

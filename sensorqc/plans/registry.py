@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorqc.operators import alerts as A
+from sensorqc.operators import extensions as X
 from sensorqc.operators import reports as G
 from sensorqc.operators.metrics import evaluate_metrics
 from sensorqc.operators.windows import trailing_window
@@ -158,6 +159,12 @@ def queries() -> dict[str, Query]:
             readings(s, d), metrics(s, d), alerts(s, d), AS_OF).drop("top_problematic_sensors"),
         "summary_head": lambda s, d: _r6(G.summary_head(summary(s, d), 10), "avg_value"),
         "monitor_health": lambda s, d: G.monitor_health(readings(s, d), AS_OF),
+        # described-only features (our semantics)
+        "delayed_readings": lambda s, d: X.delayed_readings(fixtures.readings_received(s, d)),
+        "offline_sensors": lambda s, d: X.offline_sensors(readings(s, d), AS_OF,
+                                                          known_sensors=fixtures.sensor_registry(s, d)),
+        "seasonal_validity": lambda s, d: X.seasonal_validity(readings(s, d)),
+        "area_quality": lambda s, d: _r6(X.area_quality(metrics(s, d)), "avg_value"),
         # sliding aggregate (batch form of the streaming query)
         "sliding_aggregate": _sliding(False),
         "sliding_aggregate_panes": _sliding(True),

@@ -35,10 +35,15 @@ def _area(user_id: Column) -> Column:
     return expr
 
 
-def readings_from_events(ev: DataFrame, late: bool = False) -> DataFrame:
-    """Project ``events`` to readings: seq, sensor_id, area, us, timestamp, 3 fields."""
+def readings_from_events(ev: DataFrame, late: bool = False, received: bool = False) -> DataFrame:
+    """Project ``events`` to readings: seq, sensor_id, area, us, timestamp, 3 fields.
+
+    ``late`` stamps every 33rd reading 10–60 s early (it arrives late);
+    ``received`` adds ``received_at``, the on-time instant of each reading.
+    """
     eid, err = F.col("event_id"), F.col("event_type") == "error"
     squeezed = F.lit(BASE_US) + F.expr(f"(timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) - {BASE_US}) div {SQUEEZE}")
+    on_time = squeezed
     if late:
         shift = (F.lit(LATE_BASE_S) + F.pmod(eid, F.lit(LATE_SPREAD))) * F.lit(1_000_000)
         squeezed = F.when(F.pmod(eid, F.lit(LATE_EVERY)) == 0, squeezed - shift).otherwise(squeezed)
@@ -54,8 +59,10 @@ def readings_from_events(ev: DataFrame, late: bool = False) -> DataFrame:
          .otherwise(k * F.lit(1.05)).cast("double").alias("humidity"),
         F.when(err | (F.pmod(eid, F.lit(13)) == 0), F.lit(None))
          .otherwise(F.col("value") / F.lit(5.0)).cast("double").alias("wind_speed"),
+        *([from_micros(on_time).alias("received_at")] if received else []),
     ).withColumn("timestamp", from_micros("us")).select(
-        "seq", "sensor_id", "area", "us", "timestamp", "temperature", "humidity", "wind_speed")
+        "seq", "sensor_id", "area", "us", "timestamp", "temperature", "humidity", "wind_speed",
+        *(["received_at"] if received else []))
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +73,17 @@ def readings_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readings_from_events(events(spark, sf_dir), late=True)
 
 
+def readings_received(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """readings_late with the time each reading was received (on time)."""
+    return readings_from_events(events(spark, sf_dir), late=True, received=True)
+
+
+def sensor_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known sensor ids, one per customer key (most never report a reading)."""
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    return c.select(F.concat(F.lit("SNS-"), F.lpad(F.col("c_custkey").cast("string"), 5, "0")).alias("sensor_id"))
+
+
 def readings_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings as JSON messages (seq, value) with injected bad messages."""
     r = readings(spark, sf_dir)
