@@ -33,6 +33,7 @@ import heapq
 import math
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -209,7 +210,10 @@ def arrival_window(readings: DataFrame, rules: QualityRules = DEFAULT_RULES,
     # 2b. chunk maxima and per-sensor chunk ranks (one row per sensor and chunk)
     chunks = base.groupBy("sensor_id", "_chunk").agg(F.max("us").alias("_cmax"))
     chunks = chunks.withColumn("_rank", F.row_number().over(Window.partitionBy("sensor_id").orderBy("_chunk")))
-    survivors, chunks = cut_lineage(survivors), cut_lineage(chunks)
+    # Both are small (about one window per sensor and chunk, one row per
+    # sensor and chunk) and feed every lookahead round and the final plan:
+    # kept in memory/disk, recomputed from their short lineage if lost.
+    survivors, chunks = survivors.persist(StorageLevel.MEMORY_AND_DISK), chunks.persist(StorageLevel.MEMORY_AND_DISK)
     pending = survivors.join(chunks.select("sensor_id", "_chunk", F.col("_rank").alias("_from")),
                              ["sensor_id", "_chunk"])
     row_cols = ["seq", "sensor_id", *passthrough, "us", *fields, *nulls]
