@@ -3,6 +3,7 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import stats_by_seq
@@ -27,15 +28,16 @@ def _stream(spark, path, schema, files_per_trigger=1):
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
-def test_stateful_stream_equals_batch_arrival_window_with_late_rows(spark):
+@pytest.mark.parametrize("engine", ["group_state", "transform"])
+def test_stateful_stream_equals_batch_arrival_window_with_late_rows(spark, engine):
     src = tempfile.mkdtemp(prefix="sensorqc-src-")
     r = fixtures.readings_late(spark, SF)
     _write_parts(r, src, [(0, 300), (300, 700), (700, 10**9)])
-    out = stateful_quality(_stream(spark, src, r.schema))
+    out = stateful_quality(_stream(spark, src, r.schema), engine=engine)
     q = start_stream(out, tempfile.mkdtemp(prefix="ck-"), fmt="memory", output_mode="append",
-                     available_now=True, query_name="r5_late")
+                     available_now=True, query_name=f"r5_late_{engine}")
     q.awaitTermination()
-    got = stats_by_seq(spark.table("r5_late"))
+    got = stats_by_seq(spark.table(f"r5_late_{engine}"))
     assert len(got) == r.count()
     assert got == stats_by_seq(arrival_window(r))
 
