@@ -165,12 +165,15 @@ def daily_summary(readings: DataFrame, metrics: DataFrame, day: str, top_k: int
     r = in_day(readings).agg(
         F.countDistinct("sensor_id").cast("long").alias("total_sensors"),
         F.count(F.lit(1)).cast("long").alias("total_records"))
-    m = in_day(metrics).agg(
-        F.count(F.lit(1)).cast("long").alias("quality_checks"),
-        F.count_if(F.col("status") == "FAIL").cast("long").alias("failed_checks"))
-    per_sensor = (in_day(metrics).where(F.col("status") == "FAIL")
-                  .groupBy("sensor_id").agg(F.count(F.lit(1)).cast("long").alias("fail_count")))
-    top = (per_sensor.orderBy(F.desc("fail_count"), F.asc("sensor_id")).limit(top_k)
+    # One aggregate per sensor (partial aggregation before the shuffle) feeds
+    # both the totals and the top-k list.
+    per_sensor = in_day(metrics).groupBy("sensor_id").agg(
+        F.count(F.lit(1)).cast("long").alias("checks"),
+        F.count_if(F.col("status") == "FAIL").cast("long").alias("fail_count"))
+    m = per_sensor.agg(F.sum("checks").cast("long").alias("quality_checks"),
+                       F.sum("fail_count").cast("long").alias("failed_checks"))
+    top = (per_sensor.where(F.col("fail_count") > 0)
+           .orderBy(F.desc("fail_count"), F.asc("sensor_id")).limit(top_k)
            .agg(F.sort_array(F.collect_list(F.struct(
                (-F.col("fail_count")).alias("_k"), F.col("sensor_id"), F.col("fail_count")))).alias("_top")))
     lines = F.transform("_top", lambda s: F.concat(
@@ -178,11 +181,12 @@ def daily_summary(readings: DataFrame, metrics: DataFrame, day: str, top_k: int
     return (
         r.crossJoin(m).crossJoin(top)  # three one-row aggregates
         .select(
-            F.lit(day).cast("date").alias("day"), "total_sensors", "total_records", "quality_checks",
-            "failed_checks",
+            F.lit(day).cast("date").alias("day"), "total_sensors", "total_records",
+            F.coalesce("quality_checks", F.lit(0)).cast("long").alias("quality_checks"),
+            F.coalesce("failed_checks", F.lit(0)).cast("long").alias("failed_checks"),
             F.format_number("total_records", 0).alias("total_records_text"),
-            F.format_number("quality_checks", 0).alias("quality_checks_text"),
-            F.format_number("failed_checks", 0).alias("failed_checks_text"),
+            F.format_number(F.coalesce("quality_checks", F.lit(0)), 0).alias("quality_checks_text"),
+            F.format_number(F.coalesce("failed_checks", F.lit(0)), 0).alias("failed_checks_text"),
             F.concat_ws("\n", lines).alias("top_sensors_text"),
         )
     )
