@@ -56,6 +56,16 @@ def jump_flags(prev_temperature: Column, rules: QualityRules) -> list[Column]:
     ]
 
 
+def _next_pair_flags(rules: QualityRules) -> list[Column]:
+    """Pair and jump flags of (this row, next row), from ``_next_t``."""
+    t, nt = F.col("temperature"), F.col("_next_t")
+    pair = t.isNotNull() & nt.isNotNull()
+    diff = nt - t
+    jump = pair & (F.abs(diff) > F.lit(rules.jump_limit)) & ~F.isnan(diff)
+    return [F.coalesce(pair.cast("int"), F.lit(0)).alias("_pair_next"),
+            F.coalesce(jump.cast("int"), F.lit(0)).alias("_jump_next")]
+
+
 def frame_stats(frame) -> list[Column]:
     """Aggregates over a frame; ``_pair``/``_jump`` of the frame's first row
     belong to a predecessor outside the frame and are taken out again."""
@@ -70,6 +80,34 @@ def frame_stats(frame) -> list[Column]:
     return out
 
 
+def prefix_stats(order, window_us: int) -> list[Column]:
+    """The same statistics as differences of running sums, O(1) per row.
+
+    A frame ``(t - W, t]`` holds what ``[-inf, t]`` holds minus ``[-inf, t - W]``;
+    Spark computes frames that start unbounded incrementally, while a bounded
+    sliding frame is re-aggregated for every row (O(window) per row). Pairs are
+    attached to their earlier element (``_pair_next``), so the pairs inside the
+    frame are the running sum minus the current row's own flag, and the first
+    timestamp of the frame is the successor of the last timestamp before it.
+    """
+    upto = order.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    before = order.rangeBetween(Window.unboundedPreceding, -window_us)
+
+    def diff(col: str) -> Column:
+        return F.sum(col).over(upto) - F.coalesce(F.sum(col).over(before), F.lit(0))
+
+    out = [(F.count(F.lit(1)).over(upto) - F.count(F.lit(1)).over(before)).alias("n")]
+    for f in READING_FIELDS:
+        out.append(diff(f"_{f}_null").alias(f"{f}_nulls"))
+    for f in READING_FIELDS:
+        out.append(diff(f"_{f}_nn").alias(f"{f}_n"))
+        out.append(diff(f"_{f}_ok").alias(f"{f}_valid"))
+    out.append((diff("_pair_next") - F.col("_pair_next")).alias("pairs"))
+    out.append((diff("_jump_next") - F.col("_jump_next")).alias("jumps"))
+    out.append(F.coalesce(F.max("_next_us").over(before), F.first("us").over(upto)).alias("_start_us"))
+    return out
+
+
 def _stats_projection(extra: list[str]) -> list[str]:
     cols = ["seq", "sensor_id"] + extra + ["us", "timestamp", "n"]
     cols += [f"{f}_nulls" for f in READING_FIELDS]
@@ -79,7 +117,7 @@ def _stats_projection(extra: list[str]) -> list[str]:
 
 
 def trailing_window(readings: DataFrame, rules: QualityRules = DEFAULT_RULES,
-                    bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
+                    bucket_us: int = DEFAULT_BUCKET_US, method: str = "prefix") -> DataFrame:
     """Window statistics per reading (event-time form).
 
     ``readings`` needs ``seq, sensor_id, us, timestamp`` and the three fields;
@@ -105,15 +143,26 @@ def trailing_window(readings: DataFrame, rules: QualityRules = DEFAULT_RULES,
     )
     order = Window.partitionBy("sensor_id", "_bucket").orderBy("us")
     frame = order.rangeBetween(-(window_us - 1), Window.currentRow)
-    # lag once into a column: a Column reused in several expressions would be
-    # evaluated once per use
-    flagged = (spread.select("*", *reading_flags(rules), F.lag("temperature").over(order).alias("_prev_t"))
-               .select("*", *jump_flags(F.col("_prev_t"), rules)))
-    stats = flagged.select(
-        "seq", "sensor_id", *passthrough, "us", "timestamp", "_bucket", "_own",
-        *frame_stats(frame),
-        F.min("us").over(frame).alias("_start_us"),
-    )
+    if method == "prefix":
+        # flags of the pair (row, next row), attached to the earlier row
+        nxt = (spread.select("*", *reading_flags(rules),
+                             F.lead("temperature").over(order).alias("_next_t"),
+                             F.lead("us").over(order).alias("_next_us")))
+        flagged = nxt.select("*", *_next_pair_flags(rules))
+        stats = flagged.select(
+            "seq", "sensor_id", *passthrough, "us", "timestamp", "_bucket", "_own",
+            *prefix_stats(order, window_us),
+        )
+    else:
+        # lag once into a column: a Column reused in several expressions would
+        # be evaluated once per use
+        flagged = (spread.select("*", *reading_flags(rules), F.lag("temperature").over(order).alias("_prev_t"))
+                   .select("*", *jump_flags(F.col("_prev_t"), rules)))
+        stats = flagged.select(
+            "seq", "sensor_id", *passthrough, "us", "timestamp", "_bucket", "_own",
+            *frame_stats(frame),
+            F.min("us").over(frame).alias("_start_us"),
+        )
     return (
         stats.where(F.col("_bucket") == F.col("_own"))
         .withColumn("window_start", from_micros("_start_us"))

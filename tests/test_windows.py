@@ -17,15 +17,29 @@ def _rows(df):
             for r in df.orderBy("seq").collect()]
 
 
-def test_event_time_window_equals_replay_for_in_order_input(spark):
+@pytest.mark.parametrize("method", ["prefix", "frame"])
+def test_event_time_window_equals_replay_for_in_order_input(spark, method):
     r = fixtures.readings(spark, SF)
-    assert stats_by_seq(trailing_window(r)) == replay(_rows(r))
+    assert stats_by_seq(trailing_window(r, method=method)) == replay(_rows(r))
 
 
 @pytest.mark.parametrize("bucket_us", [300_000_000, 420_000_000, 3_600_000_000])
-def test_time_buckets_do_not_change_the_result(spark, bucket_us):
+@pytest.mark.parametrize("method", ["prefix", "frame"])
+def test_time_buckets_do_not_change_the_result(spark, bucket_us, method):
     r = fixtures.readings(spark, SF)
-    assert stats_by_seq(trailing_window(r, bucket_us=bucket_us)) == stats_by_seq(trailing_window(r, bucket_us=10**15))
+    assert stats_by_seq(trailing_window(r, bucket_us=bucket_us, method=method)) == \
+        stats_by_seq(trailing_window(r, bucket_us=10**15, method="frame"))
+
+
+def test_prefix_form_on_edge_rows(spark):
+    import math
+    from helpers import readings_df
+    rows = [(1, "A", 0, 0.0, 1.0, 1.0), (2, "A", 1, math.nan, 1.0, 1.0), (3, "A", 2, 50.0, None, 1.0),
+            (4, "A", 300, None, 1.0, 1.0), (5, "A", 301, 12.0, 1.0, 1.0), (6, "A", 301.5, 30.0, 1.0, 1.0),
+            (7, "B", 5, 1.0, 1.0, 1.0), (8, "A", 900, 1.0, 1.0, 1.0)]
+    df = readings_df(spark, rows)
+    expect = replay([(s, k, BASE + int(round(sec * 1e6)), t, h, w) for s, k, sec, t, h, w in rows])
+    assert stats_by_seq(trailing_window(df, bucket_us=300_000_000)) == expect
 
 
 def test_bucket_shorter_than_window_is_refused(spark):
