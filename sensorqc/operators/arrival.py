@@ -8,8 +8,10 @@ come back when an older one arrives.
 
 Plan (batch), built so that no task holds more than one chunk of one sensor:
 
-1. Readings are cut into chunks of ``chunk_seqs`` consecutive arrival numbers.
-   A hot sensor is thereby split into many independent units of work.
+1. Each sensor's readings are cut into chunks of consecutive arrival numbers
+   covering about an hour of its event time (or ``chunk_seqs`` numbers). A hot
+   sensor is thereby split into many independent units of work, and a chunk
+   spans many windows, so few readings outlive it.
 2. The state a chunk starts with is the window at its first arrival: the
    earlier readings not yet removed. A reading survives its own chunk when no
    later reading of the chunk is a window newer (a reverse running ``max``).
@@ -42,7 +44,8 @@ from sensorqc.functions.timeutil import from_micros
 from sensorqc.plans.lineage import cut_lineage
 from sensorqc.rules import DEFAULT_RULES, QualityRules
 
-DEFAULT_CHUNK_SEQS = 1 << 22
+DEFAULT_CHUNK_SEQS = None  # adaptive: about one hour of each sensor's readings
+DEFAULT_CHUNK_SPAN_US = 3_600_000_000
 DEFAULT_LOOKAHEAD = 2
 
 _COUNTS = ("n", "temperature_nulls", "humidity_nulls", "wind_speed_nulls",
@@ -185,21 +188,47 @@ def _replay_partition(rules: QualityRules, passthrough: tuple[str, ...]):
     return run
 
 
+def _adaptive_chunks(readings: DataFrame, span_us: int) -> DataFrame:
+    """Per sensor: first arrival number and a chunk length (in arrival numbers)
+    covering about ``span_us`` of that sensor's event time.
+
+    A chunk must span many windows, or every reading would survive it and be
+    copied into the following chunks; a fixed length in arrival numbers spans
+    little time when many sensors report. One row per sensor, computed with
+    partial aggregation (skew-safe).
+    """
+    st = readings.groupBy("sensor_id").agg(
+        F.min("seq").alias("_seq0"), F.max("seq").alias("_seq1"),
+        F.min("us").alias("_us0"), F.max("us").alias("_us1"))
+    length = F.ceil((F.col("_seq1") - F.col("_seq0") + 1).cast("double") * F.lit(float(span_us))
+                    / F.greatest(F.col("_us1") - F.col("_us0"), F.lit(1)).cast("double")).cast("long")
+    return st.select("sensor_id", "_seq0", F.greatest(length, F.lit(1)).alias("_len"))
+
+
 def arrival_window(readings: DataFrame, rules: QualityRules = DEFAULT_RULES,
-                   chunk_seqs: int = DEFAULT_CHUNK_SEQS, lookahead: int = DEFAULT_LOOKAHEAD) -> DataFrame:
+                   chunk_seqs: int | None = None, lookahead: int = DEFAULT_LOOKAHEAD,
+                   chunk_span_us: int = DEFAULT_CHUNK_SPAN_US) -> DataFrame:
     """Window statistics per reading in arrival (``seq``) order.
 
     Same output columns as :func:`sensorqc.operators.windows.trailing_window`;
-    ``window_start`` is the first point in arrival order.
+    ``window_start`` is the first point in arrival order. Chunks cover about
+    ``chunk_span_us`` of each sensor's time (default one hour, 12 windows);
+    ``chunk_seqs`` fixes their length in arrival numbers instead.
     """
     W = rules.window_us
     passthrough = tuple(c for c in readings.columns if c in ("area",))
     fields = ("temperature", "humidity", "wind_speed")
     nulls = [f"_{f}_null" for f in fields]
-    base = readings.select(
+    if chunk_seqs is None:
+        sized = readings.join(_adaptive_chunks(readings, chunk_span_us), "sensor_id")
+        chunk = F.expr("(seq - _seq0) div _len")
+    else:
+        sized = readings
+        chunk = F.expr(f"(seq - pmod(seq, {chunk_seqs})) div {chunk_seqs}")
+    base = sized.select(
         "seq", "sensor_id", *passthrough, "us", *fields,
         *[F.col(f).isNull().alias(n) for f, n in zip(fields, nulls)],
-        F.expr(f"(seq - pmod(seq, {chunk_seqs})) div {chunk_seqs}").alias("_chunk"),
+        chunk.alias("_chunk"),
     )
     # 2a. survivors of their own chunk (reverse running max over later arrivals)
     later = (Window.partitionBy("sensor_id", "_chunk").orderBy(F.desc("seq"))

@@ -21,8 +21,8 @@ def window_stats(readings: DataFrame, rules: QualityRules = DEFAULT_RULES, form:
     if form == "event_time":
         return trailing_window(readings, rules, bucket_us)
     if form == "arrival":
-        from sensorqc.operators.arrival import DEFAULT_CHUNK_SEQS, arrival_window
-        return arrival_window(readings, rules, chunk_seqs or DEFAULT_CHUNK_SEQS)
+        from sensorqc.operators.arrival import arrival_window
+        return arrival_window(readings, rules, chunk_seqs)
     raise ValueError(f"unknown window form {form!r}")
 
 

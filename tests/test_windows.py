@@ -47,7 +47,7 @@ def test_bucket_shorter_than_window_is_refused(spark):
         trailing_window(fixtures.readings(spark, SF), bucket_us=1_000_000)
 
 
-@pytest.mark.parametrize("chunk_seqs,lookahead", [(1 << 22, 2), (40, 1), (97, 2), (7, 1)])
+@pytest.mark.parametrize("chunk_seqs,lookahead", [(None, 2), (1 << 22, 2), (40, 1), (97, 2), (7, 1)])
 def test_arrival_window_equals_replay_with_late_rows(spark, chunk_seqs, lookahead):
     r = fixtures.readings_late(spark, SF)
     got = stats_by_seq(arrival_window(r, chunk_seqs=chunk_seqs, lookahead=lookahead))
@@ -69,6 +69,8 @@ def test_arrival_window_sensor_going_back_in_time(spark):
     expect = replay([(s, k, BASE + int(round(sec * 1e6)), t, h, w) for s, k, sec, t, h, w in rows])
     for chunk_seqs in (10, 33, 1000):
         assert stats_by_seq(arrival_window(df, chunk_seqs=chunk_seqs, lookahead=1)) == expect
+    # adaptive chunks a few windows long
+    assert stats_by_seq(arrival_window(df, lookahead=1, chunk_span_us=600_000_000)) == expect
 
 
 def test_random_sequences_property(spark):
