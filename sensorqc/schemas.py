@@ -7,7 +7,6 @@ from pyspark.sql.types import (
     DateType,
     DoubleType,
     FloatType,
-    IntegerType,
     LongType,
     StringType,
     StructField,
@@ -98,5 +97,3 @@ WINDOW_STATS_COLUMNS = (
     "wind_speed_n", "wind_speed_valid", "pairs", "jumps",
     "window_start", "window_end",
 )
-
-SEVERITY_RANK_TYPE = IntegerType()

@@ -8,7 +8,7 @@ messages are kept, with a reason, for a reject table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorqc.functions.timeutil import to_micros
@@ -25,9 +25,9 @@ def read_readings_stream(spark: SparkSession, fmt: str = "kafka", options: dict
 
     ``fmt='kafka'`` subscribes to a topic (pass ``kafka.bootstrap.servers``,
     ``subscribe``; ``startingOffsets`` defaults to ``latest``) and numbers
-    messages by (partition, offset). File formats (``json``/``text``/
-    ``parquet``) read message files from ``path``; ``text`` and ``json`` give one
-    message per line. The caller owns the session and the jars.
+    messages by (partition, offset). File formats (``parquet``, ``json``, ...)
+    read message files from ``path`` and must carry ``seq`` and ``value``
+    columns. The caller owns the session and the jars.
     """
     opts = dict(options or {})
     reader = spark.readStream.format(fmt)
@@ -42,8 +42,10 @@ def read_readings_stream(spark: SparkSession, fmt: str = "kafka", options: dict
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.options(**opts).load(path)
-    if fmt in ("text", "json") and "value" in df.columns and "seq" not in df.columns:
-        df = df.withColumn("seq", F.monotonically_increasing_id())
+    if "seq" not in df.columns:
+        # Generated ids restart with every micro-batch, so they cannot order
+        # arrivals across batches; the files must carry the arrival number.
+        raise ValueError("file sources need a 'seq' (arrival number) column next to 'value'")
     return df
 
 
@@ -89,6 +91,3 @@ def reject_readings(parsed: DataFrame) -> DataFrame:
     cols = [c for c in ("seq",) if c in parsed.columns]
     return parsed.where(F.col("reject_reason").isNotNull()).select(*cols, "reject_reason", "raw")
 
-
-def is_accepted() -> Column:
-    return F.col("reject_reason").isNull()
