@@ -8,10 +8,10 @@ come back when an older one arrives.
 
 Plan (batch), built so that no task holds more than one chunk of one sensor:
 
-1. Each sensor's readings are cut into chunks of consecutive arrival numbers
-   covering about an hour of its event time (or ``chunk_seqs`` numbers). A hot
-   sensor is thereby split into many independent units of work, and a chunk
-   spans many windows, so few readings outlive it.
+1. Readings are cut into chunks of consecutive arrival numbers covering about
+   an hour of event time (sized from the overall arrival rate, or
+   ``chunk_seqs``). A hot sensor is thereby split into many independent units
+   of work, and a chunk spans many windows, so few readings outlive it.
 2. The state a chunk starts with is the window at its first arrival: the
    earlier readings not yet removed. A reading survives its own chunk when no
    later reading of the chunk is a window newer (a reverse running ``max``).
@@ -44,7 +44,7 @@ from sensorqc.functions.timeutil import from_micros
 from sensorqc.plans.lineage import cut_lineage
 from sensorqc.rules import DEFAULT_RULES, QualityRules
 
-DEFAULT_CHUNK_SEQS = None  # adaptive: about one hour of each sensor's readings
+DEFAULT_CHUNK_SEQS = None  # adaptive: about one hour of arrivals
 DEFAULT_CHUNK_SPAN_US = 3_600_000_000
 DEFAULT_LOOKAHEAD = 2
 
@@ -188,21 +188,19 @@ def _replay_partition(rules: QualityRules, passthrough: tuple[str, ...]):
     return run
 
 
-def _adaptive_chunks(readings: DataFrame, span_us: int) -> DataFrame:
-    """Per sensor: first arrival number and a chunk length (in arrival numbers)
-    covering about ``span_us`` of that sensor's event time.
+def adaptive_chunk_seqs(readings: DataFrame, span_us: int) -> int:
+    """Chunk length in arrival numbers covering about ``span_us`` of event time.
 
     A chunk must span many windows, or every reading would survive it and be
     copied into the following chunks; a fixed length in arrival numbers spans
-    little time when many sensors report. One row per sensor, computed with
-    partial aggregation (skew-safe).
+    little time when many sensors report. One partial aggregate over two
+    columns; four numbers reach the driver.
     """
-    st = readings.groupBy("sensor_id").agg(
-        F.min("seq").alias("_seq0"), F.max("seq").alias("_seq1"),
-        F.min("us").alias("_us0"), F.max("us").alias("_us1"))
-    length = F.ceil((F.col("_seq1") - F.col("_seq0") + 1).cast("double") * F.lit(float(span_us))
-                    / F.greatest(F.col("_us1") - F.col("_us0"), F.lit(1)).cast("double")).cast("long")
-    return st.select("sensor_id", "_seq0", F.greatest(length, F.lit(1)).alias("_len"))
+    row = readings.agg(F.min("seq").alias("s0"), F.max("seq").alias("s1"),
+                       F.min("us").alias("u0"), F.max("us").alias("u1")).first()
+    if row is None or row.s0 is None:
+        return 1
+    return max(1, math.ceil((row.s1 - row.s0 + 1) * span_us / max(row.u1 - row.u0, 1)))
 
 
 def arrival_window(readings: DataFrame, rules: QualityRules = DEFAULT_RULES,
@@ -212,20 +210,17 @@ def arrival_window(readings: DataFrame, rules: QualityRules = DEFAULT_RULES,
 
     Same output columns as :func:`sensorqc.operators.windows.trailing_window`;
     ``window_start`` is the first point in arrival order. Chunks cover about
-    ``chunk_span_us`` of each sensor's time (default one hour, 12 windows);
-    ``chunk_seqs`` fixes their length in arrival numbers instead.
+    ``chunk_span_us`` of event time (default one hour, 12 windows), sized from
+    the overall arrival rate; ``chunk_seqs`` fixes their length instead.
     """
     W = rules.window_us
     passthrough = tuple(c for c in readings.columns if c in ("area",))
     fields = ("temperature", "humidity", "wind_speed")
     nulls = [f"_{f}_null" for f in fields]
     if chunk_seqs is None:
-        sized = readings.join(_adaptive_chunks(readings, chunk_span_us), "sensor_id")
-        chunk = F.expr("(seq - _seq0) div _len")
-    else:
-        sized = readings
-        chunk = F.expr(f"(seq - pmod(seq, {chunk_seqs})) div {chunk_seqs}")
-    base = sized.select(
+        chunk_seqs = adaptive_chunk_seqs(readings, chunk_span_us)
+    chunk = F.expr(f"(seq - pmod(seq, {chunk_seqs})) div {chunk_seqs}")
+    base = readings.select(
         "seq", "sensor_id", *passthrough, "us", *fields,
         *[F.col(f).isNull().alias(n) for f, n in zip(fields, nulls)],
         chunk.alias("_chunk"),
@@ -236,13 +231,16 @@ def arrival_window(readings: DataFrame, rules: QualityRules = DEFAULT_RULES,
     survivors = (base.withColumn("_later_max", F.max("us").over(later))
                  .where(F.col("_later_max").isNull() | (F.col("_later_max") < F.col("us") + F.lit(W)))
                  .drop("_later_max"))
-    # 2b. chunk maxima and per-sensor chunk ranks (one row per sensor and chunk)
-    chunks = base.groupBy("sensor_id", "_chunk").agg(F.max("us").alias("_cmax"))
+    # Small (about one window per sensor and chunk) and used by every
+    # lookahead round and the final plan: kept in memory/disk, recomputed from
+    # its short lineage if an executor is lost.
+    survivors = survivors.persist(StorageLevel.MEMORY_AND_DISK)
+    # 2b. chunk maxima and per-sensor chunk ranks (one row per sensor and
+    # chunk). A chunk's newest reading always survives it, so the maxima come
+    # from the survivors, without another pass over the readings.
+    chunks = survivors.groupBy("sensor_id", "_chunk").agg(F.max("us").alias("_cmax"))
     chunks = chunks.withColumn("_rank", F.row_number().over(Window.partitionBy("sensor_id").orderBy("_chunk")))
-    # Both are small (about one window per sensor and chunk, one row per
-    # sensor and chunk) and feed every lookahead round and the final plan:
-    # kept in memory/disk, recomputed from their short lineage if lost.
-    survivors, chunks = survivors.persist(StorageLevel.MEMORY_AND_DISK), chunks.persist(StorageLevel.MEMORY_AND_DISK)
+    chunks = chunks.persist(StorageLevel.MEMORY_AND_DISK)
     pending = survivors.join(chunks.select("sensor_id", "_chunk", F.col("_rank").alias("_from")),
                              ["sensor_id", "_chunk"])
     row_cols = ["seq", "sensor_id", *passthrough, "us", *fields, *nulls]

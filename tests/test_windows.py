@@ -71,6 +71,7 @@ def test_arrival_window_sensor_going_back_in_time(spark):
         assert stats_by_seq(arrival_window(df, chunk_seqs=chunk_seqs, lookahead=1)) == expect
     # adaptive chunks a few windows long
     assert stats_by_seq(arrival_window(df, lookahead=1, chunk_span_us=600_000_000)) == expect
+    assert stats_by_seq(arrival_window(df, lookahead=1, chunk_span_us=60_000_000)) == expect
 
 
 def test_random_sequences_property(spark):
