@@ -34,7 +34,7 @@ HEADLINE = [
 ]
 
 
-def stream_throughput(spark, sf_dir: str, files: int = 10) -> dict:
+def stream_throughput(spark, sf_dir: str, files: int = 10, state_buckets: int | None = None) -> dict:
     """R5 end to end: message files -> parse -> stateful window -> metrics.
 
     Readings with late rows are written as JSON message files into a fresh
@@ -56,7 +56,7 @@ def stream_throughput(spark, sf_dir: str, files: int = 10) -> dict:
      .write.parquet(f"{scratch}/msgs"))
     stream = read_readings_stream(spark, "parquet", path=f"{scratch}/msgs", schema=msgs.schema,
                                   options={"maxFilesPerTrigger": 1})
-    stats = stateful_quality(accept_readings(parse_readings(stream)))
+    stats = stateful_quality(accept_readings(parse_readings(stream)), state_buckets=state_buckets)
 
     def sink(batch, _):
         evaluate_all(batch).write.format("noop").mode("overwrite").save()
@@ -95,6 +95,7 @@ def main() -> None:
     times = run_all()
     readings = spark.read.parquet(f"{sf_dir}/events.parquet").count()
     stream = stream_throughput(spark, sf_dir)
+    stream_bucketed = dict(stream_throughput(spark, sf_dir, state_buckets=64), state_buckets=64)
     total = round(sum(times.values()), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({
@@ -108,6 +109,7 @@ def main() -> None:
         if times.get("quality_metrics") else None,
         "cpus": cpus,
         "stream": stream,
+        "stream_bucketed_state": stream_bucketed,
         "cold_first_pass_total": round(sum(cold.values()), 3),
         "cold_first_pass": cold,
     }))

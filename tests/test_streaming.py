@@ -28,16 +28,17 @@ def _stream(spark, path, schema, files_per_trigger=1):
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
-@pytest.mark.parametrize("engine", ["group_state", "transform"])
-def test_stateful_stream_equals_batch_arrival_window_with_late_rows(spark, engine):
+@pytest.mark.parametrize("engine,buckets", [("group_state", None), ("transform", None), ("group_state", 4)])
+def test_stateful_stream_equals_batch_arrival_window_with_late_rows(spark, engine, buckets):
     src = tempfile.mkdtemp(prefix="sensorqc-src-")
     r = fixtures.readings_late(spark, SF)
     _write_parts(r, src, [(0, 300), (300, 700), (700, 10**9)])
-    out = stateful_quality(_stream(spark, src, r.schema), engine=engine)
+    out = stateful_quality(_stream(spark, src, r.schema), engine=engine, state_buckets=buckets)
+    name = f"r5_late_{engine}_{buckets}"
     q = start_stream(out, tempfile.mkdtemp(prefix="ck-"), fmt="memory", output_mode="append",
-                     available_now=True, query_name=f"r5_late_{engine}")
+                     available_now=True, query_name=name)
     q.awaitTermination()
-    got = stats_by_seq(spark.table(f"r5_late_{engine}"))
+    got = stats_by_seq(spark.table(name))
     assert len(got) == r.count()
     assert got == stats_by_seq(arrival_window(r))
 
