@@ -3,7 +3,11 @@
 For each reading of a sensor the window holds the sensor's readings with
 ``ts > t - 5 min`` and ``ts <= t``. One ``Window`` pass computes everything the
 metrics need: size, null counts, in-range counts, the first timestamp, and the
-number of adjacent temperature pairs and of jumps among them.
+number of adjacent temperature pairs and of jumps among them. By default each
+count is a difference of two running sums (``[-inf, t]`` minus
+``[-inf, t - 5 min]``), which Spark computes incrementally, so the cost per row
+does not grow with the window; ``method="frame"`` uses the bounded frame
+directly.
 
 Scale: partitioning only by ``sensor_id`` would put a sensor's whole history
 into one task, and one sensor may hold a third of all rows. Rows are therefore
