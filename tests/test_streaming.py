@@ -142,3 +142,17 @@ def test_replayed_micro_batch_replaces_its_output(spark):
     fan(stats, 7)  # the same batch again, as after a failure
     again = {t: spark.read.parquet(f"{base}/{t}").count() for t in ("sensor_data", "quality_metrics", "alerts")}
     assert first == again and first["sensor_data"] == r.count()
+
+
+def test_processed_count_reaches_progress(spark):
+    from sensorqc.streaming.progress import observe_processed, processed_in_recent_batches
+    src = tempfile.mkdtemp(prefix="sensorqc-src-")
+    r = fixtures.readings(spark, SF)
+    _write_parts(r, src, [(0, 500), (500, 10**9)])
+    counted = observe_processed(_stream(spark, src, r.schema))
+    q = start_stream(counted, tempfile.mkdtemp(prefix="ck-"), fmt="noop", output_mode="append",
+                     available_now=True)
+    q.awaitTermination()
+    batches = [p for p in q.recentProgress if p["numInputRows"]]
+    observed = sum(int(p["observedMetrics"]["sensorqc_progress"]["processed"]) for p in batches)
+    assert observed == processed_in_recent_batches(q) == r.count()
