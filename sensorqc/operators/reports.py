@@ -28,8 +28,11 @@ def within_lookback(df: DataFrame, as_of: datetime | None = AS_OF_DEFAULT, hours
 
 
 def for_sensor(df: DataFrame, sensor_id: str | None) -> DataFrame:
-    """P5: optional sensor equality; the id is a literal, never SQL text."""
-    return df if sensor_id is None else df.where(F.col("sensor_id") == F.lit(sensor_id))
+    """P5: optional sensor equality; the id is a literal, never SQL text.
+
+    An empty id means no filter, like a missing one.
+    """
+    return df if not sensor_id else df.where(F.col("sensor_id") == F.lit(sensor_id))
 
 
 def sensor_data_count(readings: DataFrame, sensor_id: str | None = None, hours: float = 24,

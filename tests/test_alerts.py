@@ -80,3 +80,4 @@ def test_quote_in_sensor_id_matches_literally(spark):
     from helpers import readings_df
     r = readings_df(spark, [(1, "CHI-O'H-063", 0, 1.0, 1.0, 1.0), (2, "CHI-DOW-001", 1, 1.0, 1.0, 1.0)])
     assert G.sensor_data_count(r, "CHI-O'H-063", hours=10**6).first()["count"] == 1
+    assert G.sensor_data_count(r, "", hours=10**6).first()["count"] == 2  # empty id: no filter
