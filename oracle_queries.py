@@ -307,8 +307,10 @@ def _sliding_sql() -> str:
   SELECT r.*, time_bucket(INTERVAL 1 MINUTE, timestamp) - k * INTERVAL 1 MINUTE AS window_start
   FROM readings r, range(0, 5) t(k))""") + """
 SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, sensor_id, count(*) AS record_count,
-       round(avg(temperature), 6) AS avg_temperature, round(avg(humidity), 6) AS avg_humidity,
-       round(avg(wind_speed), 6) AS avg_wind_speed, round(stddev_samp(temperature), 6) AS temp_stddev
+       round(avg(CAST(temperature AS FLOAT)), 6) AS avg_temperature,
+       round(avg(CAST(humidity AS FLOAT)), 6) AS avg_humidity,
+       round(avg(CAST(wind_speed AS FLOAT)), 6) AS avg_wind_speed,
+       round(stddev_samp(CAST(temperature AS FLOAT)), 6) AS temp_stddev
 FROM exp GROUP BY window_start, sensor_id"""
 
 

@@ -22,6 +22,7 @@ from pyspark.sql.types import TimestampNTZType
 
 from sensorqc.functions.timeutil import from_micros, to_micros
 
+FIELDS = ("temperature", "humidity", "wind_speed")
 AGG_COLUMNS = ("window_start", "window_end", "sensor_id", "record_count",
                "avg_temperature", "avg_humidity", "avg_wind_speed", "temp_stddev")
 
@@ -33,8 +34,15 @@ def _duration_us(text: str) -> int:
 
 
 def sliding_aggregate(readings: DataFrame, window: str = "5 minutes", slide: str = "1 minute",
-                      panes: bool = False, ts_col: str = "timestamp") -> DataFrame:
-    """Count, three averages and the sample stddev of temperature per window."""
+                      panes: bool = False, ts_col: str = "timestamp", field_type: str = "float") -> DataFrame:
+    """Count, three averages and the sample stddev of temperature per window.
+
+    The aggregated readings are typed ``field_type`` first: the sliding
+    aggregate's message schema declares the three fields as 32-bit floats, so
+    averages are taken over float-rounded values (``"double"`` keeps them).
+    """
+    readings = readings.select(*[F.col(c).cast(field_type).alias(c) if c in FIELDS else F.col(c)
+                                 for c in readings.columns])
     if panes:
         return _pane_aggregate(readings, _duration_us(window), _duration_us(slide), ts_col)
     w = F.window(ts_col, window, slide)
