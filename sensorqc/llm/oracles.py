@@ -1,5 +1,7 @@
 """DuckDB SQL of the registered queries that SQL can express."""
 
+from sensorqc.llm.secrets import RULES
+
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 OP2 = rf"""
@@ -68,4 +70,45 @@ select doc_id, count(*)::bigint as n_lines, count(o.key)::bigint as n_dropped,
 from k left join often o using (key) group by doc_id
 """
 
-SQL: dict[str, str] = {"op2_mix": OP2, "op4_rules": OP4, "op5_line_dedup": OP5}
+OP6 = """
+with p as (
+  select page_id, encode(coalesce(html, '')) as b, sha1(coalesce(html, '')) as h from pages),
+f as (select *, min(page_id) over (partition by b) as first from p)
+select page_id, octet_length(b)::bigint as payload_bytes,
+  array_to_string([translate(to_base(('0x' || substr(h, 5 * i + 1, 5))::bigint, 32, 4),
+    '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') for i in range(8)], '') as payload_digest,
+  case when page_id = first then 'response' else 'revisit' end as record_type,
+  case when page_id > first then first end as refers_to
+from f
+"""
+
+
+def _quoted(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+_MATCHES = " union all ".join(
+    f"""select doc_id, {k} as rule, '{r.kind}' as kind, {r.least} as least,
+  unnest([length(x) for x in string_split_regex(text, {_quoted(r.pattern)})]) as gap,
+  unnest([length(x) for x in regexp_extract_all(text, {_quoted(r.pattern)}, 0)]) as whole,
+  unnest([length(x) for x in regexp_extract_all(text, {_quoted(r.pattern)}, {r.group})]) as tested,
+  unnest(range(len(regexp_extract_all(text, {_quoted(r.pattern)}, 0)))) as pos
+from d where regexp_matches(text, {_quoted(r.pattern)})""" for k, r in enumerate(RULES))
+
+OP7 = f"""
+with d as (select doc_id, coalesce(text, '') as text from documents),
+m as ({_MATCHES}),
+e as (
+  select *, sum(gap + whole) over (partition by doc_id, rule order by pos)::bigint as stop from m where pos is not null),
+s as (select doc_id, rule, kind, stop - whole as start, stop from e where tested >= least),
+t as (
+  select doc_id, string_agg(kind || ':' || start || ':' || stop, ',' order by start, rule) as spans,
+    string_agg(kind || ':' || start || ':' || stop, ',' order by start, rule) filter (where rule < 3) as base,
+    count(*) filter (where rule = 0) as n_assign, count(*) filter (where rule = 1) as n_access,
+    count(*) filter (where rule = 2) as n_hex from s group by doc_id)
+select doc_id, coalesce(n_assign, 0)::bigint as n_assign, coalesce(n_access, 0)::bigint as n_access,
+  coalesce(n_hex, 0)::bigint as n_hex, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from d left join t using (doc_id)
+"""
+
+SQL: dict[str, str] = {"op2_mix": OP2, "op4_rules": OP4, "op5_line_dedup": OP5, "op6_warc": OP6, "op7_secrets": OP7}

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorqc.llm import line_dedup, mixing, quality_rules
-from sensorqc.llm.common import table
+from sensorqc.llm import line_dedup, mixing, quality_rules, secrets, warc
+from sensorqc.llm.common import shared_folder, table
 
 
 def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,8 +29,31 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", *[F.col(f"{out}.{c}").alias(c) for c in ("n_lines", "n_dropped", "kept_sha256")])
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "warc")
+    warc.write_archive(table(spark, sf_dir, "pages"), folder, min_bytes=0)
+    return warc.records(spark, folder).select("page_id", F.col("n_bytes").alias("payload_bytes"), "payload_digest",
+                                              "record_type", "refers_to")
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ledger = secrets.BlobLedger.create(spark, shared_folder(spark, "secrets"))
+    ledger.add(table(spark, sf_dir, "documents"))
+    ledger.scan()
+    spans = F.coalesce("spans", F.array().cast("array<struct<start:int,rule:int,end:int>>"))
+    base = F.filter("spans", lambda s: s["rule"] < len(secrets.BASE))
+    rules = F.transform("spans", lambda s: s["rule"])
+    counts = [(F.size("spans") - F.size(F.array_remove(rules, k))).cast("long").alias(f"n_{r.kind}")
+              for k, r in enumerate(secrets.BASE)]
+    return (ledger.report().withColumn("spans", spans)
+            .select("doc_id", *counts, F.sha2(secrets.span_text(base), 256).alias("base_sha256"),
+                    secrets.span_text(F.col("spans")).alias("spans")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix": op2_mix,
     "op4_rules": op4_rules,
     "op5_line_dedup": op5_line_dedup,
+    "op6_warc": op6_warc,
+    "op7_secrets": op7_secrets,
 }
