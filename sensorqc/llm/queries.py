@@ -7,8 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorqc.llm import line_dedup, mixing, quality_rules, secrets, warc
-from sensorqc.llm.common import shared_folder, table
+from sensorqc.llm import line_dedup, mixing, packing, quality_rules, secrets, token_counts, warc
+from sensorqc.llm.common import shared_folder, table, written
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "tokens")
+    order = written(token_counts.write_token_files(table(spark, sf_dir, "documents"), folder), "token-order")
+    counts = token_counts.scan_token_files(order, folder)
+    return order.join(counts, ["path", "ordinal"], "left").select("doc_id", "n_tokens")
 
 
 def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,10 +57,16 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                     secrets.span_text(F.col("spans")).alias("spans")))
 
 
+def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), seq_len=1024, end_id=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
     "op2_mix": op2_mix,
     "op4_rules": op4_rules,
     "op5_line_dedup": op5_line_dedup,
     "op6_warc": op6_warc,
     "op7_secrets": op7_secrets,
+    "op8_pack": op8_pack,
 }
