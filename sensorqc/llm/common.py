@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import itertools
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,3 +58,20 @@ def fresh(df: DataFrame, name: str) -> str:
 def only(df: DataFrame, **columns: str) -> DataFrame:
     """Just the named input columns, under the operator's own names."""
     return df.select(*[F.col(f"`{c}`").alias(k) for k, c in columns.items()])
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
+    """(key, rows) of each run of equal keys; the batches must be sorted by them."""
+    at, held = None, []
+    for batch in batches:
+        start = 0
+        for key, same in itertools.groupby(zip(*(batch.column(k).to_pylist() for k in keys))):
+            n = sum(1 for _ in same)
+            if key != at and held:
+                yield at, pa.Table.from_batches(held)
+                held = []
+            at = key
+            held.append(batch.slice(start, n))
+            start += n
+    if held:
+        yield at, pa.Table.from_batches(held)

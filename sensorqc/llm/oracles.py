@@ -111,4 +111,23 @@ select doc_id, coalesce(n_assign, 0)::bigint as n_assign, coalesce(n_access, 0):
 from d left join t using (doc_id)
 """
 
-SQL: dict[str, str] = {"op2_mix": OP2, "op4_rules": OP4, "op5_line_dedup": OP5, "op6_warc": OP6, "op7_secrets": OP7}
+OP10 = """
+with recursive v as (
+  select vec_id, label, embedding::double[] as e from embeddings
+  where label is not null and embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs as (
+  select a.vec_id as a, b.vec_id as b from v a join v b
+    on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+  where list_cosine_similarity(a.e, b.e) >= 0.98),
+reach(a, b) as (select a, b from pairs union select reach.a, pairs.b from reach join pairs on reach.b = pairs.a),
+part as (select a, least(a, min(b)) as component_id from reach group by a),
+n as (select a, count(*)::bigint as n_links from pairs group by a)
+select vec_id, coalesce(n_links, 0)::bigint as n_links, coalesce(component_id, vec_id) as component_id,
+  vec_id = coalesce(component_id, vec_id) as kept
+from embeddings e left join n on n.a = e.vec_id left join part on part.a = e.vec_id
+"""
+
+SQL: dict[str, str] = {"op2_mix": OP2, "op4_rules": OP4, "op5_line_dedup": OP5, "op6_warc": OP6, "op7_secrets": OP7,
+                       "op10_embeddings": OP10}
