@@ -111,6 +111,28 @@ select doc_id, coalesce(n_assign, 0)::bigint as n_assign, coalesce(n_access, 0):
 from d left join t using (doc_id)
 """
 
+OP9 = rf"""
+with recursive w as (
+  select doc_id, [translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') for x in {WORDS}] as w
+  from documents),
+s as (
+  select doc_id, list_distinct(case when len(w) = 0 then [] when len(w) = 1 then w
+    else [w[i] || chr(10) || w[i + 1] for i in range(1, len(w))] end) as s from w),
+n as (select doc_id, len(s)::bigint as n_shingles, md5(list_sort(s)::varchar) as set from s),
+classes as (select set, min(doc_id) as id, any_value(n_shingles) as n from n where n_shingles > 0 group by set),
+e as (select doc_id as id, unnest(s) as g from s where doc_id in (select id from classes)),
+pairs as (
+  select a.id as a, b.id as b from e a join e b on a.g = b.g and a.id <> b.id
+    join classes ca on ca.id = a.id join classes cb on cb.id = b.id
+  where 100 * least(ca.n, cb.n) >= 80 * greatest(ca.n, cb.n)
+  group by a.id, b.id, ca.n, cb.n having 100 * count(*) >= 80 * (ca.n + cb.n - count(*))),
+reach(a, b) as (select a, b from pairs union select reach.a, pairs.b from reach join pairs on reach.b = pairs.a),
+part as (select a, min(b) as least from reach group by a)
+select doc_id, n_shingles, coalesce(least(id, least), id, doc_id) as component_id,
+  doc_id = coalesce(least(id, least), id, doc_id) as kept
+from n left join classes c on c.set = n.set and n_shingles > 0 left join part on part.a = c.id
+"""
+
 OP10 = """
 with recursive v as (
   select vec_id, label, embedding::double[] as e from embeddings
@@ -130,4 +152,4 @@ from embeddings e left join n on n.a = e.vec_id left join part on part.a = e.vec
 """
 
 SQL: dict[str, str] = {"op2_mix": OP2, "op4_rules": OP4, "op5_line_dedup": OP5, "op6_warc": OP6, "op7_secrets": OP7,
-                       "op10_embeddings": OP10}
+                       "op9_minhash": OP9, "op10_embeddings": OP10}

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorqc.llm import (embedding_dedup, line_dedup, mixing, packing, quality_rules, secrets,
-                          token_counts, warc)
+from sensorqc.llm import (embedding_dedup, line_dedup, minhash_dedup, mixing, packing, quality_rules,
+                          secrets, token_counts, warc)
 from sensorqc.llm.common import shared_folder, table, written
 
 
@@ -62,6 +62,10 @@ def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), seq_len=1024, end_id=2)
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), k=2, percent=80)
+
+
 def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
 
@@ -74,5 +78,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_warc": op6_warc,
     "op7_secrets": op7_secrets,
     "op8_pack": op8_pack,
+    "op9_minhash": op9_minhash,
     "op10_embeddings": op10_embeddings,
 }
