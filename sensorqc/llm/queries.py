@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorqc.llm import (embedding_dedup, line_dedup, minhash_dedup, mixing, packing, quality_rules,
-                          secrets, token_counts, warc)
+from sensorqc.llm import (embedding_dedup, language_model, line_dedup, minhash_dedup, mixing, packing,
+                          quality_rules, secrets, token_counts, warc)
 from sensorqc.llm.common import shared_folder, table, written
 
 
@@ -23,6 +23,10 @@ def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(table(spark, sf_dir, "documents"))
+
+
 def op4_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality_rules.ledger(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -73,6 +77,7 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_mix": op2_mix,
+    "op3_language_model": op3_language_model,
     "op4_rules": op4_rules,
     "op5_line_dedup": op5_line_dedup,
     "op6_warc": op6_warc,
