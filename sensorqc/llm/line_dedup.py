@@ -98,7 +98,8 @@ def first_bucket(h1: np.ndarray, n_buckets) -> np.ndarray:
 
 def other_bucket(bucket: np.ndarray, f: np.ndarray, n_buckets) -> np.ndarray:
     """The second place of a fingerprint; applied twice it gives the first again."""
-    spread = (f.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)
+    with np.errstate(over="ignore"):  # modulo 2**64
+        spread = (f.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)
     return bucket ^ (spread & (np.asarray(n_buckets).astype(np.uint64) - np.uint64(1))).astype(np.int64)
 
 

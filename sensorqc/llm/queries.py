@@ -16,7 +16,7 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "tokens")
     order = written(token_counts.write_token_files(table(spark, sf_dir, "documents"), folder), "token-order")
     counts = token_counts.scan_token_files(order, folder)
-    return order.join(counts, ["path", "ordinal"], "left").select("doc_id", "n_tokens")
+    return order.join(counts.hint("merge"), ["path", "ordinal"], "left").select("doc_id", "n_tokens")
 
 
 def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
