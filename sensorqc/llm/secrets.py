@@ -25,6 +25,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sensorqc.llm.common import checkpointed
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -141,10 +143,12 @@ class BlobLedger:
     def report(self, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         """Per path: doc_id and ``spans``, structs (start, rule, end) in order, rules numbered as listed."""
         number = F.create_map(*[x for k, r in enumerate(rules) for x in (F.lit(r.name), F.lit(k))])
-        found = (self.table("findings").distinct()
-                 .withColumn("rule", number[F.concat_ws("@", "kind", F.col("version").cast("string"))])
-                 .filter(F.col("rule").isNotNull())
-                 .groupBy("digest").agg(F.array_sort(F.collect_list(F.struct("start", "rule", "end"))).alias("spans")))
+        # Checkpointed, both sides of the join come from shuffles of its own, which Spark can split at hot digests.
+        found = checkpointed(
+            self.table("findings").distinct()
+            .withColumn("rule", number[F.concat_ws("@", "kind", F.col("version").cast("string"))])
+            .filter(F.col("rule").isNotNull())
+            .groupBy("digest").agg(F.array_sort(F.collect_list(F.struct("start", "rule", "end"))).alias("spans")))
         return self.table("paths").join(found, "digest", "left").select("doc_id", "spans")
 
 

@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sensorqc.llm.common import checkpointed
+
 # Fixed values of the format.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -71,7 +73,9 @@ def write_archive(pages: DataFrame, folder: str, min_bytes: int = 0, date: str =
     rows = rows.withColumn("payload", F.unhex(F.sha2("bytes", 256)))
     facts = rows.select("page_id", "url", "payload", F.sha1("bytes").alias("sha1"),
                         F.octet_length("bytes").cast("long").alias("n_bytes"))
-    first = (facts.filter(F.col("n_bytes") >= min_bytes).groupBy("payload").agg(F.min("page_id").alias("first")))
+    # Checkpointed, so that the join shuffles both sides itself and Spark can split the partitions of hot payloads.
+    first = checkpointed(facts.filter(F.col("n_bytes") >= min_bytes).groupBy("payload")
+                         .agg(F.min("page_id").alias("first")))
     other = F.when(F.col("first") < F.coalesce(F.col("page_id"), F.lit((1 << 63) - 1)), F.col("first"))
     (facts.join(first, "payload", "left").select("payload", header_text(other, date).alias("header"))
      .write.option("compression", "zstd").parquet(f"{folder}/headers"))
