@@ -55,7 +55,7 @@ _SIGNED = ("doc_id bigint, n_shingles bigint, c1 bigint, c2 bigint, bands array<
 def permutations(coordinates: int, places: int = PLACES) -> tuple[np.ndarray, np.ndarray]:
     """(first, shifted): the first permutation, and row p of the second's values at p, p+1, ..."""
     rng = np.random.default_rng(20240501)
-    first = rng.permutation(places)
+    first = rng.permutation(places).astype(np.int32)
     second = rng.permutation(places).astype(np.uint32)
     wrapped = np.concatenate([second, second[:coordinates]])
     return first, np.lib.stride_tricks.sliding_window_view(wrapped, coordinates)
@@ -86,8 +86,8 @@ def signed(docs: DataFrame, k: int, bands: int = BANDS, rows: int = ROWS, doc_id
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
+            for at in range(0, whole.num_rows, 64):
+                batch = whole.slice(at, 64)
                 sets = shingle_sets(batch.column(1), k)
                 full = [i for i, s in enumerate(sets) if len(s)]
                 sigs = np.array([signature(sets[i], bands * rows) for i in full], np.uint32).reshape(-1, bands * rows)

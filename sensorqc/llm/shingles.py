@@ -14,7 +14,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 
-PIECE = 1 << 20  # bytes
+PIECE = 1 << 18  # bytes
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _M1, _M2, _S = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(33)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -45,7 +45,7 @@ def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _piece_hashes(raw: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and starts of the words of ``raw``; a word also ends at every break."""
-    power, inverse = _powers(max(16, int(len(raw)).bit_length()))
+    power, inverse = _powers(max(19, int(len(raw)).bit_length()))
     b = _LOWER[raw]
     inside = ~_BLANK[b]
     opens, closes = inside.copy(), inside.copy()
