@@ -93,15 +93,14 @@ def patterns(seq_len: int) -> np.ndarray:
     return np.array(sorted(found, reverse=True), np.int64)
 
 
-def nnls(pats: np.ndarray, histogram: np.ndarray, rounds: int = 2000) -> np.ndarray:
+def nnls(pats: np.ndarray, histogram: np.ndarray, rounds: int = 500) -> np.ndarray:
     """Non-negative x that brings the patterns' lengths close to the histogram in least squares.
 
     Accelerated projected gradient; short lengths weigh less, as they find a
     place anyway.
     """
     n = len(histogram)
-    weight = np.sqrt(np.arange(n) / n)
-    weight[0] = 0  # absent lengths
+    weight = np.arange(n) / n  # 0 for absent lengths
     apply = lambda x: sum(np.bincount(c, x, n) for c in pats.T) * weight
     back = lambda r: (r * weight)[pats].sum(axis=1)
     want = histogram * weight
