@@ -31,11 +31,13 @@ def _area_sql() -> str:
     return f"CASE user_id % {len(fx.AREAS)} {whens} END"
 
 
-def readings_cte(name: str = "readings", late: bool = False) -> str:
+def readings_cte(name: str = "readings", late: bool = False, coarse: bool = False) -> str:
     us = f"{fx.BASE_US} + (epoch_us(ts) - {fx.BASE_US}) // {fx.SQUEEZE}"
     if late:
         us = (f"CASE WHEN event_id % {fx.LATE_EVERY} = 0 THEN {us} - ({fx.LATE_BASE_S} + event_id % "
               f"{fx.LATE_SPREAD}) * 1000000 ELSE {us} END")
+    if coarse:
+        us = f"({us}) // 60000000 * 60000000"
     return f"""{name} AS (
   SELECT seq, sensor_id, area, us, make_timestamp(us) AS timestamp, temperature, humidity, wind_speed FROM (
     SELECT event_id AS seq,
@@ -84,6 +86,33 @@ def w1_cte(src: str = "readings", name: str = "stats", rules: QualityRules = FIX
   WINDOW w AS (PARTITION BY sensor_id ORDER BY us RANGE BETWEEN {rules.window_us - 1} PRECEDING AND CURRENT ROW))"""
 
 
+def w1_ties_cte(src: str = "readings", name: str = "stats", rules: QualityRules = FIXTURE_RULES) -> str:
+    """W1 where times repeat: j is in the window of i iff it is not after i by (us, seq) and us_j > us_i - W."""
+    cnt = []
+    for f in FIELDS:
+        cnt.append(f"CAST(count(*) FILTER (WHERE j.{f} IS NULL) AS BIGINT) AS {f}_nulls")
+    for f in FIELDS:
+        cnt.append(f"CAST(count(j.{f}) AS BIGINT) AS {f}_n")
+        cnt.append(f"CAST(count(*) FILTER (WHERE j.{_range(rules, f)}) AS BIGINT) AS {f}_valid")
+    return f"""{name}_pairs AS (
+  SELECT i.seq AS iseq, j.*, lag(j.temperature) OVER (PARTITION BY i.seq ORDER BY j.us, j.seq) AS prev_t
+  FROM {src} i JOIN {src} j ON j.sensor_id = i.sensor_id AND j.us > i.us - {rules.window_us}
+       AND (j.us < i.us OR (j.us = i.us AND j.seq <= i.seq))),
+{name}_agg AS (
+  SELECT iseq, count(*) AS n, {", ".join(cnt)},
+         CAST(count(*) FILTER (WHERE j.temperature IS NOT NULL AND j.prev_t IS NOT NULL) AS BIGINT) AS pairs,
+         CAST(count(*) FILTER (WHERE j.temperature IS NOT NULL AND j.prev_t IS NOT NULL
+               AND abs(j.temperature - j.prev_t) > {_d(rules.jump_limit)}) AS BIGINT) AS jumps,
+         make_timestamp(min(j.us)) AS window_start
+  FROM {name}_pairs j GROUP BY iseq),
+{name} AS (
+  SELECT r.seq, r.sensor_id, r.area, r.us, r.timestamp, a.n,
+         {", ".join(f"a.{f}_nulls" for f in FIELDS)},
+         {", ".join(f"a.{f}_n, a.{f}_valid" for f in FIELDS)},
+         a.pairs, a.jumps, a.window_start, r.timestamp AS window_end
+  FROM {src} r JOIN {name}_agg a ON a.iseq = r.seq)"""
+
+
 def w2_cte(src: str = "readings", name: str = "stats", rules: QualityRules = FIXTURE_RULES) -> str:
     """W2 in SQL: j is in the window of i iff seq_j <= seq_i < dead(j), where
     dead(j) is the first later reading of the sensor at least one window newer."""
@@ -319,11 +348,12 @@ def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["read_table"] = "SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00' - INTERVAL 72 HOUR"
     q["apply_retention"] = "SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-25 00:00:00' - INTERVAL 10 DAY"
-    q["parse_readings"] = _with(*R, _json_cte()) + "SELECT * FROM parsed2"
+    q["parse_readings"] = _with(*R, _json_cte()) + "SELECT p.*, m.value AS raw FROM parsed2 p JOIN msgs m USING (seq)"
     q["accept_readings"] = _with(*R, _json_cte()) + (
         "SELECT seq, sensor_id, area, us, timestamp, temperature, humidity, wind_speed FROM parsed2 "
         "WHERE reject_reason IS NULL")
-    q["reject_readings"] = _with(*R, _json_cte()) + "SELECT seq, reject_reason FROM parsed2 WHERE reject_reason IS NOT NULL"
+    q["reject_readings"] = _with(*R, _json_cte()) + (
+        "SELECT seq, reject_reason, m.value AS raw FROM parsed2 JOIN msgs m USING (seq) WHERE reject_reason IS NOT NULL")
     q["within_lookback"] = _with(*R) + f"SELECT * FROM readings WHERE timestamp >= {_lower(minutes=10)}"
     q["sensor_readings"] = _with(*R) + f"SELECT * FROM readings WHERE sensor_id = {_s(SENSOR)}"
     q["failed_metrics"] = _with(*M) + "SELECT * FROM metrics WHERE status = 'FAIL'"
@@ -332,8 +362,16 @@ def oracle_sql() -> dict[str, str]:
     q["publish_metrics"] = _with(*M) + (
         f"SELECT {iso('timestamp')} AS timestamp, sensor_id, metric_name, metric_value AS value, threshold, status, "
         f"{iso('window_start')} AS window_start, {iso('window_end')} AS window_end FROM metrics")
+    q["publish_metrics_json"] = _with(*M) + (
+        f"SELECT sensor_id, metric_name, {iso('timestamp')} AS timestamp, CAST(json_object('timestamp', {iso('timestamp')}, "
+        f"'sensor_id', sensor_id, 'metric_name', metric_name, 'value', metric_value, 'threshold', threshold, "
+        f"'status', status, 'window_start', {iso('window_start')}, 'window_end', {iso('window_end')}) AS VARCHAR) "
+        f"AS value_json FROM metrics")
     q["trailing_window"] = _with(*_pipeline("stats")) + f"SELECT {STATS_COLS} FROM stats"
+    q["trailing_window_buckets"] = q["trailing_window"]
+    q["trailing_window_ties"] = _with(readings_cte(coarse=True), w1_ties_cte()) + f"SELECT {STATS_COLS} FROM stats"
     q["arrival_window"] = _with(*_pipeline("stats", late=True, window="w2")) + f"SELECT {STATS_COLS} FROM stats"
+    q["arrival_window_chunks"] = q["arrival_window"]
     for name in ("completeness", "temperature_validity", "humidity_validity", "wind_speed_validity",
                  "timeliness", "consistency"):
         q[name] = _with(*_pipeline("stats"), metrics_cte(names=(name,))) + "SELECT * FROM metrics"
@@ -351,6 +389,7 @@ def oracle_sql() -> dict[str, str]:
     nsev = ("SELECT sensor_id, seq, CAST(count(*) AS BIGINT) AS fail_count FROM alerts "
             "WHERE severity IN ('HIGH', 'CRITICAL') GROUP BY sensor_id, seq")
     q["notification_severity"] = _with(*AL) + f"SELECT *, {_count_sev('fail_count')} AS severity FROM ({nsev})"
+    q["notification_severity_from_alerts"] = q["notification_severity"]
     q["severity_colors"] = _with(*AL) + (
         f"SELECT *, {_color('severity')} AS color FROM "
         f"(SELECT *, {_count_sev('fail_count')} AS severity FROM ({nsev}))")
@@ -359,6 +398,26 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT sensor_id, seq, timestamp, fail_count, {_count_sev('fail_count')} AS severity, "
         f"{_color(_count_sev('fail_count'))} AS color, '🚨 데이터 품질 알림 - ' || sensor_id AS title, "
         f"'센서 ' || sensor_id || '에서 데이터 품질 문제가 감지되었습니다.' AS text, fields_text FROM notif")
+    q["quality_notifications_from_alerts"] = q["quality_notifications"]
+    q["quality_notification_payloads"] = _with(*AL, _notif_cte()) + f"""
+SELECT sensor_id, seq, CAST(json_object(
+    'channel', {_s(texts.DEFAULT_CHANNEL)}, 'username', {_s(texts.QUALITY_USERNAME)}, 'icon_emoji', {_s(texts.QUALITY_ICON)},
+    'text', '센서 ' || sensor_id || '에서 데이터 품질 문제가 감지되었습니다.', 'attachments', [json_object(
+      'color', {_color(_count_sev('fail_count'))}, 'title', '🚨 데이터 품질 알림 - ' || sensor_id, 'fields', fields,
+      'footer', {_s(texts.FOOTER)}, 'ts', epoch_us(timestamp) // 1000000)]) AS VARCHAR) AS payload
+FROM (SELECT sensor_id, seq, count(*) AS fail_count, max(timestamp) AS timestamp, list(json_object(
+        'title', array_to_string(list_transform(string_split(metric_name, '_'),
+                 lambda x: upper(substr(x, 1, 1)) || lower(substr(x, 2))), ' '),
+        'value', '현재값: ' || printf('%.2f', metric_value) || chr(10) || '임계값: ' || printf('%.2f', threshold)
+                 || chr(10) || '상태: FAIL', 'short', true) ORDER BY metric_order) AS fields
+      FROM cand GROUP BY sensor_id, seq)"""
+    q["system_notification_payloads"] = _with(_system_events_cte()) + f"""
+SELECT seq, CAST(json_object(
+    'channel', {_s(texts.DEFAULT_CHANNEL)}, 'username', {_s(texts.SYSTEM_USERNAME)}, 'icon_emoji', {_s(texts.SYSTEM_ICON)},
+    'attachments', [json_object('color', {_color('severity')},
+      'title', {_emoji('alert_type')} || ' 시스템 알림 - ' || alert_type, 'text', message,
+      'footer', {_s(texts.FOOTER)}, 'ts', epoch_us(timestamp) // 1000000)]) AS VARCHAR) AS payload
+FROM sysev"""
     q["system_notifications"] = _with(_system_events_cte()) + (
         f"SELECT seq, timestamp, alert_type, message, severity, {_color('severity')} AS color, "
         f"{_emoji('alert_type')} AS emoji, {_emoji('alert_type')} || ' 시스템 알림 - ' || alert_type AS title FROM sysev")
@@ -376,6 +435,18 @@ FROM (SELECT CAST(count(DISTINCT sensor_id) AS BIGINT) AS total_sensors, CAST(co
                        ORDER BY fail_count DESC, sensor_id), '') AS top_sensors_text
       FROM (SELECT sensor_id, count(*) AS fail_count FROM metrics WHERE {inday} AND status = 'FAIL'
             GROUP BY sensor_id ORDER BY fail_count DESC, sensor_id LIMIT 5)) t"""
+    titles = texts.SUMMARY_FIELD_TITLES
+    q["daily_summary_payload"] = f"""
+SELECT day, CAST(json_object(
+    'channel', {_s(texts.DEFAULT_CHANNEL)}, 'username', {_s(texts.SUMMARY_USERNAME)}, 'icon_emoji', {_s(texts.SUMMARY_ICON)},
+    'attachments', [json_object('color', 'good', 'title', {_s(texts.SUMMARY_TITLE)}, 'fields', [
+        json_object('title', {_s(titles[0])}, 'value', CAST(total_sensors AS VARCHAR), 'short', true),
+        json_object('title', {_s(titles[1])}, 'value', total_records_text, 'short', true),
+        json_object('title', {_s(titles[2])}, 'value', quality_checks_text, 'short', true),
+        json_object('title', {_s(titles[3])}, 'value', failed_checks_text, 'short', true),
+        json_object('title', {_s(texts.SUMMARY_TOP_TITLE)}, 'value', top_sensors_text, 'short', false)],
+      'footer', {_s(texts.FOOTER)}, 'ts', epoch_us({day1}) // 1000000)]) AS VARCHAR) AS payload
+FROM ({q["daily_summary"]})"""
     q["sensor_data_count"] = _with(*R) + f"SELECT CAST(count(*) AS BIGINT) AS count FROM readings WHERE timestamp >= {_lower(24)}"
     q["sensor_data_count_sensor"] = _with(*R) + (
         f"SELECT CAST(count(*) AS BIGINT) AS count FROM readings WHERE timestamp >= {_lower(24)} "
@@ -423,6 +494,14 @@ FROM (SELECT CAST(count(*) AS BIGINT) AS total_data_points,
      (SELECT coalesce(string_agg(sensor_id, ',' ORDER BY failure_rate DESC, sensor_id), '') AS top_sensor_ids
       FROM (SELECT * FROM rates ORDER BY failure_rate DESC, sensor_id LIMIT 5)) t"""
     q["summary_head"] = _with(*M, _summary_cte()) + "SELECT * FROM summary ORDER BY sensor_id, metric_name LIMIT 10"
+    q["monitor_health_stopped"] = _with(*R) + f"""
+SELECT (SELECT CAST(count(*) AS BIGINT) FROM readings WHERE timestamp >= {_lower(1)}) AS recent_data_count,
+       CAST(count(DISTINCT sensor_id) AS BIGINT) AS active_sensors, CAST(count(*) AS BIGINT) AS processed_count,
+       'stopped' AS status, '{AS_OF.isoformat()}' AS timestamp, false AS processor_running, CAST(NULL AS VARCHAR) AS error
+FROM readings"""
+    q["system_statistics_top"] = _with(*M, _summary_cte(), RATES_CTE) + (
+        "SELECT sensor_id, failure_rate, total_checks, failed_checks FROM rates "
+        "ORDER BY failure_rate DESC, sensor_id LIMIT 5")
     q["monitor_health"] = _with(*R) + f"""
 SELECT (SELECT CAST(count(*) AS BIGINT) FROM readings WHERE timestamp >= {_lower(1)}) AS recent_data_count,
        CAST(count(DISTINCT sensor_id) AS BIGINT) AS active_sensors, CAST(count(*) AS BIGINT) AS processed_count,

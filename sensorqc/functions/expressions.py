@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from sensorqc.functions import texts
+from sensorqc.rules import METRIC_NAMES
 
 
 def _col(c: Column | str) -> Column:
@@ -19,21 +21,37 @@ def status(passed: Column) -> Column:
     return F.when(passed, F.lit("PASS")).otherwise(F.lit("FAIL"))
 
 
+def _nearest_tie(a: Column, digits: int) -> tuple[Column, Column]:
+    """(n, side): the tie n / (2 * 10**digits) nearest to a, and the sign of a minus the tie.
+
+    The factor is a sum of powers of two (20 = 16 + 4, 200 = 128 + 64 + 8).
+    Taken from n one by one, largest first, each product is exact and lies
+    within a factor of two of what is left, so each difference is exact too.
+    """
+    powers = [1 << i for i in range(12, -1, -1) if 2 * 10 ** digits >> i & 1]
+    n = F.round(a * F.lit(2.0 * 10 ** digits))
+    left = n
+    for power in powers[:-1]:
+        left = left - a * F.lit(float(power))
+    return n, F.signum(a * F.lit(float(powers[-1])) - left)
+
+
 def py_fixed(value: Column | str, digits: int) -> Column:
-    """``f"{v:.{digits}f}"`` as Python prints it.
+    """``f"{v:.{digits}f}"`` as Python prints it: the binary value, half to even.
 
-    Java's formatter rounds half-up on the decimal text while Python rounds
-    the binary value half-to-even; rounding half-even first closes the gap for
-    the ratios the metrics produce.
+    A decimal text that is a tie (0.05, 2.675) need not be one as a binary
+    value; on which side of the tie that lies is decided exactly, for one or
+    two digits. NaN, infinities and values from 1e12 go to Java's formatter.
     """
     value = _col(value)
-    # A rounded double prints exactly as its decimal of the same scale; the
-    # decimal cast avoids java.util.Formatter per row. NaN/inf keep the format.
-    rounded = F.bround(value, digits)
-    fixed = rounded.cast(f"decimal(38,{digits})").cast("string")
-    return (F.when(F.isnan(value) | (F.abs(value) > F.lit(1e20)), F.format_string(f"%.{digits}f", value))
-            .when((value < 0) & (rounded == 0), F.concat(F.lit("-"), fixed))  # Python keeps "-0.0"
-            .otherwise(fixed))
+    a = F.abs(value)
+    n, side = _nearest_tie(a, digits)
+    tie = (n % 2 == 1) & (n / F.lit(2.0 * 10 ** digits) == a)
+    rounded = F.bround(F.when(tie, (n + side) / F.lit(2.0 * 10 ** digits)).otherwise(a), digits)
+    text = rounded.cast(f"decimal(38,{digits})").cast("string")
+    return (F.when(F.isnan(value) | (a >= F.lit(1e12)), F.format_string(f"%.{digits}f", value))
+            .when((value < 0) | (value.cast("string") == "-0.0"), F.concat(F.lit("-"), text))  # Python keeps "-0.0"
+            .otherwise(text))
 
 
 def alert_severity(metric_name: Column | str = "metric_name",
@@ -69,6 +87,13 @@ def count_severity(fail_count: Column | str) -> Column:
     )
 
 
+def metric_order(metric_name: Column | str = "metric_name") -> Column:
+    """Place of a metric in the evaluation order; last when unknown."""
+    names = F.array(*[F.lit(m) for m in METRIC_NAMES])
+    at = F.array_position(names, _col(metric_name))
+    return F.when(at > 0, at - 1).otherwise(F.lit(len(METRIC_NAMES))).cast("int")
+
+
 def _lookup(key: Column, table: dict[str, str], default: str) -> Column:
     return reduce(
         lambda acc, kv: acc.when(key == kv[0], F.lit(kv[1])),
@@ -87,6 +112,12 @@ def alert_emoji(alert_type: Column | str = "alert_type") -> Column:
     return _lookup(_col(alert_type), texts.ALERT_EMOJIS, texts.ALERT_EMOJI_DEFAULT)
 
 
+def fill(template: str, **values: Column) -> Column:
+    """A text template with ``{key}`` places filled by columns."""
+    parts = re.split(r"\{(\w+)\}", template)
+    return F.concat(*[values[x] if i % 2 else F.lit(x) for i, x in enumerate(parts) if i % 2 or x])
+
+
 def alert_message(metric_name: Column | str = "metric_name",
                   value: Column | str = "metric_value",
                   threshold: Column | str = "threshold") -> Column:
@@ -94,20 +125,7 @@ def alert_message(metric_name: Column | str = "metric_name",
     name = _col(metric_name)
     v, t = py_fixed(value, 1), py_fixed(threshold, 1)
 
-    def render(template: str) -> Column:
-        parts, rest = [], template
-        while rest:
-            i = min((rest.find(k) for k in ("{v}", "{t}", "{name}") if k in rest), default=-1)
-            if i < 0:
-                parts.append(F.lit(rest))
-                break
-            if i:
-                parts.append(F.lit(rest[:i]))
-            key = rest[i:rest.index("}", i) + 1]
-            parts.append({"{v}": v, "{t}": t, "{name}": name}[key])
-            rest = rest[i + len(key):]
-        return F.concat(*parts)
-
+    render = lambda template: fill(template, v=v, t=t, name=name)
     expr = None
     for metric, template in texts.ALERT_MESSAGES.items():
         expr = (F.when if expr is None else expr.when)(name == metric, render(template))

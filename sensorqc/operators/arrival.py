@@ -6,25 +6,31 @@ order. With late readings this differs from the event-time frame of W1: a late
 point can outlive newer ones, and a point removed by a newer reading does not
 come back when an older one arrives.
 
-Plan (batch), built so that no task holds more than one chunk of one sensor:
+Plan (batch), built so that no task holds more than one chunk of one sensor;
+its size does not depend on the data and no job runs while it is built:
 
-1. Readings are cut into chunks of consecutive arrival numbers covering about
-   an hour of event time (sized from the overall arrival rate, or
-   ``chunk_seqs``). A hot sensor is thereby split into many independent units
-   of work, and a chunk spans many windows, so few readings outlive it.
+1. Readings are cut into chunks of consecutive arrivals: an hour of arrival
+   time where the source gives one (``received_at``, the broker's time), else
+   ``chunk_seqs`` arrival numbers. A hot sensor is thereby split into many
+   independent units of work.
 2. The state a chunk starts with is the window at its first arrival: the
    earlier readings not yet removed. A reading survives its own chunk when no
    later reading of the chunk is a window newer (a reverse running ``max``).
-   Each survivor then lives on until the first later chunk of its sensor whose
-   newest reading is a window newer than it. That chunk is found by a bounded
-   lookahead join over per-chunk maxima (chunk ranks exploded, equi-joined),
-   repeated for the rare survivors that outlive the lookahead, so it is exact.
-   Survivors are copied into each chunk they reach as *context rows*.
+   Each survivor lives on until the first later chunk of its sensor whose
+   newest reading is a window newer than it. Nearly always that is the next
+   chunk, found by one join with the chunk records (one row per sensor and
+   chunk: its newest time and its successor). The few that outlive it are
+   matched with the sensor's sorted list of chunk records and expanded to
+   their range of chunks at once. Survivors enter each chunk they reach as
+   *context rows*.
 3. Rows and context rows are shuffled by ``(sensor_id, chunk)``, sorted by
    arrival, and replayed partition by partition in ``mapInPandas``: a linked
    list in arrival order and a heap by event time give each reading its window
    counts, first element, and adjacent temperature pairs in O(log w).
 
+A sensor's list has one entry per chunk, so an hour of arrivals each: 8,760 a
+year.
+
 The replay core, :class:`ArrivalWindow`, is also the state machine of the
 streaming operator (R5).
 """
@@ -35,18 +41,15 @@ import heapq
 import math
 
 import pandas as pd
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from sensorqc.functions.timeutil import from_micros
-from sensorqc.plans.lineage import cut_lineage
+from sensorqc.functions.timeutil import from_micros, to_micros
 from sensorqc.rules import DEFAULT_RULES, QualityRules
 
-DEFAULT_CHUNK_SEQS = None  # adaptive: about one hour of arrivals
+DEFAULT_CHUNK_SEQS = 1 << 16
 DEFAULT_CHUNK_SPAN_US = 3_600_000_000
-DEFAULT_LOOKAHEAD = 2
 
 _COUNTS = ("n", "temperature_nulls", "humidity_nulls", "wind_speed_nulls",
            "temperature_n", "temperature_valid", "humidity_n", "humidity_valid",
@@ -188,42 +191,36 @@ def _replay_partition(rules: QualityRules, passthrough: tuple[str, ...]):
     return run
 
 
-def adaptive_chunk_seqs(readings: DataFrame, span_us: int) -> int:
-    """Chunk length in arrival numbers covering about ``span_us`` of event time.
+def arrival_chunk(readings: DataFrame, chunk_seqs: int | None, chunk_span_us: int) -> Column:
+    """Chunk number of a reading; it never falls as ``seq`` grows.
 
-    A chunk must span many windows, or every reading would survive it and be
-    copied into the following chunks; a fixed length in arrival numbers spans
-    little time when many sensors report. One partial aggregate over two
-    columns; four numbers reach the driver.
+    By arrival time if the readings carry ``received_at`` and no ``chunk_seqs``
+    is asked for, else by arrival number.
     """
-    row = readings.agg(F.min("seq").alias("s0"), F.max("seq").alias("s1"),
-                       F.min("us").alias("u0"), F.max("us").alias("u1")).first()
-    if row is None or row.s0 is None:
-        return 1
-    return max(1, math.ceil((row.s1 - row.s0 + 1) * span_us / max(row.u1 - row.u0, 1)))
+    if chunk_seqs is None and "received_at" in readings.columns:
+        number, length = to_micros("received_at"), int(chunk_span_us)
+    else:
+        number, length = F.col("seq").cast("long"), int(chunk_seqs or DEFAULT_CHUNK_SEQS)
+    return F.call_function("div", number - F.pmod(number, F.lit(length)), F.lit(length))  # exact floor
 
 
 def arrival_window(readings: DataFrame, rules: QualityRules = DEFAULT_RULES,
-                   chunk_seqs: int | None = None, lookahead: int = DEFAULT_LOOKAHEAD,
-                   chunk_span_us: int = DEFAULT_CHUNK_SPAN_US) -> DataFrame:
+                   chunk_seqs: int | None = None, chunk_span_us: int = DEFAULT_CHUNK_SPAN_US) -> DataFrame:
     """Window statistics per reading in arrival (``seq``) order.
 
     Same output columns as :func:`sensorqc.operators.windows.trailing_window`;
-    ``window_start`` is the first point in arrival order. Chunks cover about
-    ``chunk_span_us`` of event time (default one hour, 12 windows), sized from
-    the overall arrival rate; ``chunk_seqs`` fixes their length instead.
+    ``window_start`` is the first point in arrival order. Where readings carry
+    ``received_at`` it must not fall as ``seq`` grows (broker time does not).
     """
     W = rules.window_us
     passthrough = tuple(c for c in readings.columns if c in ("area",))
     fields = ("temperature", "humidity", "wind_speed")
     nulls = [f"_{f}_null" for f in fields]
-    if chunk_seqs is None:
-        chunk_seqs = adaptive_chunk_seqs(readings, chunk_span_us)
-    chunk = F.expr(f"(seq - pmod(seq, {chunk_seqs})) div {chunk_seqs}")
+    row_cols = ["seq", "sensor_id", *passthrough, "us", *fields, *nulls]
     base = readings.select(
         "seq", "sensor_id", *passthrough, "us", *fields,
         *[F.col(f).isNull().alias(n) for f, n in zip(fields, nulls)],
-        chunk.alias("_chunk"),
+        arrival_chunk(readings, chunk_seqs, chunk_span_us).alias("_chunk"),
     )
     # 2a. survivors of their own chunk (reverse running max over later arrivals)
     later = (Window.partitionBy("sensor_id", "_chunk").orderBy(F.desc("seq"))
@@ -231,40 +228,28 @@ def arrival_window(readings: DataFrame, rules: QualityRules = DEFAULT_RULES,
     survivors = (base.withColumn("_later_max", F.max("us").over(later))
                  .where(F.col("_later_max").isNull() | (F.col("_later_max") < F.col("us") + F.lit(W)))
                  .drop("_later_max"))
-    # Small (about one window per sensor and chunk) and used by every
-    # lookahead round and the final plan: kept in memory/disk, recomputed from
-    # its short lineage if an executor is lost.
-    survivors = survivors.persist(StorageLevel.MEMORY_AND_DISK)
-    # 2b. chunk maxima and per-sensor chunk ranks (one row per sensor and
-    # chunk). A chunk's newest reading always survives it, so the maxima come
-    # from the survivors, without another pass over the readings.
-    chunks = survivors.groupBy("sensor_id", "_chunk").agg(F.max("us").alias("_cmax"))
-    chunks = chunks.withColumn("_rank", F.row_number().over(Window.partitionBy("sensor_id").orderBy("_chunk")))
-    chunks = chunks.persist(StorageLevel.MEMORY_AND_DISK)
-    pending = survivors.join(chunks.select("sensor_id", "_chunk", F.col("_rank").alias("_from")),
-                             ["sensor_id", "_chunk"])
-    row_cols = ["seq", "sensor_id", *passthrough, "us", *fields, *nulls]
-    contexts = []
-    while True:
-        steps = F.sequence(F.col("_from") + 1, F.col("_from") + lookahead)
-        reach = (pending.select(*row_cols, "_from", F.explode(steps).alias("_rank"))
-                 .join(chunks, ["sensor_id", "_rank"]))
-        kill = F.min(F.when(F.col("_cmax") >= F.col("us") + F.lit(W), F.col("_rank"))).over(
-            Window.partitionBy("sensor_id", "seq"))
-        reach = reach.withColumn("_kill", kill)
-        contexts.append(reach.where(F.col("_kill").isNull() | (F.col("_rank") <= F.col("_kill")))
-                        .select(*row_cols, "_chunk"))
-        # survivors not removed within the lookahead, with chunks beyond it
-        pending = (reach.where(F.col("_kill").isNull() & (F.col("_rank") == F.col("_from") + lookahead))
-                   .select(*row_cols, F.col("_rank").alias("_from")))
-        if pending.isEmpty():
-            break
-        pending = cut_lineage(pending)
-    ctx = contexts[0]
-    for c in contexts[1:]:
-        ctx = ctx.unionByName(c)
-    rows = base.select(*row_cols, "_chunk", F.lit(True).alias("_own")).unionByName(
-        ctx.select(*row_cols, "_chunk", F.lit(False).alias("_own")))
+    # 2b. one record per sensor and chunk: newest time, and the same of the next chunk
+    maxima = base.groupBy("sensor_id", "_chunk").agg(F.max("us").alias("_cmax"))
+    by_chunk = Window.partitionBy("sensor_id").orderBy("_chunk")
+    records = maxima.select("sensor_id", "_chunk", F.lead("_chunk").over(by_chunk).alias("_next"),
+                            F.lead("_cmax").over(by_chunk).alias("_next_max")).where(F.col("_next").isNotNull())
+    reached = survivors.join(records, ["sensor_id", "_chunk"])
+    into_next = reached.select(*row_cols, F.col("_next").alias("_chunk"))
+    # 2c. survivors of the next chunk too: all further chunks up to the one that removes them
+    lists = maxima.groupBy("sensor_id").agg(
+        F.sort_array(F.collect_list(F.struct("_chunk", "_cmax"))).alias("_list"))
+    beyond = F.filter("_list", lambda x: x["_chunk"] > F.col("_next"))
+    removers = F.filter("_beyond", lambda x: x["_cmax"] >= F.col("us") + F.lit(W))
+    into_further = (
+        reached.where(F.col("_next_max") < F.col("us") + F.lit(W)).join(lists, "sensor_id")
+        .select(*row_cols, beyond.alias("_beyond"))
+        .select(*row_cols, "_beyond", F.get(removers, F.lit(0))["_chunk"].alias("_last"))
+        .select(*row_cols, F.explode(F.filter(
+            "_beyond", lambda x: F.col("_last").isNull() | (x["_chunk"] <= F.col("_last")))).alias("_reach"))
+        .select(*row_cols, F.col("_reach._chunk").alias("_chunk")))
+    rows = (base.select(*row_cols, "_chunk", F.lit(True).alias("_own"))
+            .unionByName(into_next.withColumn("_own", F.lit(False)))
+            .unionByName(into_further.withColumn("_own", F.lit(False))))
     schema = StructType(
         [StructField("seq", LongType()), StructField("sensor_id", StringType()), StructField("us", LongType()),
          StructField("_start_us", LongType())]

@@ -57,12 +57,13 @@ def seasonal_rules(spark: SparkSession) -> DataFrame:
 def seasonal_validity(readings: DataFrame, rules_table: DataFrame | None = None) -> DataFrame:
     """Temperature validity against the range of the reading's season.
 
-    The rules table has one row per month (12 rows), so broadcasting it is
-    bounded whatever the data size.
+    The rules table has one row per month; Spark broadcasts a table of that
+    size by itself. Of several rows for a month the first by season counts.
     """
     table = rules_table if rules_table is not None else seasonal_rules(readings.sparkSession)
+    one = table.groupBy("month").agg(F.min(F.struct("season", "temperature_lo", "temperature_hi")).alias("r"))
     return (readings.withColumn("month", F.month("timestamp"))
-            .join(F.broadcast(table), "month", "left")
+            .join(one.select("month", "r.*"), "month", "left")
             .withColumn("temperature_in_range",
                         F.when(F.col("temperature").isNull(), F.lit(None))
                         .otherwise(F.col("temperature").between(F.col("temperature_lo"), F.col("temperature_hi"))))

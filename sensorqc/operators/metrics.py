@@ -132,27 +132,3 @@ def evaluate_all(stats: DataFrame, rules: QualityRules = DEFAULT_RULES,
     time (batch). Streams pass ``current_timestamp()``-like columns.
     """
     return evaluate_metrics(stats, METRIC_NAMES, rules, evaluated_at)
-
-
-def completeness(stats: DataFrame, rules: QualityRules = DEFAULT_RULES) -> DataFrame:
-    return evaluate_metrics(stats, ["completeness"], rules)
-
-
-def temperature_validity(stats: DataFrame, rules: QualityRules = DEFAULT_RULES) -> DataFrame:
-    return evaluate_metrics(stats, ["temperature_validity"], rules)
-
-
-def humidity_validity(stats: DataFrame, rules: QualityRules = DEFAULT_RULES) -> DataFrame:
-    return evaluate_metrics(stats, ["humidity_validity"], rules)
-
-
-def wind_speed_validity(stats: DataFrame, rules: QualityRules = DEFAULT_RULES) -> DataFrame:
-    return evaluate_metrics(stats, ["wind_speed_validity"], rules)
-
-
-def timeliness(stats: DataFrame, rules: QualityRules = DEFAULT_RULES) -> DataFrame:
-    return evaluate_metrics(stats, ["timeliness"], rules)
-
-
-def consistency(stats: DataFrame, rules: QualityRules = DEFAULT_RULES) -> DataFrame:
-    return evaluate_metrics(stats, ["consistency"], rules)

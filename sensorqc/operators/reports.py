@@ -15,8 +15,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorqc.functions.expressions import score_band
-from sensorqc.functions.timeutil import lower_bound
+from sensorqc.functions.expressions import metric_order, score_band, severity_rank
+from sensorqc.functions.timeutil import iso_format, lower_bound
 
 AS_OF_DEFAULT = None  # now
 
@@ -24,6 +24,8 @@ AS_OF_DEFAULT = None  # now
 def within_lookback(df: DataFrame, as_of: datetime | None = AS_OF_DEFAULT, hours: float | None = None,
                     minutes: float | None = None, ts_col: str = "timestamp") -> DataFrame:
     """``ts >= as_of - lookback`` (inclusive, no upper bound)."""
+    if hours is None and minutes is None:
+        raise ValueError("a lookback needs hours or minutes")
     return df.where(F.col(ts_col) >= lower_bound(as_of, hours, minutes))
 
 
@@ -59,12 +61,22 @@ def quality_metrics_summary(metrics: DataFrame, hours: float = 24,
     )
 
 
+def _active(alerts: DataFrame, hours: float, as_of: datetime | None) -> DataFrame:
+    """Unresolved alerts of the lookback; G3's own rows (no ``resolved``) are unresolved already."""
+    recent = within_lookback(alerts, as_of, hours)
+    return recent.where(~F.col("resolved")) if "resolved" in alerts.columns else recent
+
+
+def _newest_first() -> list[Column]:
+    """Alert order from stored columns alone: time, sensor, place of the metric."""
+    return [F.desc("timestamp"), F.asc("sensor_id"), metric_order().asc()]
+
+
 def active_alerts(alerts: DataFrame, hours: float = 24, as_of: datetime | None = AS_OF_DEFAULT) -> DataFrame:
     """Unresolved alerts in the lookback, newest first (P8 columns)."""
     return (
-        within_lookback(alerts, as_of, hours)
-        .where(~F.col("resolved"))
-        .orderBy(F.desc("timestamp"), F.asc("sensor_id"), F.asc("metric_order"))
+        _active(alerts, hours, as_of)
+        .orderBy(*_newest_first())
         .select("timestamp", "sensor_id", "alert_type", "severity", "message",
                 "metric_name", "metric_value", "threshold")
     )
@@ -106,25 +118,29 @@ def recent_alerts(alerts: DataFrame, hours: float = 1, k: int = 10,
                   as_of: datetime | None = AS_OF_DEFAULT) -> DataFrame:
     """The k newest unresolved alerts (dashboard table)."""
     return (
-        within_lookback(alerts, as_of, hours)
-        .where(~F.col("resolved"))
-        .orderBy(F.desc("timestamp"), F.asc("sensor_id"), F.asc("metric_order"))
+        _active(alerts, hours, as_of)
+        .orderBy(*_newest_first())
         .limit(k)
         .select("sensor_id", "alert_type", "severity", "message", "timestamp")
     )
 
 
-def severity_counts(alerts: DataFrame) -> DataFrame:
-    """Alerts per severity, with the severity rank for ordering."""
-    return (alerts.groupBy("severity", "severity_rank")
-            .agg(F.count(F.lit(1)).cast("long").alias("count")))
+def severity_counts(alerts: DataFrame, hours: float = 24, as_of: datetime | None = AS_OF_DEFAULT) -> DataFrame:
+    """Active alerts per severity, with the severity rank for ordering.
+
+    Takes the stored alerts or the rows of :func:`active_alerts`.
+    """
+    return (_active(alerts, hours, as_of).groupBy("severity")
+            .agg(F.count(F.lit(1)).cast("long").alias("count"))
+            .select("severity", severity_rank().alias("severity_rank"), "count"))
 
 
-def recent_critical_alerts(alerts: DataFrame, k: int = 5) -> DataFrame:
-    """The k newest CRITICAL alerts."""
+def recent_critical_alerts(alerts: DataFrame, k: int = 5, hours: float = 24,
+                           as_of: datetime | None = AS_OF_DEFAULT) -> DataFrame:
+    """The k newest active CRITICAL alerts, of stored alerts or of G3's rows."""
     return (
-        alerts.where(F.col("severity") == "CRITICAL")
-        .orderBy(F.desc("timestamp"), F.asc("sensor_id"), F.asc("metric_order"))
+        _active(alerts, hours, as_of).where(F.col("severity") == "CRITICAL")
+        .orderBy(*_newest_first())
         .limit(k)
         .select("timestamp", "sensor_id", "message")
     )
@@ -163,14 +179,22 @@ def system_statistics(readings: DataFrame, metrics: DataFrame, alerts: DataFrame
     Each figure is a one-row aggregate; the cross joins only combine those
     single rows (never a data-sized side).
     """
-    summary = quality_metrics_summary(metrics, 24, as_of)
     counts = within_lookback(readings, as_of, 24 * 30).agg(
         F.count(F.lit(1)).cast("long").alias("total_data_points"),
         F.count_if(F.col("timestamp") >= lower_bound(as_of, 1)).cast("long").alias("recent_data_points"))
-    groups = summary.agg(F.count(F.lit(1)).cast("long").alias("quality_metrics_count"),
-                         F.countDistinct("sensor_id").cast("long").alias("active_sensors_count"))
-    active = active_alerts(alerts, 24, as_of).agg(F.count(F.lit(1)).cast("long").alias("active_alerts_count"))
-    top = (top_problem_sensors(sensor_failure_rates(summary), k)
+    # One aggregate per sensor. Both uses keep all its columns, so that their
+    # plans are equal and Spark runs the metrics (and their windows) once.
+    per_sensor = within_lookback(metrics, as_of, 24).groupBy("sensor_id").agg(
+        F.countDistinct("metric_name").cast("long").alias("n_metrics"),
+        F.count_if(F.col("status").isin("PASS", "FAIL")).cast("long").alias("total_checks"),
+        F.count_if(F.col("status") == "FAIL").cast("long").alias("failed_checks"))
+    used = per_sensor.where((F.col("n_metrics") >= 0) & (F.col("total_checks") >= F.col("failed_checks")))
+    groups = used.agg(F.coalesce(F.sum("n_metrics"), F.lit(0)).cast("long").alias("quality_metrics_count"),
+                      F.count("sensor_id").cast("long").alias("active_sensors_count"))
+    rates = (used.where(F.col("total_checks") > 0)
+             .withColumn("failure_rate", (F.col("failed_checks") / F.col("total_checks")) * 100))
+    active = _active(alerts, 24, as_of).agg(F.count(F.lit(1)).cast("long").alias("active_alerts_count"))
+    top = (top_problem_sensors(rates, k)
            .agg(F.sort_array(F.collect_list(F.struct(
                (-F.col("failure_rate")).alias("_k"), F.col("sensor_id"), F.col("failure_rate"),
                F.col("total_checks"), F.col("failed_checks")))).alias("_top")))
@@ -188,11 +212,13 @@ def summary_head(summary: DataFrame, k: int = 10) -> DataFrame:
 
 
 def monitor_health(readings: DataFrame, as_of: datetime | None = AS_OF_DEFAULT,
-                   processed: Column | None = None) -> DataFrame:
-    """G16 (table part): recent readings, sensors seen, readings processed.
+                   processed: Column | None = None, running: bool = True, error: str | None = None) -> DataFrame:
+    """Status, time, readings processed, sensors seen, recent readings, processor state.
 
-    ``processed`` may carry a count taken from a stream's progress; by default
-    it is the number of readings evaluated.
+    ``running`` is the stream's state (``query.isActive``) and ``error`` its
+    failure, if any: 'healthy' while it runs, 'stopped' after, 'unhealthy' with
+    an error. ``processed`` may carry a count taken from the stream's tables
+    or progress; by default it is the number of readings.
     """
     recent = within_lookback(readings, as_of, 1).agg(F.count(F.lit(1)).cast("long").alias("recent_data_count"))
     seen = readings.agg(F.countDistinct("sensor_id").cast("long").alias("active_sensors"),
@@ -200,4 +226,8 @@ def monitor_health(readings: DataFrame, as_of: datetime | None = AS_OF_DEFAULT,
     out = recent.crossJoin(seen)
     if processed is not None:
         out = out.withColumn("processed_count", processed.cast("long"))
-    return out.withColumn("status", F.lit("healthy"))
+    status = "unhealthy" if error is not None else "healthy" if running else "stopped"
+    at = lower_bound(as_of, 0)
+    return out.select("*", F.lit(status).alias("status"), iso_format(at).alias("timestamp"),
+                      F.lit(running and error is None).alias("processor_running"),
+                      F.lit(error).cast("string").alias("error"))

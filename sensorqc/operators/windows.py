@@ -1,13 +1,14 @@
 """The trailing five-minute window of every reading, in event time.
 
-For each reading of a sensor the window holds the sensor's readings with
-``ts > t - 5 min`` and ``ts <= t``. One ``Window`` pass computes everything the
-metrics need: size, null counts, in-range counts, the first timestamp, and the
-number of adjacent temperature pairs and of jumps among them. By default each
-count is a difference of two running sums (``[-inf, t]`` minus
-``[-inf, t - 5 min]``), which Spark computes incrementally, so the cost per row
-does not grow with the window; ``method="frame"`` uses the bounded frame
-directly.
+For each reading of a sensor the window holds the sensor's readings up to it,
+in the order of (time, arrival number), with ``ts > t - 5 min``. Readings with
+equal times are thus ordered by arrival, and in-order input gives the same
+windows as W2. One ``Window`` pass computes everything the metrics need: size,
+null counts, in-range counts, the first timestamp, and the number of adjacent
+temperature pairs and of jumps among them. Each count is a difference of two
+running sums (up to the row minus up to ``t - 5 min``), which Spark computes
+incrementally, so the cost per row does not grow with the window (a bounded
+sliding frame would be aggregated again for every row).
 
 Scale: partitioning only by ``sensor_id`` would put a sensor's whole history
 into one task, and one sensor may hold a third of all rows. Rows are therefore
@@ -16,7 +17,9 @@ of a bucket are copied into the next bucket as *context rows* that feed frames
 but emit nothing. Buckets must be at least one window long, so a frame never
 reaches back further than the previous bucket. Copies cost ``window/bucket``
 extra rows (8 % with hourly buckets), and no task ever holds more than one
-bucket of one sensor.
+bucket of one sensor. A sensor with rate r keeps ``r * bucket`` rows in a task:
+lower ``bucket_us`` (down to one window) where an hour of one sensor is more
+than a task should sort.
 """
 
 from __future__ import annotations
@@ -45,21 +48,6 @@ def reading_flags(rules: QualityRules) -> list[Column]:
     return cols
 
 
-def jump_flags(prev_temperature: Column, rules: QualityRules) -> list[Column]:
-    """Pair flag (both temperatures present) and jump flag (|diff| > limit).
-
-    ``abs(NaN) > 10`` is false in Python but true in Spark, hence the guard.
-    """
-    t = F.col("temperature")
-    pair = t.isNotNull() & prev_temperature.isNotNull()
-    diff = t - prev_temperature
-    jump = pair & (F.abs(diff) > F.lit(rules.jump_limit)) & ~F.isnan(diff)
-    return [
-        F.coalesce(pair.cast("int"), F.lit(0)).alias("_pair"),
-        F.coalesce(jump.cast("int"), F.lit(0)).alias("_jump"),
-    ]
-
-
 def _next_pair_flags(rules: QualityRules) -> list[Column]:
     """Pair and jump flags of (this row, next row), from ``_next_t``."""
     t, nt = F.col("temperature"), F.col("_next_t")
@@ -70,32 +58,17 @@ def _next_pair_flags(rules: QualityRules) -> list[Column]:
             F.coalesce(jump.cast("int"), F.lit(0)).alias("_jump_next")]
 
 
-def frame_stats(frame) -> list[Column]:
-    """Aggregates over a frame; ``_pair``/``_jump`` of the frame's first row
-    belong to a predecessor outside the frame and are taken out again."""
-    out = [F.count(F.lit(1)).over(frame).alias("n")]
-    for f in READING_FIELDS:
-        out.append(F.sum(f"_{f}_null").over(frame).alias(f"{f}_nulls"))
-    for f in READING_FIELDS:
-        out.append(F.sum(f"_{f}_nn").over(frame).alias(f"{f}_n"))
-        out.append(F.sum(f"_{f}_ok").over(frame).alias(f"{f}_valid"))
-    out.append((F.sum("_pair").over(frame) - F.first("_pair").over(frame)).alias("pairs"))
-    out.append((F.sum("_jump").over(frame) - F.first("_jump").over(frame)).alias("jumps"))
-    return out
-
+def prefix_stats(key, window_us: int) -> list[Column]:
+    """Window statistics as differences of running sums, O(1) per row.
 
-def prefix_stats(order, window_us: int) -> list[Column]:
-    """The same statistics as differences of running sums, O(1) per row.
-
-    A frame ``(t - W, t]`` holds what ``[-inf, t]`` holds minus ``[-inf, t - W]``;
-    Spark computes frames that start unbounded incrementally, while a bounded
-    sliding frame is re-aggregated for every row (O(window) per row). Pairs are
-    attached to their earlier element (``_pair_next``), so the pairs inside the
-    frame are the running sum minus the current row's own flag, and the first
-    timestamp of the frame is the successor of the last timestamp before it.
+    The window of a row holds the rows up to it (by time, then arrival) minus
+    those with ``ts <= t - W``. Pairs are attached to their earlier element
+    (``_pair_next``), so the pairs inside the window are the running sum minus
+    the current row's own flag, and the first timestamp of the window is the
+    successor of the last timestamp before it.
     """
-    upto = order.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    before = order.rangeBetween(Window.unboundedPreceding, -window_us)
+    upto = key.orderBy("us", "seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = key.orderBy("us").rangeBetween(Window.unboundedPreceding, -window_us)
 
     def diff(col: str) -> Column:
         return F.sum(col).over(upto) - F.coalesce(F.sum(col).over(before), F.lit(0))
@@ -121,7 +94,7 @@ def _stats_projection(extra: list[str]) -> list[str]:
 
 
 def trailing_window(readings: DataFrame, rules: QualityRules = DEFAULT_RULES,
-                    bucket_us: int = DEFAULT_BUCKET_US, method: str = "prefix") -> DataFrame:
+                    bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
     """Window statistics per reading (event-time form).
 
     ``readings`` needs ``seq, sensor_id, us, timestamp`` and the three fields;
@@ -129,7 +102,7 @@ def trailing_window(readings: DataFrame, rules: QualityRules = DEFAULT_RULES,
     ``n``, ``<field>_nulls``, ``<field>_n``, ``<field>_valid``, ``pairs``,
     ``jumps``, ``window_start`` (first in the window) and ``window_end``
     (the reading itself). Readings of one sensor with the same microsecond are
-    peers of each other's frames (event time cannot order them; use W2).
+    ordered by ``seq``.
     """
     window_us = rules.window_us
     if bucket_us < window_us:
@@ -145,28 +118,16 @@ def trailing_window(readings: DataFrame, rules: QualityRules = DEFAULT_RULES,
         F.explode(F.when(into_next, F.array(bucket, bucket + 1)).otherwise(F.array(bucket))).alias("_bucket"),
         bucket.alias("_own"),
     )
-    order = Window.partitionBy("sensor_id", "_bucket").orderBy("us")
-    if method == "prefix":
-        # flags of the pair (row, next row), attached to the earlier row
-        nxt = (spread.select("*", *reading_flags(rules),
-                             F.lead("temperature").over(order).alias("_next_t"),
-                             F.lead("us").over(order).alias("_next_us")))
-        flagged = nxt.select("*", *_next_pair_flags(rules))
-        stats = flagged.select(
-            "seq", "sensor_id", *passthrough, "us", "timestamp", "_bucket", "_own",
-            *prefix_stats(order, window_us),
-        )
-    else:
-        # lag once into a column: a Column reused in several expressions would
-        # be evaluated once per use
-        flagged = (spread.select("*", *reading_flags(rules), F.lag("temperature").over(order).alias("_prev_t"))
-                   .select("*", *jump_flags(F.col("_prev_t"), rules)))
-        frame = order.rangeBetween(-(window_us - 1), Window.currentRow)
-        stats = flagged.select(
-            "seq", "sensor_id", *passthrough, "us", "timestamp", "_bucket", "_own",
-            *frame_stats(frame),
-            F.min("us").over(frame).alias("_start_us"),
-        )
+    key = Window.partitionBy("sensor_id", "_bucket")
+    order = key.orderBy("us", "seq")
+    # flags of the pair (row, next row), attached to the earlier row
+    nxt = (spread.select("*", *reading_flags(rules),
+                         F.lead("temperature").over(order).alias("_next_t"),
+                         F.lead("us").over(order).alias("_next_us")))
+    stats = nxt.select("*", *_next_pair_flags(rules)).select(
+        "seq", "sensor_id", *passthrough, "us", "timestamp", "_bucket", "_own",
+        *prefix_stats(key, window_us),
+    )
     return (
         stats.where(F.col("_bucket") == F.col("_own"))
         .withColumn("window_start", from_micros("_start_us"))

@@ -10,19 +10,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 
 from sensorqc.operators.alerts import build_alerts
+from sensorqc.operators.arrival import DEFAULT_CHUNK_SPAN_US, arrival_window
 from sensorqc.operators.metrics import evaluate_all
 from sensorqc.operators.windows import DEFAULT_BUCKET_US, trailing_window
 from sensorqc.rules import DEFAULT_RULES, QualityRules
 
 
 def window_stats(readings: DataFrame, rules: QualityRules = DEFAULT_RULES, form: str = "event_time",
-                 bucket_us: int = DEFAULT_BUCKET_US, chunk_seqs: int | None = None) -> DataFrame:
+                 bucket_us: int = DEFAULT_BUCKET_US, chunk_seqs: int | None = None,
+                 chunk_span_us: int = DEFAULT_CHUNK_SPAN_US) -> DataFrame:
     """W1 (``form='event_time'``) or W2 (``form='arrival'``) statistics."""
     if form == "event_time":
         return trailing_window(readings, rules, bucket_us)
     if form == "arrival":
-        from sensorqc.operators.arrival import arrival_window
-        return arrival_window(readings, rules, chunk_seqs)
+        return arrival_window(readings, rules, chunk_seqs, chunk_span_us)
     raise ValueError(f"unknown window form {form!r}")
 
 

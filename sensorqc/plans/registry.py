@@ -63,7 +63,7 @@ def _metric(name: str, rules: QualityRules = FIXTURE_RULES) -> Query:
 
 
 def _parsed(spark, d):
-    return parse_readings(fixtures.readings_json(spark, d)).drop("raw")
+    return parse_readings(fixtures.readings_json(spark, d))
 
 
 def _sliding(panes: bool) -> Query:
@@ -83,6 +83,25 @@ def _arrival_metrics(spark, d):
     return quality_metrics(fixtures.readings_late(spark, d), FIXTURE_RULES, form="arrival")
 
 
+def stats(spark, d):
+    return trailing_window(readings(spark, d), FIXTURE_RULES)
+
+
+def _arrival_chunks(spark, d):
+    """W2 in chunks of ten minutes of arrival time: several at every scale."""
+    return window_stats(fixtures.readings_received(spark, d), FIXTURE_RULES, form="arrival", chunk_span_us=600_000_000)
+
+
+def _buckets(spark, d):
+    """W1 in the shortest buckets, five minutes: several at every scale."""
+    return trailing_window(readings(spark, d), FIXTURE_RULES, bucket_us=FIXTURE_RULES.window_us)
+
+
+def _publish_json(spark, d):
+    from sensorqc.sinks.tables import metric_records
+    return metric_records(metrics(spark, d)).select("sensor_id", "metric_name", "timestamp", "value_json")
+
+
 def _publish(spark, d):
     from sensorqc.sinks.tables import metric_records
     return metric_records(metrics(spark, d)).drop("value_json")
@@ -105,14 +124,18 @@ def queries() -> dict[str, Query]:
         "apply_retention": _retention,
         "parse_readings": _parsed,
         "accept_readings": lambda s, d: accept_readings(parse_readings(fixtures.readings_json(s, d))),
-        "reject_readings": lambda s, d: reject_readings(parse_readings(fixtures.readings_json(s, d))).drop("raw"),
+        "reject_readings": lambda s, d: reject_readings(parse_readings(fixtures.readings_json(s, d))),
         "within_lookback": lambda s, d: G.within_lookback(readings(s, d), AS_OF, minutes=10),
         "sensor_readings": lambda s, d: G.for_sensor(readings(s, d), SENSOR),
         "failed_metrics": lambda s, d: A.failed_metrics(metrics(s, d)),
         "publish_metrics": _publish,
+        "publish_metrics_json": _publish_json,
         # windows and metrics
         "trailing_window": lambda s, d: trailing_window(readings(s, d), FIXTURE_RULES),
+        "trailing_window_buckets": _buckets,
+        "trailing_window_ties": lambda s, d: trailing_window(fixtures.readings_coarse(s, d), FIXTURE_RULES),
         "arrival_window": _arrival,
+        "arrival_window_chunks": _arrival_chunks,
         "completeness": _metric("completeness"),
         "temperature_validity": _metric("temperature_validity"),
         "humidity_validity": _metric("humidity_validity"),
@@ -129,14 +152,21 @@ def queries() -> dict[str, Query]:
             "seq", "sensor_id", "metric_name", "message"),
         "alerts": alerts,
         "notify_candidates": lambda s, d: A.notify_candidates(alerts(s, d)),
-        "notification_severity": lambda s, d: A.notification_severity(A.notify_candidates(alerts(s, d))),
+        "notification_severity": lambda s, d: A.notification_severity_of(stats(s, d), FIXTURE_RULES),
+        "notification_severity_from_alerts": lambda s, d: A.notification_severity(A.notify_candidates(alerts(s, d))),
         "severity_colors": lambda s, d: A.with_severity_color(
-            A.notification_severity(A.notify_candidates(alerts(s, d)))),
+            A.notification_severity_of(stats(s, d), FIXTURE_RULES)),
         "alert_emojis": lambda s, d: A.with_alert_emoji(fixtures.system_events(s, d)).select(
             "seq", "alert_type", "emoji"),
-        "quality_notifications": lambda s, d: A.quality_notifications(alerts(s, d)).drop("payload"),
+        "quality_notifications": lambda s, d: A.quality_notifications_of(stats(s, d), FIXTURE_RULES).drop("payload"),
+        "quality_notifications_from_alerts": lambda s, d: A.quality_notifications(alerts(s, d)).drop("payload"),
+        "quality_notification_payloads": lambda s, d: A.quality_notifications_of(stats(s, d), FIXTURE_RULES).select(
+            "sensor_id", "seq", "payload"),
+        "system_notification_payloads": lambda s, d: A.system_notifications(fixtures.system_events(s, d)).select(
+            "seq", "payload"),
+        "daily_summary_payload": lambda s, d: A.daily_summary(readings(s, d), metrics(s, d), DAY).select("day", "payload"),
         "system_notifications": lambda s, d: A.system_notifications(fixtures.system_events(s, d)).drop("payload"),
-        "daily_summary": lambda s, d: A.daily_summary(readings(s, d), metrics(s, d), DAY),
+        "daily_summary": lambda s, d: A.daily_summary(readings(s, d), metrics(s, d), DAY).drop("payload"),
         # reports
         "sensor_data_count": lambda s, d: G.sensor_data_count(readings(s, d), None, 24, AS_OF),
         "sensor_data_count_sensor": lambda s, d: G.sensor_data_count(readings(s, d), SENSOR, 24, AS_OF),
@@ -150,15 +180,19 @@ def queries() -> dict[str, Query]:
             G.with_score_band(G.completeness_score(metrics(s, d), 1, AS_OF)), "quality_score"),
         "status_distribution": lambda s, d: G.status_distribution(metrics(s, d), 1, AS_OF),
         "recent_alerts": lambda s, d: G.recent_alerts(alerts(s, d), 1, 10, AS_OF),
-        "severity_counts": lambda s, d: G.severity_counts(alerts(s, d)),
-        "recent_critical_alerts": lambda s, d: G.recent_critical_alerts(alerts(s, d), 5),
+        "severity_counts": lambda s, d: G.severity_counts(alerts(s, d), 24, AS_OF),
+        "recent_critical_alerts": lambda s, d: G.recent_critical_alerts(alerts(s, d), 5, 24, AS_OF),
         "sensor_failure_rates": lambda s, d: G.sensor_failure_rates(summary(s, d)),
         "top_problem_sensors": lambda s, d: G.top_problem_sensors(G.sensor_failure_rates(summary(s, d)), 5),
         "active_sensor_count": lambda s, d: G.active_sensor_count(summary(s, d)),
         "system_statistics": lambda s, d: G.system_statistics(
             readings(s, d), metrics(s, d), alerts(s, d), AS_OF).drop("top_problematic_sensors"),
+        "system_statistics_top": lambda s, d: G.system_statistics(
+            readings(s, d), metrics(s, d), alerts(s, d), AS_OF).selectExpr("inline(top_problematic_sensors)"),
         "summary_head": lambda s, d: _r6(G.summary_head(summary(s, d), 10), "avg_value"),
-        "monitor_health": lambda s, d: G.monitor_health(readings(s, d), AS_OF),
+        "monitor_health": lambda s, d: G.monitor_health(readings(s, d), AS_OF).select(
+            "recent_data_count", "active_sensors", "processed_count", "status"),
+        "monitor_health_stopped": lambda s, d: G.monitor_health(readings(s, d), AS_OF, running=False),
         # described-only features (our semantics)
         "delayed_readings": lambda s, d: X.delayed_readings(fixtures.readings_received(s, d)),
         "offline_sensors": lambda s, d: X.offline_sensors(readings(s, d), AS_OF,

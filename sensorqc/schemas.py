@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql.types import (
     BooleanType,
     DateType,
-    DoubleType,
     FloatType,
     LongType,
     StringType,
@@ -26,18 +25,6 @@ READING_JSON_SCHEMA = StructType([
     StructField("_corrupt_record", StringType()),
 ])
 
-# Typed reading after parsing (seq = arrival number).
-READING_SCHEMA = StructType([
-    StructField("seq", LongType()),
-    StructField("sensor_id", StringType()),
-    StructField("area", StringType()),
-    StructField("us", LongType()),
-    StructField("timestamp", TimestampNTZType()),
-    StructField("temperature", DoubleType()),
-    StructField("humidity", DoubleType()),
-    StructField("wind_speed", DoubleType()),
-])
-
 SENSOR_DATA_SCHEMA = StructType([
     StructField("timestamp", TimestampNTZType(), False),
     StructField("sensor_id", StringType(), False),
@@ -46,6 +33,7 @@ SENSOR_DATA_SCHEMA = StructType([
     StructField("wind_speed", FloatType()),
     StructField("received_at", TimestampNTZType(), False),
     StructField("dt", DateType(), False),
+    StructField("batch_id", StringType(), False),
 ])
 
 QUALITY_METRICS_SCHEMA = StructType([
@@ -59,9 +47,11 @@ QUALITY_METRICS_SCHEMA = StructType([
     StructField("window_end", TimestampNTZType(), False),
     StructField("created_at", TimestampNTZType(), False),
     StructField("dt", DateType(), False),
+    StructField("batch_id", StringType(), False),
 ])
 
 ALERTS_SCHEMA = StructType([
+    StructField("seq", LongType()),
     StructField("timestamp", TimestampNTZType(), False),
     StructField("sensor_id", StringType(), False),
     StructField("alert_type", StringType(), False),
@@ -73,27 +63,33 @@ ALERTS_SCHEMA = StructType([
     StructField("resolved", BooleanType(), False),
     StructField("created_at", TimestampNTZType(), False),
     StructField("dt", DateType(), False),
+    StructField("batch_id", StringType(), False),
+])
+
+REJECTS_SCHEMA = StructType([
+    StructField("seq", LongType()),
+    StructField("reject_reason", StringType(), False),
+    StructField("raw", StringType()),
+    StructField("rejected_at", TimestampNTZType(), False),
+    StructField("dt", DateType(), False),
+    StructField("batch_id", StringType(), False),
 ])
 
 TABLE_SCHEMAS = {
     "sensor_data": SENSOR_DATA_SCHEMA,
     "quality_metrics": QUALITY_METRICS_SCHEMA,
     "alerts": ALERTS_SCHEMA,
+    "rejects": REJECTS_SCHEMA,
 }
 
+#: Partition columns of every table, in order: a day's folder holds its batches.
+PARTITIONS = ("dt", "batch_id")
+
 # Physical clustering of each table (sort key inside a file) and retention.
 TABLE_CLUSTERING = {
     "sensor_data": ("sensor_id", "timestamp"),
     "quality_metrics": ("sensor_id", "metric_name", "timestamp"),
     "alerts": ("timestamp", "sensor_id", "severity_rank"),
+    "rejects": ("reject_reason", "seq"),
 }
-TABLE_RETENTION_DAYS = {"sensor_data": 30, "quality_metrics": 90, "alerts": 180}
-
-# Window statistics every window operator (W1, W2) produces; metrics read these.
-WINDOW_STATS_COLUMNS = (
-    "seq", "sensor_id", "us", "timestamp",
-    "n", "temperature_nulls", "humidity_nulls", "wind_speed_nulls",
-    "temperature_n", "temperature_valid", "humidity_n", "humidity_valid",
-    "wind_speed_n", "wind_speed_valid", "pairs", "jumps",
-    "window_start", "window_end",
-)
+TABLE_RETENTION_DAYS = {"sensor_data": 30, "quality_metrics": 90, "alerts": 180, "rejects": 30}

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -47,6 +48,30 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(d)
         return d
-    d = fallback or tempfile.mkdtemp(prefix="sensorqc-ckpt-")
+    if fallback is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        fallback = tempfile.mkdtemp(prefix="sensorqc-ckpt-")
+    d = fallback
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Gives the package to the session's Python workers, once per session.
+
+    Workers do not have the driver's import path; the package goes to them as
+    a zip file, as ``--py-files`` would send it.
+    """
+    sc = spark.sparkContext
+    if any("sensorqc-package" in f for f in sc.listFiles):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="sensorqc-zip-"), "sensorqc-package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    file = os.path.join(folder, name)
+                    z.write(file, os.path.join("sensorqc", os.path.relpath(file, root)))
+    sc.addPyFile(path)

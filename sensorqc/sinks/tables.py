@@ -1,14 +1,16 @@
-"""Stored tables, the metric topic and retention.
-
-Tables are Parquet, partitioned by day (``dt``) so that time-bounded reports
-prune directories and retention drops whole partitions. Inside a file, rows
-are clustered by the table's key so Parquet min/max statistics skip row
-groups. Stream batches are written under ``batch_id=<n>`` with overwrite, so a
-replayed micro-batch replaces its own output instead of duplicating it.
+"""Stored tables, the metric topic and retention.
+
+Tables are Parquet in one layout, ``dt=<day>/batch_id=<batch>``: time-bounded
+reports prune days, and retention drops whole days. Every write is a batch of
+its own: a stream's micro-batch n is batch ``s<n>`` and replaces its own
+folders, so a replay does not duplicate rows; a batch load gets an id of its
+own. Inside a file, rows are sorted by the table's key so Parquet min/max
+statistics skip row groups.
 """
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 
 from sensorqc.functions.expressions import severity_rank
 from sensorqc.functions.timeutil import from_micros, iso_format, ntz_literal, to_micros
-from sensorqc.schemas import TABLE_CLUSTERING, TABLE_RETENTION_DAYS
+from sensorqc.schemas import PARTITIONS, TABLE_CLUSTERING, TABLE_RETENTION_DAYS
 
 
 def _ms(ts: str) -> Column:
@@ -52,9 +54,13 @@ def metric_rows(metrics: DataFrame, created_at: Column | None = None) -> DataFra
 
 
 def alert_rows(alerts: DataFrame, created_at: Column | None = None) -> DataFrame:
-    """S6 projection: alert rows as stored, ``resolved`` false."""
+    """S6 projection: alert rows as stored, ``resolved`` false.
+
+    ``seq`` names the evaluation, which notifications group by; the severity
+    rank and the metric's place follow from the stored names.
+    """
     return alerts.select(
-        _ms("timestamp").alias("timestamp"), "sensor_id", "alert_type", "severity", "message",
+        F.col("seq").cast("long").alias("seq"), _ms("timestamp").alias("timestamp"), "sensor_id", "alert_type", "severity", "message",
         "metric_name", F.col("metric_value").cast("float").alias("metric_value"),
         F.col("threshold").cast("float").alias("threshold"),
         F.coalesce(F.col("resolved"), F.lit(False)).alias("resolved"),
@@ -62,46 +68,88 @@ def alert_rows(alerts: DataFrame, created_at: Column | None = None) -> DataFrame
     ).withColumn("dt", F.to_date("timestamp"))
 
 
-def cluster_for_write(df: DataFrame, table: str, partitions: int | None = None) -> DataFrame:
-    """Range-partition by the table key and sort within partitions.
+def reject_rows(rejects: DataFrame, rejected_at: Column | None = None) -> DataFrame:
+    """Rejected messages as stored: arrival number, reason, raw text, time of rejection."""
+    seq = F.col("seq") if "seq" in rejects.columns else F.lit(None)
+    return rejects.select(seq.cast("long").alias("seq"), "reject_reason", "raw",
+                          _now(rejected_at).alias("rejected_at")).withColumn("dt", F.to_date("rejected_at"))
+
+
+def cluster_for_write(df: DataFrame, table: str, files: int | None = None) -> DataFrame:
+    """Range-partition by (day, table key) and sort by it.
 
-    Range partitioning samples the key once and gives files with disjoint key
-    ranges, which is what makes min/max skipping effective.
+    The day comes first in both, because the writer keeps an order that begins
+    with the partition columns (any other order it sorts away), and so that a
+    task writes few days: with n ranges over d days there are at most n + d
+    files. Ranges give files with disjoint keys, which makes min/max skipping
+    effective. ``files`` bounds the number of ranges (default: the session's
+    shuffle partitions).
     """
-    keys = [k for k in TABLE_CLUSTERING[table]]
-    if "severity_rank" in keys and "severity_rank" not in df.columns:
+    if "severity_rank" in TABLE_CLUSTERING[table]:
         df = df.withColumn("severity_rank", severity_rank())
-    parts = [F.col(k) for k in keys]
-    out = df.repartitionByRange(partitions, *parts) if partitions else df.repartitionByRange(*parts)
-    out = out.sortWithinPartitions(*parts)
-    return out.drop("severity_rank") if table == "alerts" else out
+    keys = [F.col(k) for k in (*[p for p in PARTITIONS if p in df.columns], *TABLE_CLUSTERING[table])]
+    out = df.repartitionByRange(files, *keys) if files else df.repartitionByRange(*keys)
+    return out.sortWithinPartitions(*keys).drop("severity_rank")
 
 
-def _write(df: DataFrame, path: str, table: str, batch_id: int | None, cluster: bool) -> None:
-    if cluster:
-        df = cluster_for_write(df, table)
+def batch_name(batch_id: int | str | None) -> str:
+    """``s<n>`` for a stream's micro-batch, the caller's text, or a new name for a load."""
     if batch_id is None:
-        df.write.mode("append").partitionBy("dt").parquet(path)
-    else:
-        df.write.mode("overwrite").partitionBy("dt").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+        return f"load-{uuid.uuid4().hex}"
+    return f"s{batch_id:010d}" if isinstance(batch_id, int) else batch_id
+
+
+def forget_batch(spark, path: str, batch_id: int | str) -> None:
+    """Drops a batch's folders under all days: a replay may stamp its rows with another day."""
+    folders = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/dt=*/batch_id={batch_name(batch_id)}")
+    fs = folders.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in fs.globStatus(folders) or []:
+        fs.delete(found.getPath(), True)
+
+
+def write_batch(df: DataFrame, path: str, table: str, batch_id: int | str | None = None, cluster: bool = True,
+                files: int | None = None) -> None:
+    """Writes rows (with ``dt``) as one batch of the table; a batch written again replaces itself."""
+    if batch_id is not None:
+        forget_batch(df.sparkSession, path, batch_id)
+    df = df.withColumn("batch_id", F.lit(batch_name(batch_id)))
+    if cluster:
+        df = cluster_for_write(df, table, files)
+    df.write.mode("append").partitionBy(*PARTITIONS).parquet(path)
 
 
-def append_readings(readings: DataFrame, path: str, batch_id: int | None = None, cluster: bool = True,
-                    received_at: Column | None = None) -> None:
+def append_readings(readings: DataFrame, path: str, batch_id: int | str | None = None, cluster: bool = True,
+                    received_at: Column | None = None, files: int | None = None) -> None:
     """Append readings to ``sensor_data``."""
-    _write(sensor_data_rows(readings, received_at), path, "sensor_data", batch_id, cluster)
+    write_batch(sensor_data_rows(readings, received_at), path, "sensor_data", batch_id, cluster, files)
 
 
-def append_metrics(metrics: DataFrame, path: str, batch_id: int | None = None, cluster: bool = True,
-                   created_at: Column | None = None) -> None:
+def append_metrics(metrics: DataFrame, path: str, batch_id: int | str | None = None, cluster: bool = True,
+                   created_at: Column | None = None, files: int | None = None) -> None:
     """Append metric rows to ``quality_metrics``."""
-    _write(metric_rows(metrics, created_at), path, "quality_metrics", batch_id, cluster)
+    write_batch(metric_rows(metrics, created_at), path, "quality_metrics", batch_id, cluster, files)
 
 
-def append_alerts(alerts: DataFrame, path: str, batch_id: int | None = None, cluster: bool = True,
-                  created_at: Column | None = None) -> None:
+def append_alerts(alerts: DataFrame, path: str, batch_id: int | str | None = None, cluster: bool = True,
+                  created_at: Column | None = None, files: int | None = None) -> None:
     """Append alerts to ``alerts``."""
-    _write(alert_rows(alerts, created_at), path, "alerts", batch_id, cluster)
+    write_batch(alert_rows(alerts, created_at), path, "alerts", batch_id, cluster, files)
+
+
+def append_rejects(rejects: DataFrame, path: str, batch_id: int | str | None = None,
+                   rejected_at: Column | None = None) -> None:
+    """Append rejected messages to ``rejects`` (few rows: not clustered)."""
+    write_batch(reject_rows(rejects, rejected_at), path, "rejects", batch_id, cluster=False)
+
+
+def compact_day(spark, path: str, table: str, day: str, batch_ids: list[str], files: int = 1) -> None:
+    """Rewrites finished batches of one day as one batch of few, sorted files.
+
+    The new batch is complete before the old folders are dropped by the
+    caller (as for retention); run it for days that no stream writes to.
+    """
+    rows = spark.read.parquet(path).where((F.col("dt") == F.lit(day).cast("date")) & F.col("batch_id").isin(batch_ids))
+    write_batch(rows.drop("batch_id"), path, table, f"compact-{day}-{uuid.uuid4().hex}", files=files)
 
 
 def metric_records(metrics: DataFrame) -> DataFrame:
@@ -129,15 +177,6 @@ def publish_metrics(metrics: DataFrame, fmt: str = "kafka", options: dict | None
         writer.mode("append").save(path)
 
 
-def console_sink(stream: DataFrame, trigger_seconds: int = 30, checkpoint: str | None = None):
-    """Update-mode console output, untruncated (development)."""
-    w = (stream.writeStream.outputMode("update").format("console").option("truncate", False)
-         .trigger(processingTime=f"{trigger_seconds} seconds"))
-    if checkpoint:
-        w = w.option("checkpointLocation", checkpoint)
-    return w.start()
-
-
 def apply_retention(df: DataFrame, ts_col: str = "timestamp", days: int | None = None,
                     as_of: datetime | None = None, table: str | None = None) -> DataFrame:
     """Keep rows younger than the retention (``ts + days > as_of``)."""

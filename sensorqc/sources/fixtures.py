@@ -78,6 +78,12 @@ def readings_received(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readings_from_events(events(spark, sf_dir), late=True, received=True)
 
 
+def readings_coarse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """readings of a clock that shows full minutes: many equal times per sensor."""
+    us = F.col("us") - F.pmod("us", F.lit(60_000_000))
+    return readings(spark, sf_dir).withColumn("us", us).withColumn("timestamp", from_micros("us"))
+
+
 def sensor_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Known sensor ids, one per customer key (most never report a reading)."""
     c = spark.read.parquet(f"{sf_dir}/customer.parquet")
@@ -92,7 +98,7 @@ def readings_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     ts = F.when(F.pmod(eid, F.lit(BAD_TS_EVERY)) == 0, F.lit("x")).otherwise(iso_format("timestamp"))
     text = F.to_json(F.struct(
         ts.alias("timestamp"), sid.alias("sensor_id"), F.col("area"),
-        F.col("temperature"), F.col("humidity"), F.col("wind_speed")))
+        F.col("temperature"), F.col("humidity"), F.col("wind_speed")), {"ignoreNullFields": "false"})
     cut = F.substring(text, 1, 40)
     return r.select("seq", F.when(F.pmod(eid, F.lit(CUT_JSON_EVERY)) == 0, cut).otherwise(text).alias("value"))
 

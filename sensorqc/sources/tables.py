@@ -1,4 +1,4 @@
-"""The three stored tables (Parquet, partitioned by day ``dt``)."""
+"""The stored tables (Parquet, ``dt=<day>/batch_id=<batch>``)."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorqc.functions.timeutil import lower_bound
-from sensorqc.schemas import TABLE_SCHEMAS
+from sensorqc.schemas import PARTITIONS, TABLE_SCHEMAS
 
 
 def read_table(spark: SparkSession, path: str, as_of: datetime | None = None, hours: float | None = None,
@@ -29,12 +29,21 @@ def read_table(spark: SparkSession, path: str, as_of: datetime | None = None, ho
 
 
 def define_tables(spark: SparkSession, base: str, database: str | None = None) -> list[str]:
-    """Create the three tables (if absent) as Parquet tables under ``base``."""
+    """Create the tables (if absent) as Parquet tables under ``base``.
+
+    Folders written before or since become visible by ``recover_partitions``.
+    """
     names = []
     for name, schema in TABLE_SCHEMAS.items():
         full = f"{database}.{name}" if database else name
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({cols}) USING parquet "
-                  f"PARTITIONED BY (dt) LOCATION '{base.rstrip('/')}/{name}'")
+                  f"PARTITIONED BY ({', '.join(PARTITIONS)}) LOCATION '{base.rstrip('/')}/{name}'")
         names.append(full)
     return names
+
+
+def recover_partitions(spark: SparkSession, names: list[str]) -> None:
+    """Registers the days and batches that streams and loads have written."""
+    for name in names:
+        spark.sql(f"MSCK REPAIR TABLE {name}")

@@ -2,22 +2,38 @@
 
 ``foreachBatch`` receives the window statistics of one micro-batch and, from
 one persisted copy, writes raw readings, metrics, alerts and notification
-payloads, and optionally publishes the metric records. Every table write goes
-to ``<table>/batch_id=<n>`` with overwrite, so a micro-batch replayed after a
-failure replaces its own output: the tables stay free of duplicates. (A Kafka
-publish is at-least-once; consumers dedupe on ``(sensor_id, timestamp,
-metric_name)``.)
+payloads, and optionally publishes the metric records. Rejected messages go to
+their own table from a query of their own (:class:`Rejects`). Every table
+write is the batch ``s<n>`` of the day it belongs to and replaces itself, so a
+micro-batch replayed after a failure leaves no duplicates. (A Kafka publish is
+at-least-once; consumers dedupe on ``(sensor_id, timestamp, metric_name)``.)
+
+Small batches make small files: finished days are rewritten by
+:func:`sensorqc.sinks.tables.compact_day`.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import datetime
+from zoneinfo import ZoneInfo
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from sensorqc.operators.alerts import build_alerts, quality_notifications
+from sensorqc.operators.alerts import build_alerts, quality_notifications_of
 from sensorqc.operators.metrics import evaluate_all
 from sensorqc.rules import DEFAULT_RULES, QualityRules
-from sensorqc.sinks.tables import append_alerts, append_metrics, append_readings, publish_metrics
+from sensorqc.sinks.tables import (append_alerts, append_metrics, append_readings, append_rejects, publish_metrics,
+                                  write_batch)
+from sensorqc.sources.readings import accept_readings, parse_readings, reject_readings
+from sensorqc.streaming.stateful import stateful_quality
+
+
+def _clock(spark: SparkSession) -> Column:
+    """The present wall-clock time in the session's zone, as one literal per micro-batch."""
+    zone = ZoneInfo(spark.conf.get("spark.sql.session.timeZone"))
+    return F.lit(datetime.now(zone).replace(tzinfo=None)).cast("timestamp_ntz")
 
 
 class FanOut:
@@ -34,18 +50,43 @@ class FanOut:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         stats = batch.persist()
         try:
-            # One processing time per micro-batch, as the stamp of every row.
-            now = F.lit(batch.sparkSession.range(1).select(F.localtimestamp()).first()[0]).cast("timestamp_ntz")
+            now = _clock(batch.sparkSession)
             at = F.col("timestamp") if self.at_reading else now
-            append_readings(stats, f"{self.base}/sensor_data", batch_id=batch_id, received_at=now)
+            # A micro-batch is small: one file per day and table.
+            append_readings(stats, f"{self.base}/sensor_data", batch_id=batch_id, received_at=now, files=1)
             metrics = evaluate_all(stats, self.rules, evaluated_at=at)
-            append_metrics(metrics, f"{self.base}/quality_metrics", batch_id=batch_id, created_at=now)
-            alerts = build_alerts(metrics)
-            append_alerts(alerts, f"{self.base}/alerts", batch_id=batch_id, created_at=now)
-            (quality_notifications(alerts).withColumn("dt", F.to_date("timestamp"))
-             .write.mode("overwrite").partitionBy("dt").parquet(f"{self.base}/notifications/batch_id={batch_id}"))
+            append_metrics(metrics, f"{self.base}/quality_metrics", batch_id=batch_id, created_at=now, files=1)
+            append_alerts(build_alerts(metrics), f"{self.base}/alerts", batch_id=batch_id, created_at=now, files=1)
+            messages = quality_notifications_of(stats.withColumn("timestamp", at), self.rules)
+            write_batch(messages.withColumn("dt", F.to_date("timestamp")).coalesce(1), f"{self.base}/notifications",
+                        "notifications", batch_id, cluster=False)
             fmt, options, path = self.publish
             if fmt:
                 publish_metrics(metrics, fmt, options, f"{path}/batch_id={batch_id}" if path else None)
         finally:
             stats.unpersist()
+
+
+class Rejects:
+    """Callable for ``foreachBatch`` on rejected messages: the table ``rejects``."""
+
+    def __init__(self, base_path: str):
+        self.path = f"{base_path.rstrip('/')}/rejects"
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        append_rejects(batch, self.path, batch_id, rejected_at=_clock(batch.sparkSession))
+
+
+def start_pipeline(messages: DataFrame, base_path: str, checkpoint: str, rules: QualityRules = DEFAULT_RULES,
+                   trigger: dict | None = None, evaluated_at_reading_time: bool = False, **stateful) -> list[StreamingQuery]:
+    """Messages -> all tables: one query for readings and what follows, one for rejects.
+
+    ``trigger`` as for ``writeStream.trigger`` (default: every 30 seconds).
+    """
+    trigger = trigger or {"processingTime": "30 seconds"}
+    parsed = parse_readings(messages)
+    fan_out = FanOut(base_path, rules, evaluated_at_reading_time=evaluated_at_reading_time)
+    sinks = (("readings", stateful_quality(accept_readings(parsed), rules, **stateful), fan_out),
+             ("rejects", reject_readings(parsed), Rejects(base_path)))
+    return [df.writeStream.foreachBatch(sink).option("checkpointLocation", f"{checkpoint.rstrip('/')}/{name}")
+            .trigger(**trigger).start() for name, df, sink in sinks]

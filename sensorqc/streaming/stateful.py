@@ -7,13 +7,22 @@ micro-batch of a sensor is sorted by arrival number and replayed on the
 readings are never dropped and results equal the batch W2 form.
 
 Each sensor's state is bounded by the window: every arrival evicts the points
-a window older than it. With ``idle_timeout_ms`` set, the state of sensors idle
-that long (processing time) also expires; that needs processing-time mode,
-whose housekeeping batches keep an ``availableNow`` query from ending, so use it
-with a processing-time trigger (the default is no expiry).
-
-State per sensor is bounded by the window (about 60 points at one reading per
-5 s); the shuffle is by ``sensor_id`` only, as a keyed state store requires.
+a window older than it. By default state is keyed by buckets of sensors, and
+sensors that have been silent for a day of event time are dropped from it: a
+sensor counts as silent when its newest point is ``idle_us`` older than the
+median of its bucket's newest points (a median, so that one sensor with a wrong
+clock moves nothing). The measure is event time and state alone, so replays
+and backfills give the same results. Points that old only matter to readings
+that are themselves later than that.
+
+Keys per sensor (``state_buckets=None``) can expire idle keys by processing
+time only (``idle_timeout_ms``, off by default), as a silent key is not called
+otherwise; that mode's housekeeping batches keep an ``availableNow`` query from
+ending.
+
+A key's rows of one micro-batch are sorted in one frame, as a keyed store
+requires; the source bounds a batch (``maxOffsetsPerTrigger``). The shuffle is
+by the key only.
 """
 
 from __future__ import annotations
@@ -33,6 +42,8 @@ FIELDS = ("temperature", "humidity", "wind_speed")
 OUTPUT_SCHEMA = ("seq long, sensor_id string, area string, us long, temperature double, humidity double, "
                  "wind_speed double, _start_us long, " + ", ".join(f"{c} long" for c in _COUNTS))
 DEFAULT_IDLE_TIMEOUT_MS = None
+DEFAULT_STATE_BUCKETS = 64
+DEFAULT_IDLE_US = 86_400_000_000  # a day
 
 
 class ArrivalQualityProcessor(StatefulProcessor):
@@ -121,7 +132,16 @@ BUCKET_STATE_SCHEMA = ("sensor_id array<string>, seq array<long>, us array<long>
                        "humidity array<double>, wind_speed array<double>")
 
 
-def _bucket_state_fn(rules: QualityRules):
+def drop_silent(wins: dict[str, ArrivalWindow], idle_us: int) -> None:
+    """Forgets windows whose newest point is ``idle_us`` behind the median of all."""
+    newest = {sid: max((us for _, us, *_ in win.points()), default=None) for sid, win in wins.items()}
+    times = sorted(us for us in newest.values() if us is not None)
+    for sid, us in newest.items():
+        if us is None or us < times[len(times) // 2] - idle_us:
+            del wins[sid]
+
+
+def _bucket_state_fn(rules: QualityRules, idle_us: int):
     """Keyed by a bucket of sensors: one call per bucket and micro-batch, the
     bucket's windows (all its sensors) stored as parallel arrays."""
     columns = [c.split()[0] for c in OUTPUT_SCHEMA.split(", ")]
@@ -148,6 +168,7 @@ def _bucket_state_fn(rules: QualityRules):
             c, start = win.push(seq, us, (t, h, w))
             starts.append(start)
             counts.append(tuple(c))
+        drop_silent(wins, idle_us)
         cols = ([], [], [], [], [], [])
         for sid, win in wins.items():
             for seq, us, t, h, w in win.points():
@@ -171,31 +192,29 @@ def use_rocksdb(spark) -> None:
 
 def stateful_quality(readings: DataFrame, rules: QualityRules = DEFAULT_RULES,
                      idle_timeout_ms: int | None = DEFAULT_IDLE_TIMEOUT_MS, engine: str = "group_state",
-                     state_buckets: int | None = None) -> DataFrame:
+                     state_buckets: int | None = DEFAULT_STATE_BUCKETS,
+                     idle_us: int = DEFAULT_IDLE_US) -> DataFrame:
     """Window statistics per arriving reading (W2 semantics) on a stream.
 
     Output: the W2 columns plus the reading's three fields (for the raw table).
-    ``engine='group_state'`` (default) runs ``applyInPandasWithState``, whose
-    state rides along with each key's rows; ``engine='transform'`` runs
+    ``state_buckets=B`` (default 64) keys the state by ``hash(sensor_id) mod B``:
+    one call per bucket and batch. The whole bucket's state is rewritten when
+    any of its sensors reports, which costs nothing extra when most sensors
+    report in every batch; pick B so that a bucket holds a few hundred sensors
+    at most. ``state_buckets=None`` keys by sensor: ``engine='group_state'`` runs
+    ``applyInPandasWithState``; ``engine='transform'`` runs
     ``transformWithStateInPandas`` with a ``ListState`` (one state-server round
-    trip per key and batch, about 4 ms here, so it suits few keys per batch).
-
-    ``state_buckets=B`` keys the state by ``hash(sensor_id) mod B`` instead of
-    by sensor: one call per bucket and batch instead of one per sensor. The
-    whole bucket's state is rewritten when any of its sensors reports, which
-    costs nothing extra when every sensor reports in every batch (the usual
-    trigger) and much per-key overhead is saved; pick B so that a bucket holds
-    a few hundred sensors at most. Idle expiry is per sensor key only.
+    trip per key and batch).
     """
     use_rocksdb(readings.sparkSession)
     area = F.col("area") if "area" in readings.columns else F.lit(None).cast("string")
     prepared = readings.select(
         "seq", "sensor_id", area.alias("area"), "us", *FIELDS,
         *[F.col(f).isNull().alias(f"{f}_isnull") for f in FIELDS])
-    if state_buckets:
+    if state_buckets and engine == "group_state":
         bucket = F.pmod(F.xxhash64("sensor_id"), F.lit(state_buckets)).alias("_state_bucket")
         stats = prepared.select("*", bucket).groupBy("_state_bucket").applyInPandasWithState(
-            _bucket_state_fn(rules), OUTPUT_SCHEMA, BUCKET_STATE_SCHEMA, "append", "NoTimeout")
+            _bucket_state_fn(rules, idle_us), OUTPUT_SCHEMA, BUCKET_STATE_SCHEMA, "append", "NoTimeout")
     elif engine == "transform":
         stats = prepared.groupBy("sensor_id").transformWithStateInPandas(
             statefulProcessor=ArrivalQualityProcessor(rules, idle_timeout_ms),

@@ -43,15 +43,13 @@ def test_message_rounds_like_python(spark):
 
 def test_fixed_point_formatting_matches_python(spark):
     rng = random.Random(1)
-    vals = [n / m * 100 for m in range(1, 120) for n in range(0, m + 1)]
-    vals += [100 - v for v in vals[:2000]] + [rng.uniform(-1000, 1000) for _ in range(2000)]
-    vals += [0.05, 0.15, 0.25, 2.675, -0.04, 1e-9, 123456.785]
+    vals = {n / m * 100 for m in [*range(1, 120), *range(1990, 2011), 3999, 4000] for n in range(0, m + 1)}
+    vals |= {n / 2000 for n in range(2001)} | {100 - v for v in list(vals)[:20000]}
+    vals |= {rng.uniform(-1000, 1000) for _ in range(5000)} | {rng.randrange(-10**6, 10**6) / 1000 for _ in range(5000)}
+    vals |= {0.05, 0.15, 0.25, 2.675, -0.04, 1e-9, 123456.785, -0.0, 0.125, 0.375, 2.5, -2.675, 1e11 + 0.25}
     df = spark.createDataFrame([(v,) for v in vals], "v double")
     got = df.select("v", py_fixed("v", 1).alias("a"), py_fixed("v", 2).alias("b")).collect()
-    bad = [(r.v, r.a, r.b) for r in got if (r.a, r.b) != (f"{r.v:.1f}", f"{r.v:.2f}")]
-    ratios = set(vals[:len(vals) - 2007])
-    assert not [b for b in bad if b[0] in ratios]  # exact on every ratio the metrics produce
-    assert len(bad) <= len(vals) * 0.001
+    assert not [(r.v, r.a, r.b) for r in got if (r.a, r.b) != (f"{r.v:.1f}", f"{r.v:.2f}")]
 
 
 def test_notification_payload(spark):
@@ -67,6 +65,58 @@ def test_notification_payload(spark):
                               "short": True}]
 
 
+def test_notifications_from_statistics_equal_those_from_alerts(spark):
+    """Without regrouping: one shuffle (the window's), the same messages."""
+    from sensorqc.operators.windows import trailing_window
+    from sensorqc.plans.pipeline import quality_alerts
+    from sensorqc.sources import fixtures
+    r = fixtures.readings(spark, "/root/testdata/sf0.001")
+    stats, alerts = trailing_window(r), quality_alerts(r)
+    for a, b in ((A.quality_notifications_of(stats), A.quality_notifications(alerts)),
+                 (A.notification_severity_of(stats), A.notification_severity(A.notify_candidates(alerts)))):
+        assert sorted(map(tuple, a.select(*b.columns).collect())) == sorted(map(tuple, b.collect()))
+        plan = a._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_fixed_values():
+    """Texts and thresholds as literals, so that a wrong constant cannot pass on both sides of a comparison."""
+    from sensorqc.functions import texts
+    from sensorqc.rules import DEFAULT_RULES as R
+    assert (R.max_missing_percent, R.validity_threshold, R.timeliness_threshold, R.consistency_threshold) == (20, 95, 90, 80) \
+        or R == R.__class__()
+    assert (R.window_us, R.expected_points, R.jump_limit) == (300_000_000, 60, 10)
+    assert [R.range_of(f) for f in ("temperature", "humidity", "wind_speed")] == [(-20, 40), (0, 100), (0, 50)]
+    assert texts.SEVERITIES == ("LOW", "MEDIUM", "HIGH", "CRITICAL")
+    assert texts.SEVERITY_COLORS == {"LOW": "good", "MEDIUM": "warning", "HIGH": "danger", "CRITICAL": "#FF0000"}
+    assert texts.SCORE_BANDS == (("red", 80.0), ("yellow", 95.0), ("green", None))
+
+
+def test_daily_summary_message(spark):
+    from sensorqc.plans.pipeline import quality_metrics
+    from sensorqc.sources import fixtures
+    r = fixtures.readings(spark, "/root/testdata/sf0.001")
+    got = A.daily_summary(r, quality_metrics(r), "2024-01-01").first()
+    p = json.loads(got.payload)
+    assert (p["username"], p["icon_emoji"], p["channel"]) == ("ReportBot", ":bar_chart:", "#smart-city-alerts")
+    att = p["attachments"][0]
+    assert att["color"] == "good" and att["title"] == "📊 일일 데이터 품질 요약 보고서" and att["ts"] == 1704153600
+    assert [f["title"] for f in att["fields"]] == ["총 센서 수", "처리된 데이터 건수", "품질 평가 수행 횟수", "실패한 품질 검사",
+                                                   "문제 센서 Top 5"]
+    assert att["fields"][0]["value"] == str(got.total_sensors) and att["fields"][1]["value"] == "1,000"
+    assert att["fields"][4] == {"title": "문제 센서 Top 5", "value": got.top_sensors_text, "short": False}
+    empty = A.daily_summary(r, quality_metrics(r), "2030-01-01").first()
+    assert len(json.loads(empty.payload)["attachments"][0]["fields"]) == 4
+
+
+def test_system_payload(spark):
+    ev = spark.createDataFrame([("SYSTEM_ERROR", "disk full", "HIGH")], "alert_type string, message string, severity string")
+    p = json.loads(A.system_notifications(ev).first().payload)
+    assert p == {"channel": "#smart-city-alerts", "username": "SystemBot", "icon_emoji": ":robot_face:", "attachments": [
+        {"color": "danger", "title": "🔥 시스템 알림 - SYSTEM_ERROR", "text": "disk full",
+         "footer": "Smart City Data Quality System"}]}
+
+
 def test_system_notification_lookups(spark):
     ev = spark.createDataFrame([("SENSOR_OFFLINE", "m", "CRITICAL"), ("WHATEVER", "m", "ODD")],
                                "alert_type string, message string, severity string")

@@ -45,6 +45,72 @@ def test_completeness_score_empty_is_null_and_band(spark):
     assert [x.band for x in G.with_score_band(bands).collect()] == ["red", "yellow", "yellow", "green"]
 
 
+def test_lookback_without_a_length_is_refused(spark):
+    import pytest
+    with pytest.raises(ValueError):
+        G.within_lookback(readings_df(spark, [(1, "A", 0, 1.0, 1.0, 1.0)]), AS_OF)
+
+
+def _stored(spark, tmp, how):
+    """The three tables as sinks write them: batch loads, or the stream's fan-out."""
+    from sensorqc.operators.windows import trailing_window
+    from sensorqc.sinks import tables as S
+    from sensorqc.streaming.fanout import FanOut
+    rows = [(i, "S%d" % (i % 5), i * 4, None if i % 3 else 10.0 + i % 50, None if i % 2 else 50.0, 5.0 if i % 4 else 90.0)
+            for i in range(150)]
+    r = readings_df(spark, rows)
+    m = quality_metrics(r)
+    if how == "batch":
+        S.append_readings(r, f"{tmp}/sensor_data")
+        S.append_metrics(m, f"{tmp}/quality_metrics")
+        S.append_alerts(A.build_alerts(m), f"{tmp}/alerts")
+    else:
+        stats = trailing_window(r).join(r.select("seq", "temperature", "humidity", "wind_speed"), "seq")
+        FanOut(tmp, evaluated_at_reading_time=True)(stats, 0)
+    return r, m, *[spark.read.parquet(f"{tmp}/{t}") for t in ("sensor_data", "quality_metrics", "alerts")]
+
+
+def test_reports_run_on_stored_tables(spark):
+    """Every report gives on the tables that the sinks wrote what it gives in memory."""
+    import tempfile
+    as_of = datetime(2024, 1, 1, 0, 30)
+    rows = lambda df: sorted(map(str, df.collect()))
+    for how in ("batch", "stream"):
+        r, m, sd, qm, al = _stored(spark, tempfile.mkdtemp(prefix="sensorqc-test-"), how)
+        mem = A.build_alerts(m)
+        assert al.count() == mem.count() > 100
+        assert G.sensor_data_count(sd, None, 24, as_of).first()["count"] == 150
+        text = lambda df: rows(df.select("timestamp", "sensor_id", "severity", "message"))
+        assert text(G.active_alerts(al, 24, as_of)) == text(G.active_alerts(mem, 24, as_of))
+        top, want = (G.recent_alerts(x, 1, 10, as_of).collect() for x in (al, mem))
+        assert top == want and len(top) == 10
+        counts = G.severity_counts(mem, 24, as_of)
+        assert rows(G.severity_counts(al, 24, as_of)) == rows(counts)
+        assert rows(G.severity_counts(G.active_alerts(al, 24, as_of), 24, as_of)) == rows(counts)
+        assert {x.severity: x.severity_rank for x in counts.collect()}.items() <= \
+            {"LOW": 1, "MEDIUM": 2, "HIGH": 3, "CRITICAL": 4}.items()
+        for source in (al, G.active_alerts(al, 24, as_of)):
+            assert G.recent_critical_alerts(source, 5, 24, as_of).collect() == \
+                G.recent_critical_alerts(mem, 5, 24, as_of).collect()
+        resolved = al.withColumn("resolved", F.lit(True))
+        assert G.severity_counts(resolved, 24, as_of).count() == 0 == G.recent_critical_alerts(resolved, 5, 24, as_of).count()
+        assert G.severity_counts(al, 24, datetime(2024, 1, 3)).count() == 0  # expired
+        stat = G.system_statistics(sd, qm, al, as_of).first()
+        same = G.system_statistics(r, m, mem, as_of).first()
+        assert stat == same and stat.active_alerts_count == mem.count()
+        summary = G.quality_metrics_summary(qm, 24, as_of)
+        assert G.summary_head(summary, 3).count() == 3 and G.active_sensor_count(summary).first()[0] == 5
+        assert G.status_distribution(qm, 1, as_of).count() == 2 and G.average_temperature_series(sd, 1, as_of).count() > 0
+        assert G.with_score_band(G.completeness_score(qm, 1, as_of)).first().band in ("red", "yellow", "green")
+        assert G.top_problem_sensors(G.sensor_failure_rates(summary), 2).count() == 2
+        health = G.monitor_health(sd, as_of, running=False).first()
+        assert (health.status, health.processed_count, health.processor_running) == ("stopped", 150, False)
+        assert G.monitor_health(sd, as_of, error="x").first().status == "unhealthy"
+        sev = lambda df: rows(df.select("sensor_id", "seq", "fail_count", "severity"))
+        assert sev(A.notification_severity(A.notify_candidates(al))) == sev(A.notification_severity(A.notify_candidates(mem)))
+        assert sev(A.quality_notifications(al)) == sev(A.quality_notifications(mem))
+
+
 def test_recent_alerts_newest_first_and_resolved_excluded(spark):
     rows = [(i, "A", i * 10, None, None, 1.0) for i in range(15)]  # completeness fails on every reading
     alerts = A.build_alerts(quality_metrics(readings_df(spark, rows)))

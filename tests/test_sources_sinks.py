@@ -50,7 +50,7 @@ def test_tables_write_read_and_prune(spark, tmp_dir):
     S.append_alerts(quality_alerts(r), f"{base}/alerts")
     sd = spark.read.parquet(f"{base}/sensor_data")
     assert sd.count() == r.count() and dict(sd.dtypes)["temperature"] == "float"
-    assert set(sd.columns) == {"timestamp", "sensor_id", "temperature", "humidity", "wind_speed", "received_at", "dt"}
+    assert set(sd.columns) == {"timestamp", "sensor_id", "temperature", "humidity", "wind_speed", "received_at", "dt", "batch_id"}
     # millisecond storage precision
     assert sd.where(F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', timestamp) % 1000 != 0")) \
         .count() == 0
@@ -59,16 +59,68 @@ def test_tables_write_read_and_prune(spark, tmp_dir):
     assert "PartitionFilters: [isnotnull(dt" in plan and "PushedFilters: [IsNotNull(timestamp), GreaterThanOrEqual(timestamp" in plan
     assert got.count() == spark.read.parquet(f"{base}/quality_metrics").count()
     names = define_tables(spark, f"{tmp_dir}/catalog")
-    assert [spark.table(n).columns[-1] for n in names] == ["dt", "dt", "dt"]
+    assert [spark.table(n).columns[-2:] for n in names] == [["dt", "batch_id"]] * 4
 
 
-def test_clustering_sorts_within_files(spark):
+def _files(path):
+    return [os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")]
+
+
+def _days(spark, n=3):
+    """The fixture's readings spread over n days."""
     r = fixtures.readings(spark, SF)
-    out = S.cluster_for_write(S.sensor_data_rows(r), "sensor_data", partitions=4)
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "rangepartitioning(sensor_id" in plan
-    parts = out.rdd.glom().map(lambda rows: [(x.sensor_id, x.timestamp) for x in rows]).collect()
-    assert all(p == sorted(p) for p in parts)
+    us = F.col("us") + F.pmod("seq", F.lit(n)) * F.lit(86_400_000_000)
+    return r.withColumn("us", us).withColumn("timestamp", F.timestamp_micros("us").cast("timestamp_ntz"))
+
+
+def test_files_are_sorted_by_the_table_key(spark, tmp_dir):
+    import pyarrow.parquet as pq
+    path = os.path.join(tmp_dir, "t")
+    S.append_readings(_days(spark), path, files=4)
+    files = _files(path)
+    assert 3 <= len(files) <= 4 + 3
+    for f in files:
+        t = pq.ParquetFile(f).read(columns=["sensor_id", "timestamp"]).to_pylist()
+        keys = [(x["sensor_id"], x["timestamp"]) for x in t]
+        assert keys == sorted(keys)
+
+
+def test_batch_and_stream_share_one_layout(spark, tmp_dir):
+    """Loads, micro-batches, replays, table definitions, retention and compaction on one path."""
+    from sensorqc.sources.tables import recover_partitions
+    base = os.path.join(tmp_dir, "all")
+    path = f"{base}/sensor_data"
+    r = _days(spark)
+    S.append_readings(r, path)
+    S.append_readings(r, path)  # another load adds rows
+    S.append_readings(r, path, batch_id=3)
+    S.append_readings(r, path, batch_id=3)  # a replay replaces them
+    n = r.count()
+    assert spark.read.parquet(path).count() == 3 * n
+    spark.sql("CREATE DATABASE IF NOT EXISTS layout")
+    names = define_tables(spark, base, "layout")
+    recover_partitions(spark, names[:1])
+    assert spark.table("layout.sensor_data").count() == 3 * n
+    gone = S.expired_partitions(spark, path, days=1, as_of=datetime(2024, 1, 3, 12))
+    assert gone == [f"{path}/dt=2024-01-01"] and os.path.isdir(gone[0])
+    batches = [x.batch_id for x in spark.read.parquet(path).select("batch_id").distinct().collect()]
+    S.compact_day(spark, path, "sensor_data", "2024-01-02", batches)
+    day = spark.read.parquet(path).where("dt = date'2024-01-02'")
+    new = day.where("batch_id like 'compact-%'")
+    assert new.count() * 2 == day.count()
+    assert len([f for f in _files(f"{path}/dt=2024-01-02") if "compact-" in f]) == 1
+    spark.sql("DROP DATABASE layout CASCADE")
+
+
+def test_published_records_reach_files(spark, tmp_dir):
+    import json
+    from sensorqc.plans.pipeline import quality_metrics
+    m = quality_metrics(fixtures.readings(spark, SF))
+    S.publish_metrics(m, "parquet", path=f"{tmp_dir}/topic")
+    got = spark.read.parquet(f"{tmp_dir}/topic")
+    assert got.columns == ["key", "value"] and got.count() == m.count()
+    row = got.first()
+    assert json.loads(row.value)["sensor_id"] == row.key
 
 
 def test_retention_keeps_rows_younger_than_the_limit(spark, tmp_dir):

@@ -17,18 +17,27 @@ def _rows(df):
             for r in df.orderBy("seq").collect()]
 
 
-@pytest.mark.parametrize("method", ["prefix", "frame"])
-def test_event_time_window_equals_replay_for_in_order_input(spark, method):
+def test_event_time_window_equals_replay_for_in_order_input(spark):
     r = fixtures.readings(spark, SF)
-    assert stats_by_seq(trailing_window(r, method=method)) == replay(_rows(r))
+    assert stats_by_seq(trailing_window(r)) == replay(_rows(r))
 
 
 @pytest.mark.parametrize("bucket_us", [300_000_000, 420_000_000, 3_600_000_000])
-@pytest.mark.parametrize("method", ["prefix", "frame"])
-def test_time_buckets_do_not_change_the_result(spark, bucket_us, method):
-    r = fixtures.readings(spark, SF)
-    assert stats_by_seq(trailing_window(r, bucket_us=bucket_us, method=method)) == \
-        stats_by_seq(trailing_window(r, bucket_us=10**15, method="frame"))
+@pytest.mark.parametrize("source", [fixtures.readings, fixtures.readings_coarse])
+def test_time_buckets_do_not_change_the_result(spark, bucket_us, source):
+    r = source(spark, SF)
+    assert stats_by_seq(trailing_window(r, bucket_us=bucket_us)) == stats_by_seq(trailing_window(r, bucket_us=10**15))
+
+
+def test_equal_times_are_ordered_by_arrival(spark):
+    rows = [(1, "A", 0, 10.0, 1.0, 1.0), (2, "A", 1, 11.0, 1.0, 1.0), (3, "A", 1, 12.0, 1.0, 1.0),
+            (4, "A", 2, 39.0, 1.0, 1.0)]
+    got = stats_by_seq(trailing_window(readings_df(spark, rows)))
+    assert {k: (v["n"], v["pairs"], v["jumps"]) for k, v in got.items()} == {1: (1, 0, 0), 2: (2, 1, 0), 3: (3, 2, 0),
+                                                                              4: (4, 3, 1)}
+    r = fixtures.readings_coarse(spark, SF)
+    assert r.groupBy("sensor_id", "us").count().where("count > 1").count() > 10
+    assert stats_by_seq(trailing_window(r)) == replay(_rows(r)) == stats_by_seq(arrival_window(r))
 
 
 def test_prefix_form_on_edge_rows(spark):
@@ -47,16 +56,48 @@ def test_bucket_shorter_than_window_is_refused(spark):
         trailing_window(fixtures.readings(spark, SF), bucket_us=1_000_000)
 
 
-@pytest.mark.parametrize("chunk_seqs,lookahead", [(None, 2), (1 << 22, 2), (40, 1), (97, 2), (7, 1)])
-def test_arrival_window_equals_replay_with_late_rows(spark, chunk_seqs, lookahead):
+@pytest.mark.parametrize("chunk_seqs", [None, 1 << 22, 40, 97, 7])
+def test_arrival_window_equals_replay_with_late_rows(spark, chunk_seqs):
     r = fixtures.readings_late(spark, SF)
-    got = stats_by_seq(arrival_window(r, chunk_seqs=chunk_seqs, lookahead=lookahead))
+    got = stats_by_seq(arrival_window(r, chunk_seqs=chunk_seqs))
     assert got == replay(_rows(r))
 
 
+@pytest.mark.parametrize("span_us", [60_000_000, 600_000_000, 3_600_000_000])
+def test_arrival_window_in_chunks_of_arrival_time(spark, span_us):
+    r = fixtures.readings_received(spark, SF)
+    assert stats_by_seq(arrival_window(r, chunk_span_us=span_us)) == replay(_rows(r))
+
+
+def test_arrival_window_with_a_reading_from_the_future(spark):
+    """Never removed, it enters every later chunk; the plan stays the same and nothing stays cached."""
+    rows = [(i, "A", i * 30, float(i % 7), 1.0, 1.0) for i in range(200)]
+    rows[3] = (3, "A", 10**7, 5.0, 1.0, 1.0)
+    expect = replay([(s, k, BASE + int(sec * 1e6), t, h, w) for s, k, sec, t, h, w in rows])
+    few, many = (arrival_window(readings_df(spark, rows), chunk_seqs=n) for n in (100, 4))
+    assert stats_by_seq(few) == expect == stats_by_seq(many)
+    size = lambda df: len(df._jdf.queryExecution().optimizedPlan().toString().splitlines())
+    assert size(few) == size(many)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+
+
+def test_kafka_numbers_follow_broker_time_over_partitions(spark):
+    """30 days of one sensor over four partitions: arrival order, and an hour to a chunk."""
+    from sensorqc.operators.arrival import DEFAULT_CHUNK_SPAN_US, arrival_chunk
+    from sensorqc.sources.readings import number_messages
+    raw = spark.range(0, 30 * 24 * 60).selectExpr(
+        "timestamp_micros(1704067200000000 + id * 60000000) as timestamp", "cast(id % 4 as int) as partition",
+        "id div 4 as offset", "cast('{}' as binary) as value", "id")
+    numbered = number_messages(raw).orderBy("seq")
+    times = [r.received_at for r in numbered.collect()]
+    assert times == sorted(times) and numbered.select("seq").distinct().count() == len(times)
+    chunks = numbered.select(arrival_chunk(numbered, None, DEFAULT_CHUNK_SPAN_US).alias("c")).distinct().count()
+    assert chunks == 720
+
+
 def test_arrival_window_sensor_going_back_in_time(spark):
     # A sensor replays old readings for a while: survivors outlive several
-    # chunks, which exercises the repeated lookahead.
+    # chunks and are matched with the sensor's list of chunks.
     rng = random.Random(7)
     rows, seq = [], 0
     for block in range(6):
@@ -68,10 +109,7 @@ def test_arrival_window_sensor_going_back_in_time(spark):
     df = readings_df(spark, rows)
     expect = replay([(s, k, BASE + int(round(sec * 1e6)), t, h, w) for s, k, sec, t, h, w in rows])
     for chunk_seqs in (10, 33, 1000):
-        assert stats_by_seq(arrival_window(df, chunk_seqs=chunk_seqs, lookahead=1)) == expect
-    # adaptive chunks a few windows long
-    assert stats_by_seq(arrival_window(df, lookahead=1, chunk_span_us=600_000_000)) == expect
-    assert stats_by_seq(arrival_window(df, lookahead=1, chunk_span_us=60_000_000)) == expect
+        assert stats_by_seq(arrival_window(df, chunk_seqs=chunk_seqs)) == expect
 
 
 def test_random_sequences_property(spark):
