@@ -1,4 +1,4 @@
-"""Connected components by minimum labels, for the links of near-duplicates."""
+"""Connected components by contraction, for the links of near-duplicates."""
 
 from __future__ import annotations
 
@@ -8,25 +8,41 @@ from pyspark.sql import functions as F
 from sensorqc.llm.common import checkpointed
 
 
+def _roots(parents: DataFrame) -> DataFrame:
+    """(id, parent) with every parent replaced by the root above it (pointer doubling)."""
+    while True:
+        above = parents.select(F.col("id").alias("parent"), F.col("parent").alias("next"))
+        jumped = checkpointed(parents.join(above, "parent").select("id", "next", F.col("parent").alias("was")))
+        parents = jumped.select("id", F.col("next").alias("parent"))
+        if jumped.filter("next <> was").isEmpty():
+            return parents
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component): the smallest id reachable, for every id in ``edges`` (a, b).
 
-    Each round takes the least label among the neighbours and then the label of
-    that label (pointer jumping), so rounds grow with the logarithm of a
-    component's diameter. Minima are combined before they are shuffled; hubs
-    are rows of the larger join side, which Spark splits. Labels are
-    checkpointed each round, so neither plans nor recomputation grow.
+    Each round hangs every node below its least neighbour, if that is smaller,
+    follows the parents up to the roots, and contracts the edges to roots. At
+    least half of a component's nodes go each round (roots are never
+    neighbours), so edges shrink geometrically and rounds are logarithmic.
+    Minima are combined before they are shuffled; a hub's edges are rows of
+    the larger join side, which Spark splits. Every step is checkpointed, so
+    neither plans nor recomputation grow.
     """
-    both = checkpointed(edges.selectExpr("a as id", "b as other")
-                        .union(edges.selectExpr("b as id", "a as other")).filter("id <> other").distinct())
-    labels = checkpointed(both.groupBy("id").agg(F.least(F.col("id"), F.min("other")).alias("component")))
-    while True:
-        near = (both.join(labels.selectExpr("id as other", "component"), "other")
-                .groupBy("id").agg(F.min("component").alias("near")))
-        step = labels.join(near, "id").select("id", F.col("component").alias("was"),
-                                              F.least("component", "near").alias("next"))
-        jumped = checkpointed(step.alias("s").join(labels.alias("l"), F.expr("s.next = l.id"), "left")
-                              .selectExpr("s.id", "s.was", "least(s.next, l.component) as component"))
-        labels = jumped.select("id", "component")
-        if jumped.filter("component <> was").isEmpty():
-            return labels
+    edges = checkpointed(edges.filter("a <> b").selectExpr("least(a, b) as a", "greatest(a, b) as b").distinct())
+    rounds: list[DataFrame] = []
+    while not rounds or not edges.isEmpty():
+        both = edges.selectExpr("a as id", "b as other").union(edges.selectExpr("b as id", "a as other"))
+        least = checkpointed(both.groupBy("id").agg(F.min("other").alias("other"))
+                             .selectExpr("id", "least(id, other) as parent"))
+        roots = _roots(least)
+        rounds.append(roots)
+        a, b = (roots.select(F.col("id").alias(x), F.col("parent").alias(f"root_{x}")) for x in "ab")
+        edges = checkpointed(edges.join(a, "a").join(b, "b").filter("root_a <> root_b")
+                             .selectExpr("least(root_a, root_b) as a", "greatest(root_a, root_b) as b").distinct())
+    found = rounds.pop()
+    while rounds:
+        higher = found.select(F.col("id").alias("parent"), F.col("parent").alias("higher"))
+        found = checkpointed(rounds.pop().join(higher, "parent", "left")
+                             .select("id", F.coalesce("higher", "parent").alias("parent")))
+    return found.select("id", F.col("parent").alias("component"))
