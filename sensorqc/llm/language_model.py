@@ -274,7 +274,8 @@ def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = 2, doc_id: str
         part = docs.filter(F.pmod(F.xxhash64(F.col(f"`{doc_id}`")), F.lit(rounds)) == r)
         moved = (part.select(F.col(f"`{text}`").alias("text")).mapInArrow(learn, "moved binary, weight binary").rdd
                  .map(lambda x: tuple(np.frombuffer(y, np.float32) for y in x)))
-        total = moved.treeReduce(lambda a, b: (a[0] + b[0], a[1] + b[1])) if not moved.isEmpty() else None
+        # A tree of depth 4 keeps what one task or the driver adds up to the fourth root of the number of tasks.
+        total = moved.treeAggregate(None, _sum, _sum, depth=4)
         if total is not None:
             sums, at = Model.read(total[0].tobytes()).w, 0
             for i, (rows, _) in enumerate(Model.SHAPES):
@@ -284,6 +285,12 @@ def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int = 2, doc_id: str
     return model
 
 
+def _sum(a: tuple | None, b: tuple | None) -> tuple | None:
+    if a is None or b is None:
+        return b if a is None else a
+    return a[0] + b[0], a[1] + b[1]
+
+
 def _steps(trainer: Trainer, held: list[tuple]) -> bool:
     rank, *f = (np.concatenate(x) for x in zip(*held))
     for at in range(0, len(rank), BATCH):
