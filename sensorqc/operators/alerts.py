@@ -201,7 +201,7 @@ def daily_summary(readings: DataFrame, metrics: DataFrame, day: str, top_k: int
         F.count(F.lit(1)).cast("long").alias("total_records"))
     per_sensor = in_day(metrics).groupBy("sensor_id").agg(
         F.count(F.lit(1)).cast("long").alias("checks"),
-        F.count_if(F.col("status") == "FAIL").cast("long").alias("fail_count"))
+        F.sum(F.when(F.col("status") == "FAIL", 1).otherwise(0)).alias("fail_count"))
     m = per_sensor.where(F.col("sensor_id").isNotNull() | (F.col("checks") > 0)).agg(
         F.sum("checks").cast("long").alias("quality_checks"),
         F.sum("fail_count").cast("long").alias("failed_checks"))

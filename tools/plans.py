@@ -27,6 +27,7 @@ def summarise(plan: str) -> dict:
         "sort-merge joins": plan.count("SortMergeJoin"),
         "broadcast hash joins": plan.count("BroadcastHashJoin"),
         "nested-loop joins (one-row sides)": plan.count("BroadcastNestedLoopJoin"),
+        "reused exchanges": plan.count("ReusedExchange"),
         "windows": len(re.findall(r"\bWindow \[", plan)),
         "python": bool(re.search(r"MapInPandas|FlatMapGroupsInPandas|ArrowEvalPython|BatchEvalPython", plan)),
         "top-k": plan.count("TakeOrderedAndProject"),
@@ -36,16 +37,19 @@ def summarise(plan: str) -> dict:
 
 
 def main() -> None:
-    import __spark_entry__ as E
+    from sensorqc.plans import registry
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session()
     print("# Physical plans of the registered queries\n")
     print(f"Generated by `python tools/plans.py {sf_dir}` after running each query "
           "(final adaptive plans). Counts are of operators in the executed plan.\n")
-    for name, fn in E.queries().items():
+    for name, fn in registry.queries().items():
         df = fn(spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()
-        s = summarise(df._jdf.queryExecution().executedPlan().toString())
+        df.collect()  # the adaptive plan is final once this very DataFrame has run
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        if "== Final Plan ==" in plan:
+            plan = plan[plan.index("== Final Plan =="):plan.index("== Initial Plan ==")]
+        s = summarise(plan)
         counts = ", ".join(f"{k} {v}" for k, v in s.items() if k not in ("scans", "pushed") and v)
         print(f"## {name}\n\n{counts or 'no shuffle'}\n")
         for sc in s["scans"]:
