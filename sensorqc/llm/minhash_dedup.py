@@ -46,7 +46,7 @@ from sensorqc.llm.shingles import mix, shingle_sets
 PLACES = 1 << 20
 BANDS, ROWS = 32, 4
 LEAST_AGREEMENT = 72  # of BANDS * ROWS
-BLOCK = 256  # classes in a block, on average
+BLOCK = 128  # classes in a block, on average
 BLOCK_CHARS = 4 << 20  # characters in a block, on average
 _SIGNED = ("doc_id bigint, n_shingles bigint, c1 bigint, c2 bigint, bands array<bigint>, sketch binary")
 

@@ -13,9 +13,9 @@ are exact and a document's end is its successor's start.
 
 Cases: a null source is a source of its own, after all others; a null or empty
 text has size 0 and is copied like any other document; equal sizes are ordered
-by doc_id (null first); identical rows (same id, source and text) are taken equally
-often, their mean rounded up; empty tables give empty results; columns other than the
-named ones, whatever their names, do not matter.
+by doc_id (null first); identical rows (same id, source and text) are planned one by
+one and emitted equally often, their mean rounded up; empty tables give empty results;
+columns other than the named ones, whatever their names, do not matter.
 """
 
 from __future__ import annotations
