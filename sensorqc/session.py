@@ -8,6 +8,7 @@ checkpoint directory only where the session has none.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 
@@ -49,7 +50,7 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
             spark.sparkContext.setCheckpointDir(d)
         return d
     if fallback is None:
-        if not spark.sparkContext.master.startswith("local["):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         fallback = tempfile.mkdtemp(prefix="sensorqc-ckpt-")
     d = fallback
