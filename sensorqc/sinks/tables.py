@@ -99,14 +99,18 @@ def batch_name(batch_id: int | str | None) -> str:
     return f"s{batch_id:010d}" if isinstance(batch_id, int) else batch_id
 
 
-def forget_batch(spark, path: str, batch_id: int | str) -> None:
-    """Drops a batch's folders under all days: a replay may stamp its rows with another day."""
-    folders = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/dt=*/batch_id={batch_name(batch_id)}")
+def _drop_folders(spark, pattern: str) -> None:
+    folders = spark._jvm.org.apache.hadoop.fs.Path(pattern)
     fs = folders.getFileSystem(spark._jsc.hadoopConfiguration())
     for found in fs.globStatus(folders) or []:
         fs.delete(found.getPath(), True)
 
 
+def forget_batch(spark, path: str, batch_id: int | str) -> None:
+    """Drops a batch's folders under all days: a replay may stamp its rows with another day."""
+    _drop_folders(spark, f"{path}/dt=*/batch_id={batch_name(batch_id)}")
+
+
 def write_batch(df: DataFrame, path: str, table: str, batch_id: int | str | None = None, cluster: bool = True,
                 files: int | None = None) -> None:
     """Writes rows (with ``dt``) as one batch of the table; a batch written again replaces itself."""
@@ -142,14 +146,17 @@ def append_rejects(rejects: DataFrame, path: str, batch_id: int | str | None = N
     write_batch(reject_rows(rejects, rejected_at), path, "rejects", batch_id, cluster=False)
 
 
-def compact_day(spark, path: str, table: str, day: str, batch_ids: list[str], files: int = 1) -> None:
-    """Rewrites finished batches of one day as one batch of few, sorted files.
+def compact_day(spark, path: str, table: str, day: str, files: int = 1) -> None:
+    """Rewrites the batches of a finished day as one batch of few, sorted files.
 
-    The new batch is complete before the old folders are dropped by the
-    caller (as for retention); run it for days that no stream writes to.
+    For days that no stream writes to any more. The old batches go once the
+    new one is complete; a reader in between sees both.
     """
-    rows = spark.read.parquet(path).where((F.col("dt") == F.lit(day).cast("date")) & F.col("batch_id").isin(batch_ids))
-    write_batch(rows.drop("batch_id"), path, table, f"compact-{day}-{uuid.uuid4().hex}", files=files)
+    old = spark.read.parquet(path).where(F.col("dt") == F.lit(day).cast("date"))
+    batches = [r["batch_id"] for r in old.select("batch_id").distinct().collect()]
+    write_batch(old.drop("batch_id"), path, table, f"compact-{uuid.uuid4().hex}", files=files)
+    for batch in batches:
+        _drop_folders(spark, f"{path}/dt={day}/batch_id={batch}")
 
 
 def metric_records(metrics: DataFrame) -> DataFrame:
