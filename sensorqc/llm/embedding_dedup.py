@@ -37,6 +37,7 @@ from sensorqc.llm.graph import components
 SAMPLE = 20_000  # vectors, at most, on which centroids are fitted
 MAX_CELLS = 4096
 BLOCK = 1024  # vectors in a block, on average
+ROWS = 512  # vectors compared with all centroids at a time
 THRESHOLD = 0.98
 _FOUND = "id bigint, n_links bigint, least bigint"
 
@@ -51,7 +52,7 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     """k unit centroids of the unit rows x; empty cells keep their centroid."""
     c = x[np.random.default_rng(0).choice(len(x), k, replace=False)]
     for _ in range(rounds):
-        cell = (x @ c.T).argmax(axis=1)
+        cell = np.concatenate([(x[i: i + ROWS] @ c.T).argmax(axis=1) for i in range(0, len(x), ROWS)])
         total = np.zeros_like(c)
         np.add.at(total, cell, x)
         size = np.linalg.norm(total, axis=1, keepdims=True)
@@ -84,20 +85,25 @@ def assigned(found: DataFrame, centroids: np.ndarray, margin: float) -> DataFram
 
     Vectors of another length than the centroids' are all in one cell, -1.
     """
-    gap = np.sqrt(np.maximum(2 - 2 * centroids @ centroids.T, 1e-24))
+    def visited(x: np.ndarray) -> list[list[int]]:
+        near = x @ centroids.T
+        own = near.argmax(axis=1)
+        gap = np.sqrt(np.maximum(2 - 2 * centroids[own] @ centroids.T, 1e-24))  # between the two centroids
+        border = (near[np.arange(len(x)), own][:, None] - near) / gap
+        return [[int(o), *(int(j) for j in np.flatnonzero(row) if j != o)] for o, row in zip(own, border <= margin)]
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            vs = b.column("v").to_pylist()
-            out = [[-1]] * len(vs)
-            at = [i for i, v in enumerate(vs) if len(v) == centroids.shape[1]]
-            if at:
-                near = unit(np.array([vs[i] for i in at], float)) @ centroids.T
-                own = near.argmax(axis=1)
-                border = (near[np.arange(len(at)), own][:, None] - near) / gap[own]
-                for i, o, visits in zip(at, own, border <= margin):
-                    out[i] = [int(o), *(int(j) for j in np.flatnonzero(visits) if j != o)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.list_(pa.int32()))], [*b.schema.names, "cells"])
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS):
+                b = whole.slice(start, ROWS)
+                vs = b.column("v").to_pylist()
+                out = [[-1]] * len(vs)
+                at = [i for i, v in enumerate(vs) if len(v) == centroids.shape[1]]
+                if at:
+                    for i, c in zip(at, visited(unit(np.array([vs[i] for i in at], float)))):
+                        out[i] = c
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.list_(pa.int32()))],
+                                                 [*b.schema.names, "cells"])
 
     return found.mapInArrow(cells, StructType([*found.schema, StructField("cells", ArrayType(IntegerType()))]))
 

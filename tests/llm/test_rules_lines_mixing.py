@@ -12,17 +12,10 @@ from tests.llm.conftest import AWKWARD, CLASHES
 
 def slow_measures(text):
     """The measurements as the definitions say, word by word."""
-    words, chars = [], 0
-    for c in (text or "") + " ":
-        if c in " \t\n\x0b\x0c\r":
-            words.append("")
-        else:
-            words and words[-1:] and None
-            if not words:
-                words.append("")
-            words[-1] += c
-            chars += 1
+    blanks = " \t\n\x0b\x0c\r"
+    words = "".join(" " if c in blanks else c for c in text or "").split(" ")
     words = [w for w in words if w]
+    chars = sum(map(len, words))
     windows = Counter(zip(words, words[1:], words[2:]))
     covered = {i + k for i in range(len(words) - 2) if windows[tuple(words[i:i + 3])] > 1 for k in range(3)}
     lines = [x for x in (text or "").split("\n") if x.strip(" \t\n\x0b\x0c\r")]
