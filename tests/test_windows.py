@@ -74,11 +74,12 @@ def test_arrival_window_with_a_reading_from_the_future(spark):
     rows = [(i, "A", i * 30, float(i % 7), 1.0, 1.0) for i in range(200)]
     rows[3] = (3, "A", 10**7, 5.0, 1.0, 1.0)
     expect = replay([(s, k, BASE + int(sec * 1e6), t, h, w) for s, k, sec, t, h, w in rows])
+    cached = spark.sparkContext._jsc.getPersistentRDDs().size()
     few, many = (arrival_window(readings_df(spark, rows), chunk_seqs=n) for n in (100, 4))
     assert stats_by_seq(few) == expect == stats_by_seq(many)
     size = lambda df: len(df._jdf.queryExecution().optimizedPlan().toString().splitlines())
     assert size(few) == size(many)
-    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= cached
 
 
 def test_kafka_numbers_follow_broker_time_over_partitions(spark):
