@@ -1,20 +1,27 @@
-"""Hashed maximum-entropy language model with a class-factored softmax.
+"""Word model of all n-grams up to three, backed off to a hashed maximum-entropy model.
 
-What is gathered from the corpus: the count of every distinct token of all
-training documents (one distributed table that grows with the corpus), and the
-model's weights, trained on every training document once.
+What is gathered from the corpus: the count of every distinct token, pair and
+triple of all training documents (tables that grow with the corpus; none is
+left out or folded), and the weights of the back-off, trained on every
+training document once.
 
 Tokens are the words (A-Z lower-cased) and one end per text, held as 64-bit
-hashes. The ``WORDS`` most frequent are modelled one by one, in ``CLASSES``
+hashes. A token's chance after the tokens u, v is
+
+    P(w | u v) = (c(u v w) + TRIPLE_PRIOR * P(w | v)) / (c(u v) + TRIPLE_PRIOR)
+    P(w | v) = (c(v w) + PAIR_PRIOR * Q(w | u v)) / (c(v) + PAIR_PRIOR)
+
+for every word of the corpus, frequent or rare. Q is the back-off, of fixed
+size. It models the ``WORDS`` most frequent words one by one, in ``CLASSES``
 classes of equal size by rank; all others form one more class:
 
-    P(token | history) = P(class | history) * P(token | class, history)
+    Q(token | history) = Q(class | history) * Q(token | class, history)
 
 Both factors are softmaxes over sums of weight rows picked by features of the
-history: the previous word, the word before it (a skip), and both together,
-hashed into fixed tables. Inside the class of other words probability is
-(c + 1) / (N' + V' + 1) with the class's own token and type numbers, so
-unseen words have their share.
+history: the previous word, the word before it (a skip), and for the class
+both together, hashed into fixed tables. Inside the class of other words
+probability is (c + 1) / (N' + V' + 1) with the class's own token and type
+numbers, so unseen words have their share.
 
 Training is distributed stochastic gradient: each task walks through its
 documents in mini-batches, from the common weights; after a round the weights
@@ -22,9 +29,9 @@ are averaged row by row, each task weighing as often as it saw the feature.
 The gradient's expected counts are estimated by one draw per token from the
 model (unbiased). Rounds take disjoint parts of the training documents.
 
-Counts of the ``HEAD`` most frequent tokens (a bounded table) go to all tasks.
-Other tokens of a document are joined with the count table; as the frequent
-ones are gone, no join key is hot.
+The ``HEAD`` most frequent tokens (a bounded table) with their ranks go to all
+tasks. Counts of n-grams are looked up by chunks of documents, see
+``gram_counts``; no key is hot, as a chunk asks for an n-gram once.
 
 Cases: a null or empty text is the end alone; texts are read whole; repeated
 rows are scored each; a null doc_id is a training document; with no training
@@ -43,10 +50,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorqc.llm.common import written
+from sensorqc.llm.common import runs, written
 from sensorqc.llm.shingles import mix, word_hashes
 
 END = np.uint64(0x454E44)  # stands for the end of a text
+START = np.uint64(0x5354415254)  # and for what is before its first token
 HEAD = 1 << 18
 CLASSES, MEMBERS = 32, 32
 WORDS = CLASSES * MEMBERS
@@ -55,6 +63,9 @@ WORD_ROWS = 256  # and for words
 BATCH = 1 << 16  # tokens in a mini-batch
 RATE = 0.15
 COUNTED_AT_ONCE = 1 << 22  # tokens counted in a task before they are sent on
+CHUNK = 3 << 20  # bytes of text in a chunk
+BUCKET = 1 << 21  # n-grams in a bucket
+PAIR_PRIOR, TRIPLE_PRIOR = 200.0, 50.0  # tokens that the shorter history's chances weigh
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -299,44 +310,118 @@ def _steps(trainer: Trainer, held: list[tuple]) -> bool:
     return True
 
 
-# -- scoring ------------------------------------------------------------------------------------------------------
+# -- n-grams ------------------------------------------------------------------------------------------------------
 
-_PARTS = ("uid bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, n_other bigint, "
-          "head_log double, head_other_log double, model_log double, other array<bigint>, times array<int>")
+_ODD = [np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
+_DOCS = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("text", pa.large_string())])
 
 
-def parts(docs: DataFrame, vocabulary: Vocabulary, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document all that head and model say, and its tokens outside the head with their numbers."""
-    sc = docs.sparkSession.sparkContext
-    shared, weights = sc.broadcast(vocabulary), sc.broadcast(model.write())
+def grams(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """(3, n) keys of the token, the pair and the triple that end at each token."""
+    start = bounds[:-1]
+    one, two = np.empty_like(h), np.empty_like(h)
+    one[1:], two[2:] = h[:-1], h[:-2]
+    one[start] = two[start] = START
+    inner = start + 1
+    two[inner[inner < bounds[1:]]] = START
+    key = h * _ODD[0]
+    pair = key + one * _ODD[1]
+    return np.stack([mix(key + np.uint64(1)), mix(pair + np.uint64(2)), mix(pair + two * _ODD[2] + np.uint64(3))])
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """Bytes of 64-bit numbers, all first bytes, then all second ones: the shuffle's codec shortens them."""
+    return x.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _numbers(raw: bytes, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(kind).ravel()
+
+
+def chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(chunk, docs): the documents in chunks of about ``CHUNK`` bytes, each a compressed Arrow stream."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, chunk = [], 0, TaskContext.get().partitionId() << 33
+
+        def made() -> pa.RecordBatch:
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, _DOCS, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_table(pa.Table.from_batches(held).cast(_DOCS).combine_chunks())
+            return pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([sink.getvalue().to_pybytes()])],
+                                              ["chunk", "docs"])
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, m, uid = shared.value, Model.read(weights.value), TaskContext.get().partitionId() << 33
         for whole in batches:
-            for at in range(0, whole.num_rows, 128):
-                batch = whole.slice(at, 128)
-                h, bounds = tokens(batch.column(2))
-                rank, count = known.look(h)
-                log_count, log_model = np.log10(count + 1.0), _log_model(m, h, rank, bounds)
-                other = (rank < 0) | (rank >= WORDS)
-                add = lambda x: np.add.reduceat(x, bounds[:-1])  # noqa: E731  every text has an end
-                tails, times = [], []
-                for a, b in zip(bounds, bounds[1:]):
-                    t, n = np.unique(h[a:b][rank[a:b] < 0], return_counts=True)
-                    tails.append(t.view(np.int64))
-                    times.append(n.astype(np.int32))
-                n = batch.num_rows
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.arange(uid, uid + n)), batch.column(0), batch.column(1), pa.array(np.diff(bounds)),
-                    pa.array(add((rank >= 0).astype(np.int64))), pa.array(add(other.astype(np.int64))),
-                    pa.array(add(log_count)), pa.array(add(np.where(other, log_count, 0))), pa.array(add(log_model)),
-                    pa.array(tails, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int32()))],
-                    ["uid", "doc_id", "held_out", "n_tokens", "n_known", "n_other", "head_log", "head_other_log",
-                     "model_log", "other", "times"])
-                uid += n
+            for at in range(0, whole.num_rows, 16):
+                held.append(whole.slice(at, 16))
+                size += held[-1].nbytes
+                if size >= CHUNK:
+                    yield made()
+                    held, size, chunk = [], 0, chunk + 1
+        if held:
+            yield made()
 
     return (docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), held_out(doc_id).alias("held_out"),
-                        F.col(f"`{text}`").alias("text")).mapInArrow(score, _PARTS))
+                        F.col(f"`{text}`").alias("text")).mapInArrow(cut, "chunk bigint, docs binary"))
+
+
+def _opened(raw: bytes) -> tuple[pa.Table, np.ndarray, np.ndarray]:
+    """A chunk's documents with their tokens."""
+    table = pa.ipc.open_stream(raw).read_all().combine_chunks()
+    return table, *tokens(table["text"].combine_chunks() if table["text"].num_chunks != 1 else table["text"].chunk(0))
+
+
+def gram_counts(chunk_table: DataFrame, bits: int) -> DataFrame:
+    """(chunk, bucket, counts): how often each distinct n-gram of a chunk occurs in all training documents.
+
+    A chunk's distinct n-grams, in the order of their keys, go to 2**bits
+    buckets by their first bits; a bucket adds up what its chunks have and
+    answers each chunk in the order in which it asked. However frequent an
+    n-gram, a chunk sends it once.
+    """
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, raw in zip(*(c.to_pylist() for c in batch.columns)):
+                table, h, bounds = _opened(raw)
+                train = np.repeat(~np.array(table["held_out"].to_pylist(), bool), np.diff(bounds))
+                keys, at = np.unique(grams(h, bounds).ravel(), return_inverse=True)
+                times = np.bincount(at, np.tile(train, 3), len(keys)).astype(np.int64)
+                bucket = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+                cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1), len(keys)]
+                for a, b in zip(cuts, cuts[1:]):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([bucket[a]]), pa.array([chunk]), pa.array([_planes(keys[a:b])]),
+                         pa.array([_planes(times[a:b])])], ["bucket", "chunk", "keys", "times"])
+
+    def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (bucket,), rows in runs(batches, ["bucket"]):
+            keys = [_numbers(x.as_py(), np.uint64) for x in rows["keys"]]
+            times = np.concatenate([_numbers(x.as_py(), np.int64) for x in rows["times"]])
+            found, at = np.unique(np.concatenate(keys), return_inverse=True)
+            counts = np.bincount(at, times, len(found)).astype(np.int64)[at]
+            for chunk, own in zip(rows["chunk"].to_pylist(), np.split(counts, np.cumsum([len(k) for k in keys])[:-1])):
+                yield pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([bucket]), pa.array([_planes(own)])],
+                                                 ["chunk", "bucket", "counts"])
+
+    return (chunk_table.mapInArrow(asked, "bucket bigint, chunk bigint, keys binary, times binary")
+            .repartition("bucket").sortWithinPartitions("bucket")
+            .mapInArrow(answered, "chunk bigint, bucket bigint, counts binary"))
+
+
+def mixed(chance: np.ndarray, count: np.ndarray, bounds: np.ndarray, texts: int) -> np.ndarray:
+    """Chances by n-grams, backing off from triples to pairs to ``chance``; count: (3, n), texts: training texts."""
+    start = bounds[:-1]
+    one, two = np.empty(len(chance)), np.empty(len(chance))
+    one[1:], two[1:] = count[0][:-1], count[1][:-1]
+    one[start], two[start] = texts, 0
+    third = count[2].copy()
+    third[start] = 0  # a first token has no two tokens before it
+    chance = (count[1] + PAIR_PRIOR * chance) / (one + PAIR_PRIOR)
+    return (third + TRIPLE_PRIOR * chance) / (two + TRIPLE_PRIOR)
+
+
+# -- scoring ------------------------------------------------------------------------------------------------------
 
 
 def _log_model(m: Model, h: np.ndarray, rank: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -359,16 +444,35 @@ def score(docs: DataFrame, rounds: int = 2, head: int = HEAD, doc_id: str = "doc
     training = docs.filter(~held_out(doc_id))
     counts = written(token_counts(training, text), "token-counts")
     known = Vocabulary.of(counts, head)
-    every = written(parts(docs, known, train(training, known, rounds, doc_id, text), doc_id, text), "scores")
-    tail = every.select("uid", F.explode(F.arrays_zip("other", "times")).alias("t")).select(
-        "uid", F.col("t.other").alias("h"), F.col("t.times").alias("times"))
-    rest = (tail.join(counts.hint("merge"), "h").groupBy("uid").agg(
-        F.sum("times").alias("tail_known"), F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("tail_log")))
-    n, v = known.modelled
-    tail_log, other = F.coalesce("tail_log", F.lit(0.0)), F.lit(float(np.log10(known.n - n + known.v - v + 1)))
-    base = F.col("head_log") + tail_log - F.col("n_tokens") * F.lit(float(np.log10(known.n + known.v + 1)))
-    model = F.col("model_log") + F.col("head_other_log") + tail_log - F.col("n_other") * other
-    return every.drop("other", "times").join(rest.hint("merge"), "uid", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"),
-        F.lit(known.n).cast("long").alias("train_tokens"), base.alias("base_score"),
-        F.when(F.lit(known.n > 0), model).otherwise(base).alias("score"))
+    ends = counts.filter(F.col("h") == int(END)).first()
+    texts = ends["c"] if ends else 0
+    model = train(training, known, rounds, doc_id, text)
+    cut = written(chunks(docs, doc_id, text), "chunks")
+    answers = gram_counts(cut, max(0, int(np.ceil(np.log2(max(3 * known.n, 1) / BUCKET)))))
+    sc = docs.sparkSession.sparkContext
+    shared, weights = sc.broadcast(known), sc.broadcast(model.write())
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, m = shared.value, Model.read(weights.value)
+        n, v = known.modelled
+        rest = known.n - n + known.v - v + 1
+        for _, rows in runs(batches, ["chunk"]):
+            table, h, bounds = _opened(rows["data"][0].as_py())
+            at = np.unique(grams(h, bounds).ravel(), return_inverse=True)[1]
+            count = np.concatenate([_numbers(x.as_py(), np.int64) for x in rows["data"][1:]])[at].reshape(3, -1)
+            rank = known.look(h)[0]
+            other = (rank < 0) | (rank >= WORDS)
+            chance = 10 ** _log_model(m, h, rank, bounds) * np.where(other, (count[0] + 1) / rest, 1)
+            add = lambda x: np.add.reduceat(x, bounds[:-1])  # noqa: E731  every text has an end
+            base = add(np.log10((count[0] + 1) / (known.n + known.v + 1)))
+            yield pa.RecordBatch.from_arrays(
+                [table["doc_id"].combine_chunks(), table["held_out"].combine_chunks(), pa.array(np.diff(bounds)),
+                 pa.array(add((count[0] > 0).astype(np.int64))), pa.array(np.full(len(bounds) - 1, known.n)),
+                 pa.array(base), pa.array(add(np.log10(mixed(chance, count, bounds, texts))) if known.n else base)],
+                ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    asked = cut.select("chunk", F.lit(-1).cast("long").alias("bucket"), F.col("docs").alias("data"))
+    return (asked.union(answers.select("chunk", "bucket", "counts"))
+            .repartition("chunk").sortWithinPartitions("chunk", "bucket")
+            .mapInArrow(judge, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
+                               "base_score double, score double"))
