@@ -13,7 +13,8 @@ table (partition, then order in it), and the plan's slots say which numbers of
 a length go to which sequences. No piece is compared with another, and equal
 lengths, however many, are spread over all tasks.
 
-Cases: a null text is an empty document, its only token is ``end_id``; only
+Cases: a null text is an empty document, its only token is ``end_id``; added
+tokens of the vocabulary that stand in a text get their own ids; only
 documents over ``seq_len`` tokens are cut, their first piece being the shorter
 one; repeated rows are packed each; an empty table gives no sequences; other
 columns do not matter.
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from sensorqc.llm.common import written
-from sensorqc.llm.tokens import encoder, vocabulary
+from sensorqc.llm.tokens import contract_encoder, vocabulary
 
 SEQ_LEN = 1024
 END_ID = 2
@@ -59,7 +60,7 @@ def pieces(docs: DataFrame, path: str | None = None, seq_len: int = SEQ_LEN, end
     schema = pa.schema(_PIECES + [("ids", pa.binary())] * with_ids)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, part, seen = encoder(vocab), TaskContext.get().partitionId(), [0] * (seq_len + 1)
+        ids_of, part, seen = contract_encoder(vocab), TaskContext.get().partitionId(), [0] * (seq_len + 1)
         for batch in batches:
             rows: list[tuple] = []
             for d, t in zip(*(c.to_pylist() for c in batch.columns)):

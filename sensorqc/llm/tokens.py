@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import base64
+import json
+import os
+import re
 from collections.abc import Callable
 from functools import cache
 
@@ -35,3 +38,44 @@ def encoder(path: str) -> Callable[[str], list[int]]:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
     made = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     return made.encode_ordinary
+
+
+@cache
+def contract_encoder(path: str) -> Callable[[str], list[int]]:
+    """text -> ids as ``tokenizers`` gives them for the vocabulary's ``.json`` with add_special_tokens=False.
+
+    Added tokens of the ``.json`` that stand in the text get their own ids. For
+    a ``.tiktoken`` file the ``.json`` of the same name beside it lists them:
+    the text is split at them and the parts are read by the faster ``encoder``.
+    """
+    if path.endswith(".json"):
+        from tokenizers import Tokenizer
+
+        made = Tokenizer.from_file(path)
+        return lambda text: made.encode(text, add_special_tokens=False).ids
+    listing, plain = f"{path.removesuffix('.tiktoken')}.json", encoder(path)
+    if not os.path.exists(listing):
+        return plain
+    with open(listing, encoding="utf-8") as f:
+        added = json.load(f)["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in added):
+        return contract_encoder(listing)  # these match by more than their text
+    ids = {t["content"]: t["id"] for t in added}
+    if not ids:
+        return plain
+    # The leftmost match, and of several the longest.
+    split = re.compile("(" + "|".join(map(re.escape, sorted(ids, key=len, reverse=True))) + ")").split
+
+    def encode(text: str) -> list[int]:
+        parts = split(text)
+        if len(parts) == 1:
+            return plain(text)
+        out: list[int] = []
+        for k, part in enumerate(parts):
+            if k % 2:
+                out.append(ids[part])
+            elif part:
+                out += plain(part)
+        return out
+
+    return encode

@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 
 from sensorqc.llm import packing, queries, token_counts
 from sensorqc.llm.common import shared_folder, written
-from sensorqc.llm.tokens import encoder, vocabulary
+from sensorqc.llm.tokens import contract_encoder, encoder, vocabulary
 from tests.llm.conftest import AWKWARD, SF, given
 
 
@@ -34,6 +34,29 @@ def test_token_counts_query(spark, ids):
     assert got == {r["doc_id"]: len(ids(r["text"])) for r in given("documents")}
 
 
+ADDED = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>  y ", "<|endoftext|", "  <|endoftext|>\n\n z",
+         "<|endoftext|>'s <|<|endoftext|>|> ü", "word " * 70 + "<|endoftext|> " * 3 + "word " * 70]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.tiktoken", "byte_bpe_50k.json"])
+def test_added_tokens_in_packed_texts(spark, ids, name):
+    docs = list(enumerate(ADDED))
+    assert [contract_encoder(vocabulary(name))(t) for t in ADDED] == [ids(t) for t in ADDED]
+    rows = packing.pack(spark.createDataFrame(docs, "doc_id long, text string"), vocabulary(name), seq_len=64).collect()
+    check_packed(rows, docs, ids, 64)
+
+
+def test_token_files_keep_the_literal_as_text(spark):
+    """In the flat files the id ends a document, so a text must not hold it."""
+    assert all(token_counts.END not in encoder(vocabulary())(t) for t in ADDED)
+
+
+@settings(max_examples=200, deadline=None)
+@cases(st.lists(st.sampled_from(["<|endoftext|>", "<|", " ", "  ", "a", "'s", "\n", "12", "é", "endoftext|>"]), max_size=12))
+def test_texts_split_at_added_tokens(ids, parts):
+    assert contract_encoder(vocabulary())("".join(parts)) == ids("".join(parts))
+
+
 def scanned(order, folder, **kw):
     return sorted(map(tuple, token_counts.scan_token_files(order, folder, **kw).collect()))
 
