@@ -8,12 +8,18 @@ readings are never dropped and results equal the batch W2 form.
 
 Each sensor's state is bounded by the window: every arrival evicts the points
 a window older than it. By default state is keyed by buckets of sensors, and
-sensors that have been silent for a day of event time are dropped from it: a
-sensor counts as silent when its newest point is ``idle_us`` older than the
-median of its bucket's newest points (a median, so that one sensor with a wrong
-clock moves nothing). The measure is event time and state alone, so replays
-and backfills give the same results. Points that old only matter to readings
-that are themselves later than that.
+sensors that have been silent for a day (``idle_us``) are dropped from it. A
+sensor with a row in the micro-batch is never dropped, however old its points;
+for every sensor the bucket's clock at its last row is kept, and it is silent
+when that (and its newest point) lie ``idle_us`` behind the clock. With a
+``received_at`` column the clock is the latest arrival time, so a backlog may
+take any number of micro-batches. Without one it is the lower median of the
+sensors' newest points, never going back (a lower median, so that one sensor
+with a clock ahead moves nothing, also in a bucket of two); there a sensor
+whose backlog came before the bucket knew the present time can be dropped
+between two of its uploads. The measure is in the data and the state alone, so
+replays and backfills give the same results. Points that old only matter to
+readings that are themselves later than that.
 
 Keys per sensor (``state_buckets=None``) can expire idle keys by processing
 time only (``idle_timeout_ms``, off by default), as a silent key is not called
@@ -32,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from sensorqc.functions.timeutil import from_micros
+from sensorqc.functions.timeutil import from_micros, to_micros
 from sensorqc.operators.arrival import _COUNTS, ArrivalWindow
 from sensorqc.rules import DEFAULT_RULES, QualityRules
 
@@ -129,15 +135,33 @@ def _group_state_fn(rules: QualityRules, idle_timeout_ms: int | None):
 
 
 BUCKET_STATE_SCHEMA = ("sensor_id array<string>, seq array<long>, us array<long>, temperature array<double>, "
-                       "humidity array<double>, wind_speed array<double>")
+                       "humidity array<double>, wind_speed array<double>, name array<string>, seen array<long>, "
+                       "clock long")
 
 
-def drop_silent(wins: dict[str, ArrivalWindow], idle_us: int) -> None:
-    """Forgets windows whose newest point is ``idle_us`` behind the median of all."""
-    newest = {sid: max((us for _, us, *_ in win.points()), default=None) for sid, win in wins.items()}
+def _newest(wins: dict[str, ArrivalWindow]) -> dict[str, int | None]:
+    return {sid: max((us for _, us, *_ in win.points()), default=None) for sid, win in wins.items()}
+
+
+def lower_median(newest: dict[str, int | None]) -> int | None:
     times = sorted(us for us in newest.values() if us is not None)
+    return times[(len(times) - 1) // 2] if times else None
+
+
+def drop_silent(wins: dict[str, ArrivalWindow], idle_us: int, seen: dict[str, int] | None = None,
+                clock: int | None = None, reported: frozenset[str] | set[str] = frozenset()) -> None:
+    """Forgets windows of sensors last seen ``idle_us`` before ``clock``, but of none that has reported.
+
+    Without ``seen`` a sensor was last seen at its newest point, without
+    ``clock`` it is the lower median of these.
+    """
+    newest = _newest(wins)
+    clock = lower_median(newest) if clock is None else clock
     for sid, us in newest.items():
-        if us is None or us < times[len(times) // 2] - idle_us:
+        if sid in reported:
+            continue
+        last = max((t for t in (us, (seen or {}).get(sid)) if t is not None), default=None)
+        if last is None or last < clock - idle_us:
             del wins[sid]
 
 
@@ -148,8 +172,12 @@ def _bucket_state_fn(rules: QualityRules, idle_us: int):
 
     def fn(key, batches, state):
         wins: dict[str, ArrivalWindow] = {}
+        seen: dict[str, int] = {}
+        clock = None
         if state.exists:
-            for sid, seq, us, t, h, w in zip(*state.get):
+            *points, names, times, clock = state.get
+            seen = dict(zip(names, times))
+            for sid, seq, us, t, h, w in zip(*points):
                 win = wins.get(sid)
                 if win is None:
                     win = wins[sid] = ArrivalWindow(rules)
@@ -168,13 +196,19 @@ def _bucket_state_fn(rules: QualityRules, idle_us: int):
             c, start = win.push(seq, us, (t, h, w))
             starts.append(start)
             counts.append(tuple(c))
-        drop_silent(wins, idle_us)
+        arrived = pdf["arrived_us"].dropna()
+        present = int(arrived.max()) if len(arrived) else lower_median(_newest(wins))
+        clock = present if clock is None else max(clock, present)
+        reported = set(sids)
+        seen |= dict.fromkeys(reported, clock)
+        drop_silent(wins, idle_us, seen, clock, reported)
+        seen = {sid: t for sid, t in seen.items() if sid in wins}
         cols = ([], [], [], [], [], [])
         for sid, win in wins.items():
             for seq, us, t, h, w in win.points():
                 for col, v in zip(cols, (sid, seq, us, t, h, w)):
                     col.append(v)
-        state.update(cols)
+        state.update((*cols, list(seen), list(seen.values()), clock))
         out = {"seq": seqs, "sensor_id": sids, "area": pdf["area"].tolist(), "us": uss,
                "temperature": fvals[0], "humidity": fvals[1], "wind_speed": fvals[2], "_start_us": starts}
         for name, col in zip(_COUNTS, zip(*counts)):
@@ -208,8 +242,9 @@ def stateful_quality(readings: DataFrame, rules: QualityRules = DEFAULT_RULES,
     """
     use_rocksdb(readings.sparkSession)
     area = F.col("area") if "area" in readings.columns else F.lit(None).cast("string")
+    arrived = to_micros(F.col("received_at")) if "received_at" in readings.columns else F.lit(None).cast("long")
     prepared = readings.select(
-        "seq", "sensor_id", area.alias("area"), "us", *FIELDS,
+        "seq", "sensor_id", area.alias("area"), "us", arrived.alias("arrived_us"), *FIELDS,
         *[F.col(f).isNull().alias(f"{f}_isnull") for f in FIELDS])
     if state_buckets and engine == "group_state":
         bucket = F.pmod(F.xxhash64("sensor_id"), F.lit(state_buckets)).alias("_state_bucket")

@@ -201,6 +201,57 @@ def test_silent_sensors_leave_the_state_and_come_back(spark):
     assert stats_by_seq(spark.table("r5_silent")) == stats_by_seq(arrival_window(r))
 
 
+@pytest.mark.parametrize("received", [False, True])
+def test_old_backlog_over_several_micro_batches(spark, received):
+    """One bucket: two sensors are current, the third uploads points two days old, with a batch between without it."""
+    src = tempfile.mkdtemp(prefix="sensorqc-src-")
+    day, rows = 86_400_000_000, []
+    for batch in range(5):
+        for i in range(6):
+            now = 10 * day + (batch * 6 + i) * 5_000_000
+            sent = [("now1", now), ("now2", now + 1)] + [("old", now - 2 * day)] * (batch != 2)
+            rows += [(len(rows) + k, sid, us, now, 20.0 + 15 * (i % 2), 50.0, None) for k, (sid, us) in enumerate(sent)]
+    r = spark.createDataFrame(rows, "seq long, sensor_id string, us long, at long, temperature double, "
+                                    "humidity double, wind_speed double")
+    ntz = lambda c: F.timestamp_micros(c).cast("timestamp_ntz")
+    r = r.withColumn("timestamp", ntz("us")).withColumn("received_at", ntz("at"))
+    r = r.drop("at") if received else r.drop("at", "received_at")
+    first = [next(x[0] for x in rows if x[3] == 10 * day + b * 30_000_000) for b in range(5)]
+    _write_parts(r, src, zip(first, [*first[1:], 10**9]))
+    q = start_stream(stateful_quality(_stream(spark, src, r.schema), state_buckets=1), tempfile.mkdtemp(prefix="ck-"),
+                     fmt="memory", output_mode="append", available_now=True, query_name=f"r5_backlog_{received}")
+    q.awaitTermination()
+    assert stats_by_seq(spark.table(f"r5_backlog_{received}")) == stats_by_seq(arrival_window(r.drop("received_at")))
+
+
+def test_two_sensors_one_with_its_clock_ahead(spark):
+    """The honest sensor of a bucket of two keeps its window through a batch without it."""
+    src = tempfile.mkdtemp(prefix="sensorqc-src-")
+    day = 86_400_000_000
+    rows = [(i, sid, us + i * 5_000_000, 20.0, 50.0, 3.0) for i, (sid, us) in enumerate(
+        [("good", 0), ("ahead", 2 * day)] * 3 + [("ahead", 2 * day)] * 3 + [("good", 0), ("ahead", 2 * day)] * 3)]
+    r = spark.createDataFrame(rows, "seq long, sensor_id string, us long, temperature double, humidity double, "
+                                    "wind_speed double")
+    r = r.withColumn("timestamp", F.timestamp_micros("us").cast("timestamp_ntz"))
+    _write_parts(r, src, [(0, 6), (6, 9), (9, 10**9)])
+    q = start_stream(stateful_quality(_stream(spark, src, r.schema), state_buckets=1), tempfile.mkdtemp(prefix="ck-"),
+                     fmt="memory", output_mode="append", available_now=True, query_name="r5_two")
+    q.awaitTermination()
+    assert stats_by_seq(spark.table("r5_two")) == stats_by_seq(arrival_window(r))
+
+
+def test_silent_sensor_is_dropped_by_arrival_time():
+    from sensorqc.operators.arrival import ArrivalWindow
+    from sensorqc.rules import DEFAULT_RULES
+    from sensorqc.streaming.stateful import drop_silent
+    day = 86_400_000_000
+    wins = {s: ArrivalWindow(DEFAULT_RULES) for s in "abc"}
+    for s in wins:
+        wins[s].push(1, 0, (1.0, 1.0, 1.0))
+    drop_silent(wins, day, {"a": 5 * day, "b": 9 * day, "c": 0}, 10 * day, {"c"})
+    assert sorted(wins) == ["b", "c"]
+
+
 def test_processing_time_trigger_and_console(spark):
     """A query on a clock, in update mode, printing to the console."""
     src = tempfile.mkdtemp(prefix="sensorqc-src-")
