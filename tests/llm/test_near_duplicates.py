@@ -176,3 +176,16 @@ def test_vectors_awkward(spark):
     assert embedding_dedup.near_duplicates(as_df(spark, rows).limit(0)).collect() == []
     same = embedding_dedup.near_duplicates(as_df(spark, [(1, [1.0, 2.0], 1)] * 3)).collect()
     assert [tuple(r) for r in same] == [(1, 2, 1, True)] * 3
+
+
+@pytest.mark.parametrize("least", [0, 1])
+def test_link_along_the_line_between_centroids(spark, monkeypatch, least):
+    """In 768 dimensions, either vector of the pair being the nearer one to the border."""
+    centroids = np.eye(768)[:2]
+    monkeypatch.setattr(embedding_dedup, "fit_cells", lambda *_: centroids)
+    shift, half = (0.02, -0.02)[least], 0.0995
+    rows = [(i, [math.cos(a), math.sin(a)] + [0.0] * 766, 1)
+            for i, a in enumerate((math.pi / 4 + shift - half, math.pi / 4 + shift + half, 0.0, math.pi / 2))]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(table).collect()}
+    assert got == {0: (1, 0), 1: (1, 0), 2: (0, 2), 3: (0, 3)}
