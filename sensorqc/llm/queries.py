@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorqc.llm import (embedding_dedup, language_model, line_dedup, minhash_dedup, mixing, packing,
-                          quality_rules, secrets, token_counts, warc)
+                          quality_rules, secrets, token_alignment, token_counts, warc)
 from sensorqc.llm.common import shared_folder, table, written
 
 
@@ -74,6 +74,10 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
 
 
+def op12_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_mix": op2_mix,
@@ -85,4 +89,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pack": op8_pack,
     "op9_minhash": op9_minhash,
     "op10_embeddings": op10_embeddings,
+    "op12_align": op12_align,
 }
