@@ -17,7 +17,8 @@ each document is told the counts of its links.
 2. Counts per pair are summed from the postings, where each row has already
    combined its documents; a pair is the best of its A id if no other has more.
 3. Counts and postings meet by shard. A task streams the postings past the
-   counts of one shard at a time and returns sums per document. A frequent
+   counts of one shard at a time and returns sums per document, packed by
+   block; a task adds up the sums of one block at a time. A frequent
    pair has one entry per document, spread over as many rows; a shard's counts
    are its share of the distinct pairs, which the two vocabularies bound. As
    many shards are used as the session has shuffle partitions.
@@ -32,7 +33,8 @@ Cases: documents whose text is null or empty, or whose tokens do not spell
 space + text (a text that holds U+2581, say), have no tokens: zeros and an
 empty ``groups_sha256``. Repeated rows and clashing or null ids are documents of
 their own. Special tokens' strings are plain text. Very long texts are
-processed whole; windows over 64 tokens are aligned without the memo. An empty
+processed whole; chunks and windows are remembered from the second time on,
+windows over 64 tokens never. An empty
 table gives no rows; other columns do not matter.
 """
 
@@ -41,9 +43,7 @@ from __future__ import annotations
 import hashlib
 import re
 from array import array
-from collections import Counter
 from collections.abc import Iterator
-from itertools import accumulate
 from typing import NamedTuple
 
 import numpy as np
@@ -59,6 +59,16 @@ from sensorqc.llm.tokens import encoder, token_bytes, vocabulary
 _DOCS = 1 << 16
 
 
+_FIELDS = [("block", pa.int64()), ("doc", pa.int32()), ("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()),
+           ("n_groups", pa.int64()), ("n_links", pa.int64()), ("groups_sha256", pa.string()), ("groups", pa.string()),
+           ("shard", pa.int32()), ("codes", pa.list_(pa.int64())), ("n_docs", pa.list_(pa.int32())),
+           ("docs", pa.list_(pa.int32())), ("links", pa.list_(pa.int32()))]
+_SCHEMA = pa.schema(_FIELDS)
+_DDL = ("block bigint, doc int, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, "
+        "groups_sha256 string, groups string, shard int, codes array<bigint>, n_docs array<int>, docs array<int>, "
+        "links array<int>")
+
+
 class Bounds(NamedTuple):
     """What a task keeps at most; no bound changes results."""
 
@@ -68,20 +78,27 @@ class Bounds(NamedTuple):
     memo_chars: int = 48
     memo_tokens: int = 64
     #: Pairs and documents (below 65,536) of a block; a document is not split.
-    block_pairs: int = 1 << 20
+    block_pairs: int = 1 << 19
     block_docs: int = (1 << 16) - 1
     #: Entries of a posting row.
     row_pairs: int = 1 << 10
 
 
-_FIELDS = [("block", pa.int64()), ("doc", pa.int32()), ("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()),
-           ("n_groups", pa.int64()), ("n_links", pa.int64()), ("groups_sha256", pa.string()), ("groups", pa.string()),
-           ("shard", pa.int32()), ("codes", pa.list_(pa.int64())), ("n_docs", pa.list_(pa.int32())),
-           ("docs", pa.list_(pa.int32())), ("links", pa.list_(pa.int32()))]
-_SCHEMA = pa.schema(_FIELDS)
-_DDL = ("block bigint, doc int, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, "
-        "groups_sha256 string, groups string, shard int, codes array<bigint>, n_docs array<int>, docs array<int>, "
-        "links array<int>")
+class Repeats:
+    """Which keys have been seen before, by one byte per hash: only those are worth remembering."""
+
+    def __init__(self, size: int = 1 << 22):
+        self.mask, self.marks, self.n = size - 1, bytearray(size), 0
+
+    def again(self, key) -> bool:
+        at = hash(key) & self.mask
+        if self.marks[at]:
+            return True
+        self.marks[at] = 1
+        self.n += 1
+        if self.n > self.mask >> 2:
+            self.__init__(self.mask + 1)
+        return False
 
 
 class Encoders:
@@ -91,62 +108,68 @@ class Encoders:
         self.bounds = bounds
         self.of_a, self.of_b = encoder(path_a), encoder(path_b)
         self.bytes_a, self.bytes_b = token_bytes(path_a), token_bytes(path_b)
+        self.len_a, self.len_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
         # B's pieces must not go on from a non-space into a space.
         split = not any(b" " in piece.lstrip(b" ") for piece in self.bytes_b)
         self.chunks = re.compile(r"(?<=\S) (?=\S)").split if split else lambda text: [text]
         self.memo: dict[str, tuple[bytes, bytes, bool]] = {}
+        self.repeats = Repeats()
 
-    def _encode(self, chunk: str) -> tuple[bytes, bytes, bool]:
-        a, b = self.of_a(f" {chunk}"), self.of_b(chunk)
-        raw = f" {chunk}".encode()
+    def _encode(self, text: str) -> tuple[np.ndarray, np.ndarray, bool]:
+        """Ids by A and by B, and whether both spell space + text."""
+        a, b = self.of_a(f" {text}"), self.of_b(text)
+        raw = f" {text}".encode()
         same = raw == b"".join([self.bytes_a[i] for i in a]) == b"".join([self.bytes_b[i] for i in b])
-        return np.array(a, "<u4").tobytes(), np.array(b, "<u4").tobytes(), same
+        return np.array(a, "<u4"), np.array(b, "<u4"), same
+
+    def _alone(self, chunk: str) -> tuple[bytes, bytes, bool]:
+        a, b, same = self._encode(chunk)
+        return a.tobytes(), b.tobytes(), same
+
+    def _encode_all(self, chunks: list[str]) -> dict[str, tuple[bytes, bytes, bool]]:
+        """Each chunk's ids, of most from one call over all of them with spaces between."""
+        joined = [c for c in chunks if c and not c[0].isspace() and not c[-1].isspace()]
+        out: dict[str, tuple[bytes, bytes, bool]] = {}
+        if len(joined) > 1:
+            a, b, same = self._encode(" ".join(joined))
+            if same:
+                ends = np.cumsum([len(c.encode()) + 1 for c in joined])
+                cuts = [[0, *(4 * np.searchsorted(np.cumsum(n[i]), ends) + 4).tolist()]
+                        for n, i in ((self.len_a, a), (self.len_b, b))]
+                raw_a, raw_b = a.tobytes(), b.tobytes()
+                for c, p, q, r, s in zip(joined, cuts[0], cuts[0][1:], cuts[1], cuts[1][1:]):
+                    out[c] = raw_a[p:q], raw_b[r:s], True
+        for c in chunks:
+            if c not in out:
+                out[c] = self._alone(c)
+        return out
 
     def ids(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids of space + text by A and of text by B; None where they do not spell space + text."""
-        memo = self.memo
-        if len(memo) > self.bounds.memo:
-            memo.clear()
-        parts, found = self.chunks(text), []
-        for chunk in parts:
-            got = memo.get(chunk)
-            if got is None:
-                got = self._encode(chunk)
-                if len(chunk) <= self.bounds.memo_chars:
-                    memo[chunk] = got
-            found.append(got)
-        a, b = (np.frombuffer(b"".join([x[k] for x in found]), "<u4") for k in (0, 1))
-        if not all([x[2] for x in found]):  # a chunk that spells something else: compare the whole text
+        memo, again = self.memo, self.repeats.again
+        parts = self.chunks(text)
+        found = [*map(memo.get, parts)]
+        if None in found:
+            new = self._encode_all([*dict.fromkeys([c for c, x in zip(parts, found) if x is None])])
+            found = [x or new[c] for c, x in zip(parts, found)]
+            if len(memo) > self.bounds.memo:
+                memo.clear()
+            memo.update([(c, x) for c, x in new.items() if len(c) <= self.bounds.memo_chars and again(c)])
+        raw_a, raw_b, same = zip(*found)
+        a, b = (np.frombuffer(b"".join(raw), "<u4") for raw in (raw_a, raw_b))
+        if not all(same):  # a chunk that spells something else: compare the whole text
             raw = f" {text}".encode()
             if not raw == b"".join([self.bytes_a[i] for i in a]) == b"".join([self.bytes_b[i] for i in b]):
                 return None
         return a, b
 
 
-def align_window(a: list[int], b: list[int], ends_a: list[int], ends_b: list[int]) -> tuple[list[str], Counter]:
-    """Groups of one window as text, and its links: how often each (A id, B id) is linked."""
-    groups: list[str] = []
-    pairs: Counter = Counter()
-    shared = set(ends_a).intersection(ends_b)
-    i = j = 0
-    for p, end in enumerate(ends_a, 1):
-        if end not in shared:
-            continue
-        q = j
-        while ends_b[q] != end:
-            q += 1
-        q += 1
-        left, right = a[i:p], b[j:q]
-        groups.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}")
-        if len(left) == len(right) == 1:
-            pairs[left[0], right[0]] += 1
-        else:
-            there = Counter(right).items()
-            for x, n in Counter(left).items():
-                for y, m in there:
-                    pairs[x, y] += n * m
-        i, j = p, q
-    return groups, pairs
+def _groups(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each A and each B token, whether it ends a group: whether both have an end there."""
+    seen = np.zeros(int(ends_a[-1]) + 1, np.int8)
+    seen[ends_a] = 1
+    seen[ends_b] += 2
+    return seen[ends_a] == 3, seen[ends_b] == 3
 
 
 class Windows:
@@ -154,8 +177,12 @@ class Windows:
 
     def __init__(self, encoders: Encoders):
         self.bounds = encoders.bounds
-        self.len_a, self.len_b = (np.array([len(x) for x in t], np.int64) for t in (encoders.bytes_a, encoders.bytes_b))
+        self.len_a, self.len_b = encoders.len_a, encoders.len_b
         self.marked_a, self.marked_b = (np.array([x[:1] == b" " for x in t]) for t in (encoders.bytes_a, encoders.bytes_b))
+        # Ids as text with what follows: a comma inside a side, a bar after side A, a semicolon after side B.
+        self.text_a, self.text_b = (np.array([f"{i}{end}" for end in f",{last}" for i in range(len(t))], object)
+                                    for t, last in ((encoders.bytes_a, "|"), (encoders.bytes_b, ";")))
+        self.repeats = Repeats()
         self._start()
 
     def _start(self) -> None:
@@ -163,16 +190,53 @@ class Windows:
         self.texts: list[str] = []
         self.n_groups, self.starts, self.codes, self.links = array("q"), array("q", [0]), array("q"), array("q")
 
-    def _add(self, raw_a: bytes, raw_b: bytes) -> int:
-        a, b = (np.frombuffer(raw, "<u4") for raw in (raw_a, raw_b))
-        groups, pairs = align_window(a.tolist(), b.tolist(), list(accumulate(self.len_a[a].tolist())),
-                                     list(accumulate(self.len_b[b].tolist())))
-        self.texts.append(";".join(groups))
-        self.n_groups.append(len(groups))
-        self.codes.extend([x << 32 | y for x, y in pairs])
-        self.links.extend(pairs.values())
-        self.starts.append(len(self.codes))
-        return len(self.texts) - 1
+    def _forget(self, n: int) -> None:
+        """Drops the windows from number ``n`` on."""
+        del self.texts[n:], self.n_groups[n:], self.starts[n + 1:]
+        del self.codes[self.starts[n]:], self.links[self.starts[n]:]
+
+    def _add(self, keys: list[tuple[bytes, bytes]]) -> None:
+        """Aligns windows and stores them under the next numbers.
+
+        Every window ends in an end of both, so the windows' ids joined have
+        the groups of the windows in a row.
+        """
+        a, b = (np.frombuffer(b"".join([k[x] for k in keys]), "<u4") for x in (0, 1))
+        last_a, last_b = _groups(np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b]))
+        end_a, end_b = np.flatnonzero(last_a) + 1, np.flatnonzero(last_b) + 1
+        n_a, n_b = np.diff(end_a, prepend=0), np.diff(end_b, prepend=0)
+        of_window = np.searchsorted(end_a, np.cumsum([len(k[0]) // 4 for k in keys])) + 1  # groups up to each window's end
+        # Links, as (code, times): single ones from all small groups at once, large groups by distinct ids.
+        n_links = n_a * n_b
+        large = np.flatnonzero(n_links > 4096)
+        small = np.where(n_links > 4096, 0, n_links)
+        group = np.repeat(np.arange(len(n_a)), small)
+        k = np.arange(len(group)) - np.repeat(np.cumsum(small) - small, small)
+        codes = (a[(end_a - n_a)[group] + k // n_b[group]].astype(np.int64) << 32) | b[(end_b - n_b)[group] + k % n_b[group]]
+        links = np.ones(len(codes), np.int64)
+        if len(large):
+            parts = [(codes, links, group)]
+            for g in large:
+                (x, n), (y, m) = (np.unique(t[e - c:e], return_counts=True)
+                                  for t, e, c in ((a, end_a[g], n_a[g]), (b, end_b[g], n_b[g])))
+                pairs = (x.astype(np.int64)[:, None] << 32 | y).ravel()
+                parts.append((pairs, np.outer(n, m).ravel(), np.full(len(pairs), g)))
+            codes, links, group = (np.concatenate(p) for p in zip(*parts))
+            order = np.argsort(group, kind="stable")
+            codes, links, group = codes[order], links[order], group[order]
+        stored = len(self.codes)
+        self.codes.frombytes(codes.tobytes())
+        self.links.frombytes(links.tobytes())
+        self.starts.frombytes((stored + np.searchsorted(group, of_window)).tobytes())
+        self.n_groups.frombytes(np.diff(of_window, prepend=0).tobytes())
+        # Text: the sides in turn.
+        place = np.concatenate([2 * (np.cumsum(last_a) - last_a), 2 * (np.cumsum(last_b) - last_b) + 1])
+        pieces = np.concatenate([self.text_a[a + last_a * len(self.len_a)], self.text_b[b + last_b * len(self.len_b)]])
+        pieces, at = pieces[np.argsort(place, kind="stable")].tolist(), 0
+        for raw_a, raw_b in keys:
+            end = at + (len(raw_a) + len(raw_b)) // 4
+            self.texts.append("".join(pieces[at:end]))
+            at = end
 
     def document(self, a: np.ndarray, b: np.ndarray) -> tuple[str, int, np.ndarray, np.ndarray]:
         """(groups as text, their number, distinct pair codes in order, links per code) of a document's ids."""
@@ -180,23 +244,32 @@ class Windows:
             self._start()
         ends_a, ends_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
         before_a, before_b = np.flatnonzero(self.marked_a[a[1:]]), np.flatnonzero(self.marked_b[b[1:]])
-        seen = np.zeros(int(ends_a[-1]) + 1, np.int8)
-        seen[ends_a[before_a]] = 1
-        seen[ends_b[before_b]] += 2
-        cut_a = before_a[seen[ends_a[before_a]] == 3] + 1  # anchors: verified shared ends before space-marked tokens
-        cut_b = before_b[seen[ends_b[before_b]] == 3] + 1
-        at_a, at_b = [0, *(4 * cut_a).tolist(), 4 * len(a)], [0, *(4 * cut_b).tolist(), 4 * len(b)]
-        raw_a, raw_b, memo, numbers = a.tobytes(), b.tobytes(), self.memo, []
-        for p, q, r, s in zip(at_a, at_a[1:], at_b, at_b[1:]):
-            key = raw_a[p:q], raw_b[r:s]
-            n = memo.get(key)
-            if n is None:
-                n = self._add(*key)
-                if q - p + s - r <= 4 * self.bounds.memo_tokens:
-                    memo[key] = n
-            numbers.append(n)
-        text = ";".join([self.texts[n] for n in numbers])
-        distinct, times = np.unique(np.array(numbers), return_counts=True)
+        # Anchors: verified shared ends before space-marked tokens. The text's end is one too.
+        ends_a, ends_b = ends_a[[*before_a, -1]], ends_b[[*before_b, -1]]
+        anchor_a, anchor_b = _groups(ends_a, ends_b)
+        at_a = [0, *(4 * before_a[anchor_a[:-1]] + 4).tolist(), 4 * len(a)]
+        at_b = [0, *(4 * before_b[anchor_b[:-1]] + 4).tolist(), 4 * len(b)]
+        raw_a, raw_b, memo = a.tobytes(), b.tobytes(), self.memo
+        keys = [(raw_a[p:q], raw_b[r:s]) for p, q, r, s in zip(at_a, at_a[1:], at_b, at_b[1:])]
+        numbers, kept = [*map(memo.get, keys)], len(self.texts)
+        if None in numbers:
+            again, most = self.repeats.again, 4 * self.bounds.memo_tokens
+            new = [*dict.fromkeys([k for k, n in zip(keys, numbers) if n is None])]
+            keep = [k for k in new if len(k[0]) + len(k[1]) <= most and again(k)]
+            fresh = dict.fromkeys([*keep, *new])  # those to be kept come first
+            fresh = dict(zip(fresh, range(kept, kept + len(fresh))))
+            self._add([*fresh])
+            numbers = [fresh[k] if n is None else n for k, n in zip(keys, numbers)]
+            kept += len(keep)
+            memo.update([(k, fresh[k]) for k in keep])
+        text = "".join([self.texts[n] for n in numbers])[:-1]
+        out = (text, *self._links(np.array(numbers)))
+        self._forget(kept)
+        return out
+
+    def _links(self, numbers: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
+        """(groups, distinct pair codes in order, links per code) of some windows."""
+        distinct, times = np.unique(numbers, return_counts=True)
         starts = np.frombuffer(self.starts, np.int64)
         n_groups = int((np.frombuffer(self.n_groups, np.int64)[distinct] * times).sum())
         sizes = starts[distinct + 1] - starts[distinct]
@@ -206,7 +279,7 @@ class Windows:
         order = np.argsort(codes, kind="stable")
         codes, links = codes[order], links[order]
         first = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
-        return text, n_groups, codes[first], np.add.reduceat(links, first)
+        return n_groups, codes[first], np.add.reduceat(links, first)
 
 
 def _shard(a, b, shards: int):
@@ -288,18 +361,43 @@ def pair_counts(postings: DataFrame) -> DataFrame:
 
 
 def _sums(rows: pa.RecordBatch, table: tuple[np.ndarray, np.ndarray, np.ndarray]) -> pa.RecordBatch:
-    """(block, doc, count_sum, n_best) of some posting rows, given the counts of their shard."""
+    """Of some posting rows, given the counts of their shard: per block the documents, their count_sum and n_best."""
     codes, n_docs, docs, links = (rows.column(c).flatten().to_numpy() for c in ("codes", "n_docs", "docs", "links"))
     at = np.repeat(np.searchsorted(table[0], codes), n_docs)
-    sizes = np.diff(rows.column("docs").offsets.to_numpy())
-    key = np.repeat(rows.column("block").to_numpy(), sizes) * _DOCS + docs
+    key = np.repeat(rows.column("block").to_numpy(), rows.column("docs").value_lengths().to_numpy()) * _DOCS + docs
     order = np.argsort(key, kind="stable")
     key, links, at = key[order], links[order].astype(np.int64), at[order]
     first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    block = key[first] // _DOCS
+    cut = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
+    lists = lambda x: pa.ListArray.from_arrays(pa.array(np.r_[cut, len(first)], pa.int32()), pa.array(x))
     return pa.RecordBatch.from_arrays(
-        [pa.array(key[first] // _DOCS), pa.array((key[first] % _DOCS).astype(np.int32)),
-         pa.array(np.add.reduceat(links * table[1][at], first)), pa.array(np.add.reduceat(links * table[2][at], first))],
-        names=["block", "doc", "count_sum", "n_best"])
+        [pa.array(block[cut]), lists((key[first] % _DOCS).astype(np.int32)),
+         lists(np.add.reduceat(links * table[1][at], first)), lists(np.add.reduceat(links * table[2][at], first))],
+        names=["block", "docs", "count_sums", "n_bests"])
+
+
+def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by block -> one row per document with the sums of all its rows."""
+    at, sums = None, None
+
+    def done() -> pa.RecordBatch:
+        docs = np.flatnonzero(sums[0])
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(docs), at, np.int64)), pa.array(docs.astype(np.int32)),
+                                           pa.array(sums[0][docs]), pa.array(sums[1][docs])],
+                                          names=["block", "doc", "count_sum", "n_best"])
+
+    for batch in batches:
+        for k, block in enumerate(batch.column("block").to_pylist()):
+            if block != at:
+                if sums is not None:
+                    yield done()
+                at, sums = block, np.zeros((2, _DOCS), np.int64)
+            docs, count_sums, n_bests = (batch.column(c)[k].values.to_numpy() for c in ("docs", "count_sums", "n_bests"))
+            sums[0][docs] += count_sums  # a row names a document once
+            sums[1][docs] += n_bests
+    if sums is not None:
+        yield done()
 
 
 def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -320,9 +418,7 @@ def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             if table is None:
                 table = tuple(np.concatenate(x) for x in zip(*parts))
-            # slices share their parent's buffers; a copy has list offsets of its own
-            yield _sums(pa.RecordBatch.from_arrays([pa.concat_arrays([c]) if c.offset == 0 else c.take(pa.array(range(len(c))))
-                                                    for c in rows.columns], schema=rows.schema), table)
+            yield _sums(rows, table)
 
 
 def link_sums(postings: DataFrame, counts: DataFrame, shards: int) -> DataFrame:
@@ -336,8 +432,9 @@ def link_sums(postings: DataFrame, counts: DataFrame, shards: int) -> DataFrame:
                             F.lit(None).cast("boolean").alias("best"), *none)
     met = (tables.unionByName(lists).repartition("shard")
            .sortWithinPartitions("shard", F.col("code").asc_nulls_last()))
-    return (met.mapInArrow(_probe, "block bigint, doc int, count_sum bigint, n_best bigint")
-            .groupBy("block", "doc").agg(F.sum("count_sum").alias("count_sum"), F.sum("n_best").alias("n_best")))
+    by_block = (met.mapInArrow(_probe, "block bigint, docs array<int>, count_sums array<bigint>, n_bests array<bigint>")
+                .repartition("block").sortWithinPartitions("block"))
+    return by_block.mapInArrow(_add_up, "block bigint, doc int, count_sum bigint, n_best bigint")
 
 
 def align(docs: DataFrame, path_a: str | None = None, path_b: str | None = None, doc_id: str = "doc_id",
