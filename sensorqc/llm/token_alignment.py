@@ -245,7 +245,7 @@ class Windows:
         ends_a, ends_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
         before_a, before_b = np.flatnonzero(self.marked_a[a[1:]]), np.flatnonzero(self.marked_b[b[1:]])
         # Anchors: verified shared ends before space-marked tokens. The text's end is one too.
-        ends_a, ends_b = ends_a[[*before_a, -1]], ends_b[[*before_b, -1]]
+        ends_a, ends_b = ends_a[np.append(before_a, -1)], ends_b[np.append(before_b, -1)]
         anchor_a, anchor_b = _groups(ends_a, ends_b)
         at_a = [0, *(4 * before_a[anchor_a[:-1]] + 4).tolist(), 4 * len(a)]
         at_b = [0, *(4 * before_b[anchor_b[:-1]] + 4).tolist(), 4 * len(b)]
