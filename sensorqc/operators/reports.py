@@ -212,22 +212,34 @@ def summary_head(summary: DataFrame, k: int = 10) -> DataFrame:
 
 
 def monitor_health(readings: DataFrame, as_of: datetime | None = AS_OF_DEFAULT,
-                   processed: Column | None = None, running: bool = True, error: str | None = None) -> DataFrame:
+                   processed: Column | None = None, running: bool = True, error: str | None = None,
+                   progress: DataFrame | None = None) -> DataFrame:
     """Status, time, readings processed, sensors seen, recent readings, processor state.
 
     ``running`` is the stream's state (``query.isActive``) and ``error`` its
     failure, if any: 'healthy' while it runs, 'stopped' after, 'unhealthy' with
     an error. ``processed`` may carry a count taken from the stream's tables
-    or progress; by default it is the number of readings.
+    or progress; by default it is the number of readings. With ``progress``
+    (one row, :func:`sensorqc.streaming.progress.processed_count`) nothing but
+    the last hour of readings is scanned: active sensors are then those of that hour.
     """
-    recent = within_lookback(readings, as_of, 1).agg(F.count(F.lit(1)).cast("long").alias("recent_data_count"))
+    recent = within_lookback(readings, as_of, 1)
+    if progress is not None:
+        out = recent.agg(F.count(F.lit(1)).cast("long").alias("recent_data_count"),
+                         F.countDistinct("sensor_id").cast("long").alias("active_sensors")).crossJoin(progress)
+        return _health(out, as_of, running, error)
+    recent = recent.agg(F.count(F.lit(1)).cast("long").alias("recent_data_count"))
     seen = readings.agg(F.countDistinct("sensor_id").cast("long").alias("active_sensors"),
                         F.count(F.lit(1)).cast("long").alias("processed_count"))
     out = recent.crossJoin(seen)
     if processed is not None:
         out = out.withColumn("processed_count", processed.cast("long"))
+    return _health(out, as_of, running, error)
+
+
+def _health(figures: DataFrame, as_of: datetime | None, running: bool, error: str | None) -> DataFrame:
     status = "unhealthy" if error is not None else "healthy" if running else "stopped"
     at = lower_bound(as_of, 0)
-    return out.select("*", F.lit(status).alias("status"), iso_format(at).alias("timestamp"),
+    return figures.select("*", F.lit(status).alias("status"), iso_format(at).alias("timestamp"),
                       F.lit(running and error is None).alias("processor_running"),
                       F.lit(error).cast("string").alias("error"))

@@ -82,6 +82,14 @@ TABLE_SCHEMAS = {
     "rejects": REJECTS_SCHEMA,
 }
 
+#: Defaults of stored columns, as SQL: what an INSERT that leaves them out gets.
+TABLE_DEFAULTS = {
+    "sensor_data": {"received_at": "localtimestamp()"},
+    "quality_metrics": {"created_at": "localtimestamp()"},
+    "alerts": {"resolved": "false", "created_at": "localtimestamp()"},
+    "rejects": {"rejected_at": "localtimestamp()"},
+}
+
 #: Partition columns of every table, in order: a day's folder holds its batches.
 PARTITIONS = ("dt", "batch_id")
 

@@ -2,9 +2,12 @@
 
 Tables are Parquet in one layout, ``dt=<day>/batch_id=<batch>``: time-bounded
 reports prune days, and retention drops whole days. Every write is a batch of
-its own: a stream's micro-batch n is batch ``s<n>`` and replaces its own
-folders, so a replay does not duplicate rows; a batch load gets an id of its
-own. Inside a file, rows are sorted by the table's key so Parquet min/max
+its own: micro-batch n of a stream is batch ``s-<run>-<n>``, the run being the id
+that its checkpoint keeps, so a replay replaces its own rows and a stream
+started anew on another checkpoint touches nobody else's; a batch load gets an
+id of its own. Rows count once their batch is committed
+(:mod:`sensorqc.sinks.commits`), and writers do not disturb each other: each stages its files
+apart. Inside a file, rows are sorted by the table's key so Parquet min/max
 statistics skip row groups.
 """
 
@@ -13,12 +16,16 @@ from __future__ import annotations
 import uuid
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorqc.functions.expressions import severity_rank
 from sensorqc.functions.timeutil import from_micros, iso_format, ntz_literal, to_micros
 from sensorqc.schemas import PARTITIONS, TABLE_CLUSTERING, TABLE_RETENTION_DAYS
+from sensorqc.sinks.commits import CommitLog, new_attempt
+
+#: Target size of a compacted file.
+COMPACTED_FILE_BYTES = 256 << 20
 
 
 def _ms(ts: str) -> Column:
@@ -92,71 +99,90 @@ def cluster_for_write(df: DataFrame, table: str, files: int | None = None) -> Da
     return out.sortWithinPartitions(*keys).drop("severity_rank")
 
 
-def batch_name(batch_id: int | str | None) -> str:
-    """``s<n>`` for a stream's micro-batch, the caller's text, or a new name for a load."""
+def run_of(spark: SparkSession) -> str | None:
+    """Inside ``foreachBatch``, the running query's id, which its checkpoint keeps over restarts; else None."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
+def batch_name(batch_id: int | str | None, run: str | None = None) -> str:
+    """``s-<run>-<n>`` for a stream's micro-batch, the caller's text, or a new name for a load."""
     if batch_id is None:
         return f"load-{uuid.uuid4().hex}"
-    return f"s{batch_id:010d}" if isinstance(batch_id, int) else batch_id
-
+    return f"s-{run or 'none'}-{batch_id:010d}" if isinstance(batch_id, int) else batch_id
 
-def _drop_folders(spark, pattern: str) -> None:
-    folders = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    fs = folders.getFileSystem(spark._jsc.hadoopConfiguration())
-    for found in fs.globStatus(folders) or []:
-        fs.delete(found.getPath(), True)
 
+def write_batch(df: DataFrame, path: str, table: str, batch_id: int | str | None = None, cluster: bool = True,
+                files: int | None = None, run: str | None = None) -> None:
+    """Writes rows (with ``dt``) as one batch of the table; a batch written again replaces itself.
 
-def forget_batch(spark, path: str, batch_id: int | str) -> None:
-    """Drops a batch's folders under all days: a replay may stamp its rows with another day."""
-    _drop_folders(spark, f"{path}/dt=*/batch_id={batch_name(batch_id)}")
+    ``run`` names the stream that an integer ``batch_id`` belongs to (default:
+    the streaming query this is called from).
+    """
+    spark = df.sparkSession
+    log = CommitLog(spark, path)
+    batch = batch_name(batch_id, run or run_of(spark))
+    attempt = new_attempt(batch)
+    again = batch_id is not None and log.begin(batch)
+    days = _stage(df, log, attempt, table, cluster, files)
+    old = {x for x in log.attempts(batch) if x[1] != attempt} if again else set()
+    if days or old:
+        log.commit(attempt, old)
+    if old:
+        log.clean_up()
+    if batch_id is not None:
+        log.finished(batch)
 
 
-def write_batch(df: DataFrame, path: str, table: str, batch_id: int | str | None = None, cluster: bool = True,
-                files: int | None = None) -> None:
-    """Writes rows (with ``dt``) as one batch of the table; a batch written again replaces itself."""
-    if batch_id is not None:
-        forget_batch(df.sparkSession, path, batch_id)
-    df = df.withColumn("batch_id", F.lit(batch_name(batch_id)))
+def _stage(df: DataFrame, log: CommitLog, attempt: str, table: str, cluster: bool, files: int | None) -> list[str]:
+    """Writes the rows apart and moves their day folders into the table, where they do not count yet."""
     if cluster:
         df = cluster_for_write(df, table, files)
-    df.write.mode("append").partitionBy(*PARTITIONS).parquet(path)
+    df.write.partitionBy("dt").parquet(log.staged(attempt))
+    return log.move_in(attempt)
 
 
 def append_readings(readings: DataFrame, path: str, batch_id: int | str | None = None, cluster: bool = True,
-                    received_at: Column | None = None, files: int | None = None) -> None:
+                    received_at: Column | None = None, files: int | None = None, run: str | None = None) -> None:
     """Append readings to ``sensor_data``."""
-    write_batch(sensor_data_rows(readings, received_at), path, "sensor_data", batch_id, cluster, files)
+    write_batch(sensor_data_rows(readings, received_at), path, "sensor_data", batch_id, cluster, files, run)
 
 
 def append_metrics(metrics: DataFrame, path: str, batch_id: int | str | None = None, cluster: bool = True,
-                   created_at: Column | None = None, files: int | None = None) -> None:
+                   created_at: Column | None = None, files: int | None = None, run: str | None = None) -> None:
     """Append metric rows to ``quality_metrics``."""
-    write_batch(metric_rows(metrics, created_at), path, "quality_metrics", batch_id, cluster, files)
+    write_batch(metric_rows(metrics, created_at), path, "quality_metrics", batch_id, cluster, files, run)
 
 
 def append_alerts(alerts: DataFrame, path: str, batch_id: int | str | None = None, cluster: bool = True,
-                  created_at: Column | None = None, files: int | None = None) -> None:
+                  created_at: Column | None = None, files: int | None = None, run: str | None = None) -> None:
     """Append alerts to ``alerts``."""
-    write_batch(alert_rows(alerts, created_at), path, "alerts", batch_id, cluster, files)
+    write_batch(alert_rows(alerts, created_at), path, "alerts", batch_id, cluster, files, run)
 
 
 def append_rejects(rejects: DataFrame, path: str, batch_id: int | str | None = None,
-                   rejected_at: Column | None = None) -> None:
-    """Append rejected messages to ``rejects`` (few rows: not clustered)."""
-    write_batch(reject_rows(rejects, rejected_at), path, "rejects", batch_id, cluster=False)
+                   rejected_at: Column | None = None, run: str | None = None) -> None:
+    """Append rejected messages to ``rejects`` (not clustered)."""
+    write_batch(reject_rows(rejects, rejected_at), path, "rejects", batch_id, cluster=False, run=run)
 
 
-def compact_day(spark, path: str, table: str, day: str, files: int = 1) -> None:
-    """Rewrites the batches of a finished day as one batch of few, sorted files.
+def compact_day(spark: SparkSession, path: str, table: str, day: str, files: int | None = None,
+                file_bytes: int = COMPACTED_FILE_BYTES) -> None:
+    """Rewrites the batches of a finished day as one batch of sorted files.
 
-    For days that no stream writes to any more. The old batches go once the
-    new one is complete; a reader in between sees both.
+    There are as many files as the day's measured bytes need (``files``
+    overrides). One commit puts the new batch in the place of the old ones: a
+    reader sees either, and a writer that dies leaves the day as it was or as it is to be.
     """
-    old = spark.read.parquet(path).where(F.col("dt") == F.lit(day).cast("date"))
-    batches = [r["batch_id"] for r in old.select("batch_id").distinct().collect()]
-    write_batch(old.drop("batch_id"), path, table, f"compact-{uuid.uuid4().hex}", files=files)
-    for batch in batches:
-        _drop_folders(spark, f"{path}/dt={day}/batch_id={batch}")
+    log = CommitLog(spark, path)
+    old = [x for x in log.live() if x[0] == day]
+    if not old:
+        return
+    files = files or max(1, -(-log.size(old) // file_bytes))
+    rows = spark.read.option("basePath", path).parquet(*[log.location(*x) for x in old])
+    attempt = new_attempt(f"compact-{uuid.uuid4().hex}")
+    _stage(rows.drop("batch_id"), log, attempt, table, True, files)
+    log.commit(attempt, old)
+    log.clean_up()
 
 
 def metric_records(metrics: DataFrame) -> DataFrame:
@@ -170,18 +196,19 @@ def metric_records(metrics: DataFrame) -> DataFrame:
 
 
 def publish_metrics(metrics: DataFrame, fmt: str = "kafka", options: dict | None = None,
-                    path: str | None = None) -> None:
+                    path: str | None = None, batch: str | None = None) -> None:
     """Write metric records as JSON messages (batch; streams use foreachBatch).
 
     Kafka needs ``kafka.bootstrap.servers`` and ``topic`` in ``options``;
-    other formats write the ``value`` column to ``path``.
+    other formats write keys and values to ``path``, a named ``batch`` to a
+    folder of its own there, which it replaces when it is published again.
     """
     out = metric_records(metrics).select(F.col("sensor_id").alias("key"), F.col("value_json").alias("value"))
     writer = out.write.format(fmt).options(**(options or {}))
     if fmt == "kafka":
         writer.save()
     else:
-        writer.mode("append").save(path)
+        writer.mode("overwrite" if batch else "append").save(f"{path}/batch_id={batch}" if batch else path)
 
 
 def apply_retention(df: DataFrame, ts_col: str = "timestamp", days: int | None = None,
@@ -195,12 +222,31 @@ def apply_retention(df: DataFrame, ts_col: str = "timestamp", days: int | None =
     return df.where(F.col(ts_col) > bound)
 
 
-def expired_partitions(spark, path: str, days: int, as_of: datetime) -> list[str]:
+def expired_partitions(spark: SparkSession, path: str, days: int, as_of: datetime) -> list[str]:
     """S11 on disk: ``dt`` partition directories entirely past retention.
 
-    Lists partition values from the file index (metadata only) so the caller
-    can drop them; a day is expired when its last instant is past the bound.
+    Lists folder names only; a day is expired when its last instant is past
+    the bound.
+    """
+    cutoff = (as_of - timedelta(days=days)).date().isoformat()
+    return [f"{path.rstrip('/')}/dt={day}" for day in CommitLog(spark, path).days() if day < cutoff]
+
+
+def drop_expired(spark: SparkSession, path: str, days: int, as_of: datetime, name: str | None = None) -> list[str]:
+    """S11 on disk: deletes the expired days of a table, from its folders and, if ``name`` is given, its catalog.
+
+    The days go by one commit; what a crash leaves on disk no reader sees, and
+    the next call (or any ``clean_up``) deletes it. Returns the dropped days.
     """
-    cutoff = (as_of - timedelta(days=days)).date()
-    dts = spark.read.parquet(path).select("dt").distinct().where(F.col("dt") < F.lit(cutoff))
-    return [f"{path.rstrip('/')}/dt={r.dt.isoformat()}" for r in dts.toLocalIterator()]
+    log = CommitLog(spark, path)
+    gone = [p.rsplit("=", 1)[1] for p in expired_partitions(spark, path, days, as_of)]
+    if gone:
+        log.commit(new_attempt(f"expire-{uuid.uuid4().hex}"), [x for x in log.folders() if x[0] in gone])
+        log.clean_up()
+        log.drop_days(gone)
+        if name:
+            for listed in spark.sql(f"SHOW PARTITIONS {name}").toLocalIterator():
+                day, batch = (x.split("=", 1)[1] for x in listed[0].split("/"))
+                if day in gone:
+                    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (dt = DATE'{day}', batch_id = '{batch}')")
+    return gone

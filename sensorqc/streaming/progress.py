@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import logging
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,14 +17,50 @@ def observe_processed(stream: DataFrame, name: str = "sensorqc_progress") -> Dat
     return stream.observe(name, F.count(F.lit(1)).alias("processed"))
 
 
-def processed_in_tables(spark: SparkSession, sensor_data: str) -> DataFrame:
-    """Readings processed by all micro-batches so far, one row (``processed_count``).
+PROGRESS = "progress"
+_PROGRESS_SCHEMA = "batch bigint, rows bigint, total bigint"
 
-    Counted from the stored readings, where a replayed batch has replaced
-    itself, so the count outlives the query and its retained progress records.
+
+def record_processed(spark: SparkSession, base: str, run: str | None, batch_id: int, rows: int) -> None:
+    """Records a micro-batch's readings and the run's total with it, in ``<base>/progress/run=<run>``.
+
+    One small file per micro-batch, of which the last two are kept: a replayed
+    batch adds to the total before it, not to its own.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    folder = f"{base.rstrip('/')}/{PROGRESS}/run={run or 'none'}"
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(folder))
+    kept = sorted(f.getPath().getName() for f in fs.listStatus(path(folder)) if f.getPath().getName().startswith("batch-"))
+    name = f"batch-{batch_id:010d}.json"
+    total, before = rows, [f for f in kept if f < name]
+    if before:
+        stream = fs.open(path(folder, before[-1]))
+        try:
+            total += json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))["total"]
+        finally:
+            stream.close()
+    draft = path(folder, f"_{name}")
+    out = fs.create(draft, True)
+    try:
+        out.write(bytearray(json.dumps({"batch": batch_id, "rows": rows, "total": total}).encode()))
+    finally:
+        out.close()
+    fs.delete(path(folder, name), False)
+    fs.rename(draft, path(folder, name))
+    for old in before[:-1]:
+        fs.delete(path(folder, old), False)
+
+
+def processed_count(spark: SparkSession, base: str) -> DataFrame:
+    """Readings processed by all streams into ``base`` so far, one row (``processed_count``).
+
+    Read from the progress records (two small files a run), which neither
+    compaction nor retention touches.
     """
-    return (spark.read.parquet(sensor_data).where(F.col("batch_id").startswith("s"))
-            .agg(F.count(F.lit(1)).alias("processed_count")))
+    records = spark.read.schema(f"{_PROGRESS_SCHEMA}, run string").json(f"{base.rstrip('/')}/{PROGRESS}")
+    return (records.groupBy("run").agg(F.max_by("total", "batch").alias("total"))
+            .agg(F.coalesce(F.sum("total"), F.lit(0)).cast("long").alias("processed_count")))
 
 
 class ProcessedCounter(StreamingQueryListener):

@@ -157,12 +157,13 @@ def test_processed_count_reaches_progress(spark):
 def test_pipeline_stores_rejects_and_counts_all_batches(spark):
     from sensorqc.sources.readings import reject_readings
     from sensorqc.streaming.fanout import Rejects, start_pipeline
-    from sensorqc.streaming.progress import processed_in_tables
+    from sensorqc.streaming.progress import processed_count
     src, base, ck = (tempfile.mkdtemp(prefix="sensorqc-p-") for _ in range(3))
     msgs = fixtures.readings_json(spark, SF)
     _write_parts(msgs, src, [(0, 500), (500, 10**9)])
     stream = read_readings_stream(spark, "parquet", path=src, schema=msgs.schema, options={"maxFilesPerTrigger": 1})
-    for q in start_pipeline(stream, base, ck, trigger={"availableNow": True}, state_buckets=2):
+    queries = start_pipeline(stream, base, ck, trigger={"availableNow": True}, state_buckets=2)
+    for q in queries:
         q.awaitTermination()
     parsed = parse_readings(msgs)
     want = sorted(map(tuple, reject_readings(parsed).collect()))
@@ -172,10 +173,10 @@ def test_pipeline_stores_rejects_and_counts_all_batches(spark):
     other = f"{base}/rejects/dt=2020-01-01"
     os.rename(f"{base}/rejects/{[d for d in days if d.startswith('dt=')][0]}", other)  # as written before midnight
     for i, (lo, hi) in enumerate([(0, 500), (500, 10**9)]):  # both batches replayed today
-        Rejects(base)(reject_readings(parsed.where((F.col("seq") >= lo) & (F.col("seq") < hi))), i)
+        Rejects(base, run=queries[1].id)(reject_readings(parsed.where((F.col("seq") >= lo) & (F.col("seq") < hi))), i)
     again = spark.read.parquet(f"{base}/rejects")
     assert sorted(map(tuple, again.select("seq", "reject_reason", "raw").collect())) == want
-    assert processed_in_tables(spark, f"{base}/sensor_data").first()[0] == accept_readings(parsed).count()
+    assert processed_count(spark, base).first()[0] == accept_readings(parsed).count()
 
 
 def test_silent_sensors_leave_the_state_and_come_back(spark):
