@@ -74,76 +74,3 @@ def test_head_is_bounded(spark):
     known = lm.Vocabulary.of(counts, head=1000)
     assert len(known.hashes) <= 1000 and known.v == 5000 and known.n == sum(i % 50 + 1 for i in range(5000))
     assert known.counts.min() > 40
-
-
-def test_rare_words_depend_on_their_history(spark):
-    """Beyond the words modelled one by one, the same words score better in the order seen in training."""
-    frequent = [(i, " ".join(f"f{j}" for j in range(lm.WORDS + 50)) + " f1 f2") for i in range(6)]
-    n = 400
-    rare = [(100 + i, f"a{i} b{i} c{i}") for i in range(n)]
-    train = [(d, t) for d, t in frequent + rare if not is_held_out(d)]
-    known = {int(t.split()[0][1:]) for d, t in train if t.startswith("a")}
-    free = (d for d in range(10_000, 99_999) if is_held_out(d))
-    pairs = [(i, j) for i, j in zip(sorted(known), sorted(known)[1:])][:40]
-    seen, crossed = {}, {}
-    for i, j in pairs:
-        seen[next(free)] = f"a{i} b{i} c{i}"
-        crossed[next(free)] = f"a{i} b{j} c{i}"
-    docs = train + list(seen.items()) + list(crossed.items())
-    got = {r.doc_id: r for r in lm.score(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
-    for s, c in zip(seen, crossed):
-        assert got[s].base_score == pytest.approx(got[c].base_score) and got[s].score > got[c].score + 0.005
-
-
-def test_scores_against_a_plain_count_of_n_grams(spark, monkeypatch):
-    """All n-grams counted, across chunks and buckets, with a back-off that is known."""
-    monkeypatch.setattr(lm, "CHUNK", 20_000)
-    monkeypatch.setattr(lm, "BUCKET", 1 << 12)
-    flat = -3.0
-    docs = [(r["doc_id"], r["text"]) for r in given("documents")]
-    table = spark.createDataFrame(docs, "doc_id long, text string")
-    cut = lm.chunks(table).cache()
-    answers = sorted(map(tuple, lm.gram_counts(cut, 5).collect()))
-    assert len({b for _, b, _ in answers}) == 32 and len({c for c, _, _ in answers}) > 3
-    count = Counter()
-    before = {}
-    for d, t in docs:
-        seen = [None, None, *words(t)]
-        before[d] = list(zip(seen, seen[1:], seen[2:]))
-        if not is_held_out(d):
-            for u, v, w in before[d]:
-                count.update([(w,), (v, w), (u, v, w)])
-    texts = sum(not is_held_out(d) for d, _ in docs)
-    want = {}
-    for d, _ in docs:
-        total = 0.0
-        for i, (u, v, w) in enumerate(before[d]):
-            p = (count[v, w] + lm.PAIR_PRIOR * 10 ** flat) / ((count[(v,)] if i else texts) + lm.PAIR_PRIOR)
-            if i:
-                p = (count[u, v, w] + lm.TRIPLE_PRIOR * p) / (count[u, v] + lm.TRIPLE_PRIOR)
-            total += math.log10(p)
-        want[d] = total
-    for chunk, raw in cut.collect():
-        rows, h, bounds = lm._opened(raw)
-        at = np.unique(lm.grams(h, bounds).ravel(), return_inverse=True)[1]
-        c = np.concatenate([lm._numbers(x, np.int64) for k, _, x in answers if k == chunk])[at].reshape(3, -1)
-        got = np.add.reduceat(np.log10(lm.mixed(np.full(len(h), 10 ** flat), c, bounds, texts)), bounds[:-1])
-        assert got == pytest.approx([want[d] for d in rows["doc_id"].to_pylist()])
-
-
-def test_chances_of_all_words_add_up_to_one():
-    """After every history of a small corpus, over its words, the end and the unseen share."""
-    texts = [["a", "b", "a", "c"], ["a", "b"], ["c", "a", "b", "b"]]
-    count = Counter()
-    for t in texts:
-        seen = ["", "", *t, "end"]
-        for g in zip(seen, seen[1:], seen[2:]):
-            count.update([g[2:], g[1:], g])
-    kinds = ["a", "b", "c", "end", "unseen"]
-    for history in ([], ["a"], ["a", "b"], ["b", "b"], ["c", "c"]):
-        chances = []
-        for w in kinds:
-            seen = ["", "", *history, w]
-            c = np.array([[count[g[-k:]] for g in zip(seen, seen[1:], seen[2:])] for k in (1, 2, 3)], float)
-            chances.append(lm.mixed(np.full(len(history) + 1, 1 / len(kinds)), c, np.array([0, len(history) + 1]), 3)[-1])
-        assert sum(chances) == pytest.approx(1)
