@@ -24,6 +24,9 @@ from sensorqc.functions.timeutil import from_micros, iso_format, ntz_literal, to
 from sensorqc.schemas import PARTITIONS, TABLE_CLUSTERING, TABLE_RETENTION_DAYS
 from sensorqc.sinks.commits import CommitLog, new_attempt
 
+#: Sensors that a row group's bloom filter is sized for. Row groups with few sensors have
+#: a dictionary instead, which the reader checks alike; both skip a sensor that min/max cannot.
+BLOOM_SENSORS = 100_000
 #: Target size of a compacted file.
 COMPACTED_FILE_BYTES = 256 << 20
 
@@ -137,7 +140,11 @@ def _stage(df: DataFrame, log: CommitLog, attempt: str, table: str, cluster: boo
     """Writes the rows apart and moves their day folders into the table, where they do not count yet."""
     if cluster:
         df = cluster_for_write(df, table, files)
-    df.write.partitionBy("dt").parquet(log.staged(attempt))
+    writer = df.write.partitionBy("dt")
+    if "sensor_id" in df.columns:
+        writer = (writer.option("parquet.bloom.filter.enabled#sensor_id", "true")
+                  .option("parquet.bloom.filter.expected.ndv#sensor_id", str(BLOOM_SENSORS)))
+    writer.parquet(log.staged(attempt))
     return log.move_in(attempt)
 
 

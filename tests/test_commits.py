@@ -217,3 +217,23 @@ def test_table_without_a_committed_batch(spark):
     S.append_readings(_days(spark).limit(0), path, batch_id=0, run="r")  # a replay without rows takes them back
     empty = read_table(spark, path)
     assert empty.count() == 0 and "sensor_id" in empty.columns
+
+
+@pytest.mark.parametrize("dictionary", ["true", "false"])
+def test_one_sensor_is_read_from_the_files_that_hold_it(spark, dictionary):
+    """Every micro-batch file spans the whole range of sensor ids; only those with the sensor give rows."""
+    path = f"{new_folder()}/sensor_data"
+    spark.conf.set("parquet.enable.dictionary", dictionary)
+    try:
+        for k in range(4):  # batch k holds the sensors k, k + 4, ...
+            r = spark.range(20_000).selectExpr(
+                "id as seq", f"concat('s', lpad(4 * (id % 1000) + {k}, 5, '0')) as sensor_id", "1704067200000000 + id as us",
+                "20.0 as temperature", "50.0 as humidity", "3.0 as wind_speed")
+            S.append_readings(r.withColumn("timestamp", F.timestamp_micros("us").cast("timestamp_ntz")), path, files=1)
+    finally:
+        spark.conf.unset("parquet.enable.dictionary")
+    got = reports.for_sensor(read_table(spark, path), "s00402")
+    assert got.count() == 20
+    got.collect()
+    scan = got._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    assert scan.metrics().apply("numOutputRows").value() == 20_000  # one of four files
