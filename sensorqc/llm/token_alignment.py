@@ -73,7 +73,7 @@ class Bounds(NamedTuple):
     """What a task keeps at most; no bound changes results."""
 
     #: Chunks and windows that a worker remembers before it starts anew.
-    memo: int = 150_000
+    memo: int = 250_000
     #: Characters of a chunk and tokens of a window that are remembered.
     memo_chars: int = 48
     memo_tokens: int = 64
@@ -90,15 +90,19 @@ class Repeats:
     def __init__(self, size: int = 1 << 22):
         self.mask, self.marks, self.n = size - 1, bytearray(size), 0
 
-    def again(self, key) -> bool:
-        at = hash(key) & self.mask
-        if self.marks[at]:
-            return True
-        self.marks[at] = 1
-        self.n += 1
+    def of(self, keys: list) -> list:
+        """The keys seen before; the others have been seen now."""
         if self.n > self.mask >> 2:
             self.__init__(self.mask + 1)
-        return False
+        marks, mask, out = self.marks, self.mask, []
+        for key in keys:
+            at = hash(key) & mask
+            if marks[at]:
+                out.append(key)
+            else:
+                marks[at] = 1
+        self.n += len(keys) - len(out)
+        return out
 
 
 class Encoders:
@@ -126,9 +130,13 @@ class Encoders:
         a, b, same = self._encode(chunk)
         return a.tobytes(), b.tobytes(), same
 
-    def _encode_all(self, chunks: list[str]) -> dict[str, tuple[bytes, bytes, bool]]:
-        """Each chunk's ids, of most from one call over all of them with spaces between."""
-        joined = [c for c in chunks if c and not c[0].isspace() and not c[-1].isspace()]
+    def _encode_all(self, chunks: list[str], ends: tuple[str, str]) -> dict[str, tuple[bytes, bytes, bool]]:
+        """Each chunk's ids, of most from one call over all of them with spaces between.
+
+        Only the text's first and last chunk (``ends``) can be empty or begin or end in white space.
+        """
+        odd = {c for c in ends if not c or c[0].isspace() or c[-1].isspace()}
+        joined = [c for c in chunks if c not in odd] if odd else chunks
         out: dict[str, tuple[bytes, bytes, bool]] = {}
         if len(joined) > 1:
             a, b, same = self._encode(" ".join(joined))
@@ -146,15 +154,18 @@ class Encoders:
 
     def ids(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids of space + text by A and of text by B; None where they do not spell space + text."""
-        memo, again = self.memo, self.repeats.again
+        memo, most = self.memo, self.bounds.memo_chars
         parts = self.chunks(text)
         found = [*map(memo.get, parts)]
         if None in found:
-            new = self._encode_all([*dict.fromkeys([c for c, x in zip(parts, found) if x is None])])
-            found = [x or new[c] for c, x in zip(parts, found)]
+            missing = [k for k, x in enumerate(found) if x is None]
+            new = self._encode_all([*dict.fromkeys([parts[k] for k in missing])], (parts[0], parts[-1]))
+            for k in missing:
+                found[k] = new[parts[k]]
             if len(memo) > self.bounds.memo:
                 memo.clear()
-            memo.update([(c, x) for c, x in new.items() if len(c) <= self.bounds.memo_chars and again(c)])
+            for c in self.repeats.of([c for c in new if len(c) <= most]):
+                memo[c] = new[c]
         raw_a, raw_b, same = zip(*found)
         a, b = (np.frombuffer(b"".join(raw), "<u4") for raw in (raw_a, raw_b))
         if not all(same):  # a chunk that spells something else: compare the whole text
@@ -253,15 +264,19 @@ class Windows:
         keys = [(raw_a[p:q], raw_b[r:s]) for p, q, r, s in zip(at_a, at_a[1:], at_b, at_b[1:])]
         numbers, kept = [*map(memo.get, keys)], len(self.texts)
         if None in numbers:
-            again, most = self.repeats.again, 4 * self.bounds.memo_tokens
-            new = [*dict.fromkeys([k for k, n in zip(keys, numbers) if n is None])]
-            keep = [k for k in new if len(k[0]) + len(k[1]) <= most and again(k)]
-            fresh = dict.fromkeys([*keep, *new])  # those to be kept come first
+            most = 4 * self.bounds.memo_tokens
+            missing = [k for k, n in enumerate(numbers) if n is None]
+            new = dict.fromkeys([keys[k] for k in missing])
+            keep = self.repeats.of([k for k in new if len(k[0]) + len(k[1]) <= most])
+            fresh = dict.fromkeys(keep)  # those to be kept come first
+            fresh.update(new)
             fresh = dict(zip(fresh, range(kept, kept + len(fresh))))
             self._add([*fresh])
-            numbers = [fresh[k] if n is None else n for k, n in zip(keys, numbers)]
+            for k in missing:
+                numbers[k] = fresh[keys[k]]
             kept += len(keep)
-            memo.update([(k, fresh[k]) for k in keep])
+            for k in keep:
+                memo[k] = fresh[k]
         text = "".join([self.texts[n] for n in numbers])[:-1]
         out = (text, *self._links(np.array(numbers)))
         self._forget(kept)
