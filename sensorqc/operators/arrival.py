@@ -12,21 +12,21 @@ its size does not depend on the data and no job runs while it is built:
 1. Readings are cut into chunks of consecutive arrivals: an hour of arrival
    time where the source gives one (``received_at``, the broker's time), else
    ``chunk_seqs`` arrival numbers. A hot sensor is thereby split into many
-   independent units of work.
+   independent units of work. This is the only shuffle of all rows.
 2. The state a chunk starts with is the window at its first arrival: the
    earlier readings not yet removed. A reading survives its own chunk when no
    later reading of the chunk is a window newer (a reverse running ``max``).
-   Each survivor lives on until the first later chunk of its sensor whose
-   newest reading is a window newer than it. Nearly always that is the next
-   chunk, found by one join with the chunk records (one row per sensor and
-   chunk: its newest time and its successor). The few that outlive it are
-   matched with the sensor's sorted list of chunk records and expanded to
-   their range of chunks at once. Survivors enter each chunk they reach as
-   *context rows*.
-3. Rows and context rows are shuffled by ``(sensor_id, chunk)``, sorted by
-   arrival, and replayed partition by partition in ``mapInPandas``: a linked
-   list in arrival order and a heap by event time give each reading its window
-   counts, first element, and adjacent temperature pairs in O(log w).
+   It enters every later chunk of its sensor up to the first whose newest
+   reading is a window newer than it: nearly always just the next one. Each
+   chunk's record (its newest time) is put in its sensor's list, where every
+   chunk finds the chunks that its survivors can reach; survivors meet that
+   record and are copied into those chunks as *context rows*.
+3. Inside a chunk everything is native (:func:`_event_windows`): a reading's
+   remover is the first later reading a window newer, and all figures are
+   running sums over appends minus running sums over removals.
+4. Chunks in which a reading arrives a whole window after a newer one, or with
+   late readings in a row that are removed in another order, are replayed by
+   :class:`ArrivalWindow` in ``mapInPandas`` instead, sorted by arrival.
 
 A sensor's list has one entry per chunk, so an hour of arrivals each: 8,760 a
 year.
@@ -46,7 +46,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from sensorqc.functions.timeutil import from_micros, to_micros
-from sensorqc.rules import DEFAULT_RULES, QualityRules
+from sensorqc.operators.windows import reading_flags
+from sensorqc.rules import DEFAULT_RULES, QualityRules, READING_FIELDS
 
 DEFAULT_CHUNK_SEQS = 1 << 16
 DEFAULT_CHUNK_SPAN_US = 3_600_000_000
@@ -204,61 +205,186 @@ def arrival_chunk(readings: DataFrame, chunk_seqs: int | None, chunk_span_us: in
     return F.call_function("div", number - F.pmod(number, F.lit(length)), F.lit(length))  # exact floor
 
 
-def arrival_window(readings: DataFrame, rules: QualityRules = DEFAULT_RULES,
-                   chunk_seqs: int | None = None, chunk_span_us: int = DEFAULT_CHUNK_SPAN_US) -> DataFrame:
-    """Window statistics per reading in arrival (``seq``) order.
+def _reached_chunks(chunks: DataFrame, window_us: int) -> DataFrame:
+    """Per sensor and chunk, the later chunks its survivors can reach (``_rest``).
 
-    Same output columns as :func:`sensorqc.operators.windows.trailing_window`;
-    ``window_start`` is the first point in arrival order. Where readings carry
-    ``received_at`` it must not fall as ``seq`` grows (broker time does not).
+    They end with the first whose newest reading is a window newer than the
+    chunk's own newest, for which the next chunk is looked at first. The
+    newest reading of a chunk survives it, so no list is longer than that
+    reading's own context rows.
     """
-    W = rules.window_us
-    passthrough = tuple(c for c in readings.columns if c in ("area",))
-    fields = ("temperature", "humidity", "wind_speed")
-    nulls = [f"_{f}_null" for f in fields]
-    row_cols = ["seq", "sensor_id", *passthrough, "us", *fields, *nulls]
-    base = readings.select(
-        "seq", "sensor_id", *passthrough, "us", *fields,
-        *[F.col(f).isNull().alias(n) for f, n in zip(fields, nulls)],
-        arrival_chunk(readings, chunk_seqs, chunk_span_us).alias("_chunk"),
-    )
-    # 2a. survivors of their own chunk (reverse running max over later arrivals)
+    lists = chunks.groupBy("sensor_id").agg(F.sort_array(F.collect_list(F.struct("_chunk", "_cmax"))).alias("_list"))
+    items = F.col("_list")
+
+    def reach(x: Column, i: Column) -> Column:
+        limit, following = x["_cmax"] + F.lit(window_us), F.get(items, i + 1)
+        tail = F.slice(items, i + 2, F.size(items))
+        last = F.get(F.filter(tail, lambda y: y["_cmax"] >= limit), F.lit(0))["_chunk"]
+        longer = F.get(F.transform(F.array(last), lambda z: F.filter(
+            tail, lambda y: z.isNull() | (y["_chunk"] <= z))), F.lit(0))
+        return F.struct(x["_chunk"].alias("_chunk"),
+                        F.when(following["_cmax"] >= limit, F.array(following)).otherwise(longer).alias("_rest"))
+
+    return lists.select("sensor_id", F.explode(F.transform(items, reach)).alias("_r")).select(
+        "sensor_id", F.col("_r._chunk").alias("_chunk"), F.col("_r._rest").alias("_rest")).where(F.size("_rest") > 0)
+
+
+def _with_context(readings: DataFrame, window_us: int) -> DataFrame:
+    """Rows of every chunk (``_own``) and the readings still in the window at its start.
+
+    The result is partitioned by sensor and chunk. Newest times are aggregated
+    before any shuffle, so that the rows themselves are shuffled once.
+    """
+    base = readings.repartition("sensor_id", "_chunk")
+    cols = base.columns
     later = (Window.partitionBy("sensor_id", "_chunk").orderBy(F.desc("seq"))
              .rowsBetween(Window.unboundedPreceding, -1))
     survivors = (base.withColumn("_later_max", F.max("us").over(later))
-                 .where(F.col("_later_max").isNull() | (F.col("_later_max") < F.col("us") + F.lit(W)))
+                 .where(F.col("_later_max").isNull() | (F.col("_later_max") < F.col("us") + F.lit(window_us)))
                  .drop("_later_max"))
-    # 2b. one record per sensor and chunk: newest time, and the same of the next chunk
-    maxima = base.groupBy("sensor_id", "_chunk").agg(F.max("us").alias("_cmax"))
-    by_chunk = Window.partitionBy("sensor_id").orderBy("_chunk")
-    records = maxima.select("sensor_id", "_chunk", F.lead("_chunk").over(by_chunk).alias("_next"),
-                            F.lead("_cmax").over(by_chunk).alias("_next_max")).where(F.col("_next").isNotNull())
-    reached = survivors.join(records, ["sensor_id", "_chunk"])
-    into_next = reached.select(*row_cols, F.col("_next").alias("_chunk"))
-    # 2c. survivors of the next chunk too: all further chunks up to the one that removes them
-    lists = maxima.groupBy("sensor_id").agg(
-        F.sort_array(F.collect_list(F.struct("_chunk", "_cmax"))).alias("_list"))
-    beyond = F.filter("_list", lambda x: x["_chunk"] > F.col("_next"))
-    removers = F.filter("_beyond", lambda x: x["_cmax"] >= F.col("us") + F.lit(W))
-    into_further = (
-        reached.where(F.col("_next_max") < F.col("us") + F.lit(W)).join(lists, "sensor_id")
-        .select(*row_cols, beyond.alias("_beyond"))
-        .select(*row_cols, "_beyond", F.get(removers, F.lit(0))["_chunk"].alias("_last"))
-        .select(*row_cols, F.explode(F.filter(
-            "_beyond", lambda x: F.col("_last").isNull() | (x["_chunk"] <= F.col("_last")))).alias("_reach"))
-        .select(*row_cols, F.col("_reach._chunk").alias("_chunk")))
-    rows = (base.select(*row_cols, "_chunk", F.lit(True).alias("_own"))
-            .unionByName(into_next.withColumn("_own", F.lit(False)))
-            .unionByName(into_further.withColumn("_own", F.lit(False))))
+    chunks = readings.groupBy("sensor_id", "_chunk").agg(F.max("us").alias("_cmax"))
+    reach = survivors.join(_reached_chunks(chunks, window_us), ["sensor_id", "_chunk"])
+    removers = F.filter("_rest", lambda x: x["_cmax"] >= F.col("us") + F.lit(window_us))
+    row_cols = [c for c in cols if c != "_chunk"]
+    context = (reach.withColumn("_last", F.get(removers, F.lit(0))["_chunk"])
+               .select(*row_cols, F.explode(F.filter(
+                   "_rest", lambda x: F.col("_last").isNull() | (x["_chunk"] <= F.col("_last")))).alias("_to"))
+               .select(*row_cols, F.col("_to._chunk").alias("_chunk")))
+    return (base.withColumn("_own", F.lit(True)).unionByName(
+        context.withColumn("_own", F.lit(False)).repartition("sensor_id", "_chunk")))
+
+
+def _removal_order(rows: DataFrame, rules: QualityRules) -> DataFrame:
+    """Each row's remover, its left neighbours, and whether its chunk must be replayed.
+
+    ``_gone`` is the arrival number of the first reading a window newer (the
+    largest long: none). A row is a *dent* when it goes before one that
+    arrived earlier; the others go in arrival order. The pairs a row can form
+    with rows before it are two: with the last row before it that is no dent
+    (``_f1``: from its arrival or, after a dent, from when that dent is gone),
+    and with a dent right before it (``_f2``). That holds as long as dents in a row go in
+    arrival order, too; else, or if a remover arrived before the row, ``_replay``.
+    """
+    key = Window.partitionBy("sensor_id", "_chunk")
+    newer = key.orderBy("_neg_us").rangeBetween(Window.unboundedPreceding, -rules.window_us)
+    arrived = key.orderBy("seq")
+    before = arrived.rowsBetween(Window.unboundedPreceding, -1)
+    never = F.lit((1 << 63) - 1)
+    t = F.col("temperature")
+
+    def pair(left: Column) -> tuple[Column, Column]:
+        diff = t - left
+        both = t.isNotNull() & left.isNotNull()
+        return both, both & (F.abs(diff) > F.lit(rules.jump_limit)) & ~F.isnan(diff)
+
+    gone = (rows.withColumn("_neg_us", -F.col("us"))
+            .withColumn("_gone", F.coalesce(F.min(F.when(F.col("_own"), F.col("seq"))).over(newer), never))
+            .withColumn("_dent", F.coalesce(F.col("_gone") < F.max("_gone").over(before), F.lit(False))))
+    near = gone.select("*", F.lag(F.struct("_dent", "_gone", F.col("temperature").alias("t"))).over(arrived).alias("_p"),
+                       F.last(F.when(~F.col("_dent"), F.struct("_gone", F.col("temperature").alias("t"))),
+                              ignorenulls=True).over(before).alias("_a"))
+    after_dent = F.coalesce(F.col("_p._dent"), F.lit(False))
+    # The first pair begins with the row or, where that is later, with the removal of the dent before it.
+    waits = after_dent & (F.col("_p._gone") > F.col("seq"))
+    begins = F.when(waits, F.col("_p._gone")).otherwise(F.col("seq"))
+    lives1 = F.col("_a").isNotNull() & (begins < F.least("_a._gone", "_gone"))
+    lives2 = after_dent & (F.col("seq") < F.col("_p._gone"))
+    (pair1, jump1), (pair2, jump2) = pair(F.col("_a.t")), pair(F.col("_p.t"))
+    as_long = lambda c: F.coalesce(c, F.lit(False)).cast("long")
+    odd = (F.col("_gone") < F.col("seq")) | (F.col("_dent") & after_dent & (F.col("_gone") < F.col("_p._gone")))
+    return (near.select("*", waits.alias("_waits"),
+                        *[as_long(c).alias(n) for n, c in (
+                            ("_f1_pairs", lives1 & pair1), ("_f1_jumps", lives1 & jump1),
+                            ("_f2_pairs", lives2 & pair2), ("_f2_jumps", lives2 & jump2))],
+                        as_long(odd).alias("_odd"))
+            .withColumn("_replay", F.max("_odd").over(key) > 0)
+            .drop("_neg_us", "_p", "_a", "_odd"))
+
+
+def _event_windows(rows: DataFrame, rules: QualityRules) -> DataFrame:
+    """Window statistics of chunks that need no replay, all by running sums.
+
+    A figure is what rows up to this one added when they arrived, plus what
+    those gone by now changed when they went. The rows gone at a reading are
+    those a window older than the newest own reading so far, hence a running sum in time
+    order at that newest reading, carried on in arrival order. The first point
+    in the window never is a dent: it follows the last one gone that was none.
+    """
+    key = Window.partitionBy("sensor_id", "_chunk")
+    arrived = key.orderBy("seq")
+    upto = arrived.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    older = key.orderBy("us").rangeBetween(Window.unboundedPreceding, -rules.window_us)
+
+    dent, nothing = F.col("_dent"), F.lit(0)
+    linked = ["_waits", "_f1_pairs", "_f1_jumps", "_f2_pairs", "_f2_jumps"]
+    next_kept = F.expr("lead(if(_dent, null, struct(us, _f1_pairs, _f1_jumps))) ignore nulls "
+                       "over (partition by sensor_id, _chunk order by seq)")
+    near = rows.select("*", *reading_flags(rules),
+                       F.lead(F.struct(*linked)).over(arrived).alias("_q"), next_kept.alias("_b"))
+    adds = {"n": F.lit(1)}
+    leaves = {"n": F.lit(1)}
+    for f in READING_FIELDS:
+        adds[f"{f}_nulls"] = leaves[f"{f}_nulls"] = F.col(f"_{f}_null")
+        adds[f"{f}_valid"] = leaves[f"{f}_valid"] = F.col(f"_{f}_ok")
+    for k in ("pairs", "jumps"):
+        first, second = F.col(f"_f1_{k}"), F.col(f"_f2_{k}")
+        next_first = F.when(F.col("_q._waits"), F.col(f"_q._f1_{k}")).otherwise(nothing)
+        adds[k] = F.when(F.col("_waits"), nothing).otherwise(first) + second
+        # A dent takes its pairs along, and the row after it gets its first pair; another row, its pair with the next.
+        leaves[k] = F.when(dent, first + F.coalesce(F.col(f"_q._f2_{k}"), nothing) - F.coalesce(next_first, nothing)
+                           ).otherwise(F.coalesce(F.col(f"_b._f1_{k}"), nothing))
+    gone = near.select(
+        "*", *[c.alias(f"_in_{k}") for k, c in adds.items()], *[c.alias(f"_out_{k}") for k, c in leaves.items()],
+    ).select("*", F.when(F.col("_own"), F.struct(
+        "us", *[F.coalesce(F.sum(f"_out_{k}").over(older), nothing).alias(k) for k in leaves],
+        F.max(F.when(~dent, F.struct("seq", F.col("_b.us").alias("start")))).over(older)["start"].alias("start"),
+    )).alias("_left"))
+    stats = gone.select(
+        "*", F.max("_left").over(upto).alias("_now"), F.first("us").over(upto).alias("_first_us"),
+        *[F.sum(f"_in_{k}").over(upto).alias(f"_sum_{k}") for k in adds]).where(F.col("_own"))
+    now = {k: F.col(f"_sum_{k}") - F.col(f"_now.{k}") for k in adds}
+    for f in READING_FIELDS:
+        now[f"{f}_n"] = now["n"] - now[f"{f}_nulls"]
+    return stats.select("seq", "sensor_id", *_passthrough(rows), "us",
+                        F.coalesce("_now.start", "_first_us").alias("_start_us"),
+                        *[now[c].alias(c) for c in _COUNTS])
+
+
+def _replayed_windows(rows: DataFrame, rules: QualityRules) -> DataFrame:
+    """The same by :class:`ArrivalWindow`, partition by partition in arrival order."""
+    passthrough = _passthrough(rows)
     schema = StructType(
         [StructField("seq", LongType()), StructField("sensor_id", StringType()), StructField("us", LongType()),
          StructField("_start_us", LongType())]
         + [StructField(c, LongType()) for c in _COUNTS]
         + [StructField(p, StringType()) for p in passthrough])
-    stats = (rows.repartition("sensor_id", "_chunk")
-             .sortWithinPartitions("sensor_id", "_chunk", "seq")
-             .mapInPandas(_replay_partition(rules, passthrough), schema))
+    flagged = rows.select("seq", "sensor_id", *passthrough, "us", *READING_FIELDS, "_chunk", "_own",
+                          *[F.col(f).isNull().alias(f"_{f}_null") for f in READING_FIELDS])
+    return (flagged.sortWithinPartitions("sensor_id", "_chunk", "seq")
+            .mapInPandas(_replay_partition(rules, passthrough), schema))
+
+
+def _passthrough(readings: DataFrame) -> tuple[str, ...]:
+    return tuple(c for c in readings.columns if c in ("area",))
+
+
+def arrival_window(readings: DataFrame, rules: QualityRules = DEFAULT_RULES,
+                   chunk_seqs: int | None = None, chunk_span_us: int = DEFAULT_CHUNK_SPAN_US) -> DataFrame:
+    """Window statistics per reading in arrival (``seq``) order.
+
+    Same output columns as :func:`sensorqc.operators.windows.trailing_window`;
+    ``window_start`` is the first point in arrival order. Where readings carry
+    ``received_at`` it must not fall as ``seq`` grows (broker time does not).
+    Readings without a sensor, which P2 rejects, belong to no window.
+    """
+    passthrough = _passthrough(readings)
+    base = readings.select(
+        "seq", "sensor_id", *passthrough, "us", *READING_FIELDS,
+        F.coalesce(arrival_chunk(readings, chunk_seqs, chunk_span_us), F.lit(-(1 << 63))).alias("_chunk"),
+    ).where(F.col("sensor_id").isNotNull())
+    rows = _removal_order(_with_context(base, rules.window_us), rules)
+    stats = _event_windows(rows.where(~F.col("_replay")), rules).unionByName(
+        _replayed_windows(rows.where("_replay"), rules))
     cols = ["seq", "sensor_id", *passthrough, "us", F.col("_ts").alias("timestamp"), *_COUNTS,
             from_micros("_start_us").alias("window_start"), F.col("_ts").alias("window_end")]
     return stats.withColumn("_ts", from_micros("us")).select(*cols)
-

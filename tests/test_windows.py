@@ -1,12 +1,15 @@
 """Window forms against a literal replay, and scale forms against plain forms."""
 
+import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import BASE, readings_df, replay, stats_by_seq
-from sensorqc.operators.arrival import arrival_window
+from sensorqc.operators.arrival import _removal_order, _with_context, arrival_chunk, arrival_window
 from sensorqc.operators.windows import trailing_window
+from sensorqc.rules import DEFAULT_RULES
 from sensorqc.sources import fixtures
 
 SF = "/root/testdata/sf0.001"
@@ -125,6 +128,68 @@ def test_random_sequences_property(spark):
     assert stats_by_seq(arrival_window(df, chunk_seqs=50)) == expect
 
 
+def _unit_rows(df, chunk_seqs):
+    """Rows of every chunk with their removers, as the operator sees them."""
+    base = df.select("seq", "sensor_id", "us", "temperature", "humidity", "wind_speed",
+                     arrival_chunk(df, chunk_seqs, 0).alias("_chunk"))
+    return _removal_order(_with_context(base, DEFAULT_RULES.window_us), DEFAULT_RULES)
+
+
+def test_late_readings_of_every_pattern_natively_and_replayed(spark):
+    """300 sensors: single late readings, late runs in and out of order, equal times, resent days, clocks ahead."""
+    rng = random.Random(11)
+    rows, seq = [], 0
+    for k in range(300):
+        now, step, odd = 0.0, rng.choice([5, 20, 60, 200]), rng.choice([0.05, 0.3, 0.8])
+        backlog = None
+        for _ in range(40):
+            now += step * rng.choice([0, 0.5, 1, 1])
+            if backlog is not None and rng.random() < 0.7:
+                backlog += rng.choice([0, 1, step])
+                sec = backlog
+            elif rng.random() < odd:
+                sec = now + rng.choice([-50, -250, -300, -301, -700, 40 if k % 3 else 500])
+                backlog = sec if k % 2 and rng.random() < 0.5 else None
+            else:
+                sec, backlog = now, None
+            t = None if rng.random() < 0.15 else rng.choice([math.nan, -30.0, 5.0, 14.0, 15.0, 26.0])
+            rows.append((seq, f"S{k}", sec, t, rng.choice([None, 50.0, 120.0]), 3.0))
+            seq += 1
+    df = readings_df(spark, rows)
+    expect = replay([(s, k, BASE + int(round(sec * 1e6)), t, h, w) for s, k, sec, t, h, w in rows])
+    for chunk_seqs in (17, 1 << 20):
+        assert stats_by_seq(arrival_window(df, chunk_seqs=chunk_seqs)) == expect
+        kinds = {(r["_replay"], r["dents"] > 1) for r in _unit_rows(df, chunk_seqs).groupBy(
+            "sensor_id", "_chunk", "_replay").agg(F.count_if("_dent").alias("dents")).collect()}
+        assert kinds >= {(False, False), (False, True), (True, True)}
+
+
+def test_arrival_window_replays_no_chunk_of_the_late_fixture_by_python(spark):
+    r = fixtures.readings_late(spark, SF)
+    units = _unit_rows(r, 97).groupBy("_replay").agg(F.count_if("_dent").alias("dents"), F.count("*").alias("n"))
+    found = {u["_replay"]: (u["dents"], u["n"]) for u in units.collect()}
+    assert found[False][0] > 0 and found.get(True, (0, 0))[1] < 0.02 * found[False][1]
+
+
+def test_arrival_window_shuffles_all_rows_once(spark):
+    """Two scans (one of times only); besides the rows, one shuffle each of newest times, their lists, context rows."""
+    df = arrival_window(fixtures.readings_received(spark, SF), chunk_span_us=600_000_000)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == 2
+    shuffles = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "ReusedExchange" not in x]
+    assert len(shuffles) <= 5
+    assert len([x for x in shuffles if "REPARTITION_BY_COL" in x]) == 2  # rows, context rows
+
+
+def test_readings_without_sensor_or_arrival_time_and_empty_tables(spark):
+    rows = [(1, None, 0, 1.0, 1.0, 1.0), (2, "A", 1, 1.0, 1.0, 1.0), (3, "A", 2, 30.0, 1.0, 1.0)]
+    df = readings_df(spark, rows).withColumn("received_at", F.lit(None).cast("timestamp_ntz"))
+    got = stats_by_seq(arrival_window(df))
+    assert sorted(got) == [2, 3] and (got[3]["n"], got[3]["jumps"]) == (2, 1)
+    assert arrival_window(df.where("false")).count() == 0
+
+
 def test_trailing_window_plan_has_one_shuffle(spark):
     plan = trailing_window(fixtures.readings(spark, SF))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
