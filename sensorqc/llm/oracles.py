@@ -1,7 +1,5 @@
 """DuckDB SQL of the registered queries that SQL can express."""
 
-from sensorqc.llm.secrets import RULES
-
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 OP2 = rf"""
@@ -87,13 +85,27 @@ def _quoted(pattern: str) -> str:
     return "'" + pattern.replace("'", "''") + "'"
 
 
+# Kind, pattern, group to test, its least length; the first three are the base rules.
+_SECRETS = (
+    ("assign", r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]"""
+               r"""|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
+    ("access", "AKIA[A-Z0-9]+", 0, 18),
+    ("hex", "[0-9a-f]{16,}", 0, 16),
+    ("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----[\x20\x09-\x0D]*(?:Proc-Type:[^\x0A]*\x0A)?(?:DEK-Info:[^\x0A]*\x0A)?"
+                    r"[A-Za-z0-9+/=\x20\x09-\x0D]*(?:-----END [A-Z ]*PRIVATE KEY-----)?", 0, 1),
+    ("code_host", "(?:ghp|gho|ghu|ghs|ghr)_[A-Za-z0-9]{36,}", 0, 1),
+    ("chat", "xox[abprs]-[A-Za-z0-9-]{10,}", 0, 1),
+    ("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1),
+    ("url_login", r"://[^\x20\x09-\x0D/:@]+:[^\x20\x09-\x0D/:@]{4,}@", 0, 1),
+)
+
 _MATCHES = " union all ".join(
-    f"""select doc_id, {k} as rule, '{r.kind}' as kind, {r.least} as least,
-  unnest([length(x) for x in string_split_regex(text, {_quoted(r.pattern)})]) as gap,
-  unnest([length(x) for x in regexp_extract_all(text, {_quoted(r.pattern)}, 0)]) as whole,
-  unnest([length(x) for x in regexp_extract_all(text, {_quoted(r.pattern)}, {r.group})]) as tested,
-  unnest(range(len(regexp_extract_all(text, {_quoted(r.pattern)}, 0)))) as pos
-from d where regexp_matches(text, {_quoted(r.pattern)})""" for k, r in enumerate(RULES))
+    f"""select doc_id, {k} as rule, '{kind}' as kind, {least} as least,
+  unnest([length(x) for x in string_split_regex(text, {_quoted(pattern)})]) as gap,
+  unnest([length(x) for x in regexp_extract_all(text, {_quoted(pattern)}, 0)]) as whole,
+  unnest([length(x) for x in regexp_extract_all(text, {_quoted(pattern)}, {group})]) as tested,
+  unnest(range(len(regexp_extract_all(text, {_quoted(pattern)}, 0)))) as pos
+from d where regexp_matches(text, {_quoted(pattern)})""" for k, (kind, pattern, group, least) in enumerate(_SECRETS))
 
 OP7 = f"""
 with d as (select doc_id, coalesce(text, '') as text from documents),

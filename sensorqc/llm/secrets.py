@@ -58,11 +58,15 @@ BASE = (
     Rule("hex", 1, r"[0-9a-f]{16,}", least=16),
 )
 RULES = BASE + (
-    Rule("private_key", 1, r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\x20\x09-\x0D]*", needle="-----BEGIN "),
+    # The header lines are those of encrypted keys; a key that is cut off has no END line.
+    Rule("private_key", 2, r"-----BEGIN [A-Z ]*PRIVATE KEY-----[\x20\x09-\x0D]*(?:Proc-Type:[^\x0A]*\x0A)?"
+         r"(?:DEK-Info:[^\x0A]*\x0A)?[A-Za-z0-9+/=\x20\x09-\x0D]*(?:-----END [A-Z ]*PRIVATE KEY-----)?",
+         needle="-----BEGIN "),
     Rule("code_host", 1, r"(?:ghp|gho|ghu|ghs|ghr)_[A-Za-z0-9]{36,}", needle="gh"),
     Rule("chat", 1, r"xox[abprs]-[A-Za-z0-9-]{10,}", needle="xox"),
     Rule("web_token", 1, r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", needle="eyJ"),
-    Rule("url_login", 1, r"[a-z][a-z0-9+.-]{1,20}://[^\x20\x09-\x0D/:@]{1,100}:[^\x20\x09-\x0D/:@]{4,100}@", needle="://"),
+    # Without the scheme, of any length, so that a long run of letters is not tried from each of them.
+    Rule("url_login", 2, r"://[^\x20\x09-\x0D/:@]+:[^\x20\x09-\x0D/:@]{4,}@", needle="://"),
 )
 
 PATHS = "doc_id bigint, digest binary"

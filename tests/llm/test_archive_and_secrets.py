@@ -96,6 +96,26 @@ def test_base_spans(spark):
     assert {secrets.RULES[k].kind for k in extra[11]} == {"code_host", "url_login"}
 
 
+def test_logins_and_keys_of_any_length(spark):
+    """Long users and passwords, encrypted, cut-off and adjoining keys; texts that would make a pattern slow."""
+    key = "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0F\n\nMIIE+/=\nabc\n-----END RSA PRIVATE KEY-----"
+    plain = "-----BEGIN PRIVATE KEY-----\nMIIE\n-----END PRIVATE KEY-----"
+    login = "://" + "u" * 5000 + ":" + "p" * 70_000 + "@"
+    rows = [(1, f"see https{login}host"), (2, f"x {key} y"), (3, f"{plain}\n{plain}"),
+            (4, "-----BEGIN " + "A" * 300 + " PRIVATE KEY-----\nMIIE"), (5, "://user:abc@h ://:abcd@h ://u:ab cd@h"),
+            (6, "a" * 2_000_000), (7, "-----BEGIN " * 100_000), (8, "://" * 300_000), (9, "://a:" * 200_000)]
+    ledger = secrets.BlobLedger.create(spark, shared_folder(spark, "t"))
+    ledger.add(texts_df(spark, rows))
+    ledger.scan()
+    got = {r.doc_id: [(secrets.RULES[s.rule].kind, s.start, s.end) for s in r.spans or []
+                      if secrets.RULES[s.rule].kind in ("url_login", "private_key")] for r in ledger.report().collect()}
+    assert got[1] == [("url_login", 9, 9 + len(login))]
+    assert got[2] == [("private_key", 2, 2 + len(key))]
+    assert got[3] == [("private_key", 0, len(plain)), ("private_key", len(plain) + 1, 2 * len(plain) + 1)]
+    assert got[4] == [("private_key", 0, len(rows[3][1]))]
+    assert not any(got[k] for k in (5, 6, 7, 8, 9))
+
+
 def test_only_unseen_pairs_are_scanned(spark):
     ledger = secrets.BlobLedger.create(spark, shared_folder(spark, "t"))
     ledger.add(texts_df(spark, TEXTS[:6]))
