@@ -43,7 +43,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import DataType, LongType, StringType, StructField, StructType
 
 from sensorqc.functions.timeutil import from_micros, to_micros
 from sensorqc.operators.windows import reading_flags
@@ -66,7 +66,7 @@ class ArrivalWindow:
     """
 
     __slots__ = ("W", "lo", "hi", "jump", "us", "vals", "prev", "next", "head", "tail", "heap",
-                 "seqs", "c")
+                 "seqs", "c", "newest")
 
     def __init__(self, rules: QualityRules):
         self.W = rules.window_us
@@ -77,6 +77,7 @@ class ArrivalWindow:
         self.prev, self.next = {}, {}
         self.head = self.tail = None
         self.heap = []
+        self.newest = None  # only a newer reading removes it, so it always is in the window
         # n, nulls x3, present x3, valid x3, pairs, jumps
         self.c = [0] * 12
 
@@ -111,6 +112,8 @@ class ArrivalWindow:
             self.head = key
         self.tail = key
         self._count(vals, 1)
+        if self.newest is None or us > self.newest:
+            self.newest = us
         heapq.heappush(self.heap, (us, seq, key))
 
     def _remove(self, key):
@@ -193,7 +196,7 @@ def _replay_partition(rules: QualityRules, passthrough: tuple[str, ...]):
 
 
 def arrival_chunk(readings: DataFrame, chunk_seqs: int | None, chunk_span_us: int) -> Column:
-    """Chunk number of a reading; it never falls as ``seq`` grows.
+    """Chunk number of a reading; it never falls in arrival order (:func:`arrival_key`).
 
     By arrival time if the readings carry ``received_at`` and no ``chunk_seqs``
     is asked for, else by arrival number.
@@ -205,6 +208,24 @@ def arrival_chunk(readings: DataFrame, chunk_seqs: int | None, chunk_span_us: in
     return F.call_function("div", number - F.pmod(number, F.lit(length)), F.lit(length))  # exact floor
 
 
+def arrival_key(readings: DataFrame, chunk_seqs: int | None = None) -> Column:
+    """What orders arrivals: ``received_at``, then ``seq`` (unique), or ``seq`` alone without it.
+
+    A broker numbers the messages of each partition only, so ``seq`` alone says
+    nothing over partitions; its time does.
+    """
+    if chunk_seqs is None and "received_at" in readings.columns:
+        return F.struct(F.coalesce(to_micros("received_at"), F.lit(-(1 << 63))).alias("time"),
+                        F.col("seq").cast("long").alias("seq"))
+    return F.col("seq").cast("long")
+
+
+def _never(key: DataType) -> Column:
+    """A value that no arrival key exceeds."""
+    last = F.lit((1 << 63) - 1)
+    return F.struct(*[last.alias(f.name) for f in key.fields]) if isinstance(key, StructType) else last
+
+
 def _reached_chunks(chunks: DataFrame, window_us: int) -> DataFrame:
     """Per sensor and chunk, the later chunks its survivors can reach (``_rest``).
 
@@ -237,7 +258,7 @@ def _with_context(readings: DataFrame, window_us: int) -> DataFrame:
     """
     base = readings.repartition("sensor_id", "_chunk")
     cols = base.columns
-    later = (Window.partitionBy("sensor_id", "_chunk").orderBy(F.desc("seq"))
+    later = (Window.partitionBy("sensor_id", "_chunk").orderBy(F.desc("_at"))
              .rowsBetween(Window.unboundedPreceding, -1))
     survivors = (base.withColumn("_later_max", F.max("us").over(later))
                  .where(F.col("_later_max").isNull() | (F.col("_later_max") < F.col("us") + F.lit(window_us)))
@@ -257,8 +278,8 @@ def _with_context(readings: DataFrame, window_us: int) -> DataFrame:
 def _removal_order(rows: DataFrame, rules: QualityRules) -> DataFrame:
     """Each row's remover, its left neighbours, and whether its chunk must be replayed.
 
-    ``_gone`` is the arrival number of the first reading a window newer (the
-    largest long: none). A row is a *dent* when it goes before one that
+    ``_gone`` is the arrival key of the first reading a window newer (the
+    largest key: none). A row is a *dent* when it goes before one that
     arrived earlier; the others go in arrival order. The pairs a row can form
     with rows before it are two: with the last row before it that is no dent
     (``_f1``: from its arrival or, after a dent, from when that dent is gone),
@@ -267,9 +288,9 @@ def _removal_order(rows: DataFrame, rules: QualityRules) -> DataFrame:
     """
     key = Window.partitionBy("sensor_id", "_chunk")
     newer = key.orderBy("_neg_us").rangeBetween(Window.unboundedPreceding, -rules.window_us)
-    arrived = key.orderBy("seq")
+    arrived = key.orderBy("_at")
     before = arrived.rowsBetween(Window.unboundedPreceding, -1)
-    never = F.lit((1 << 63) - 1)
+    never = _never(rows.schema["_at"].dataType)
     t = F.col("temperature")
 
     def pair(left: Column) -> tuple[Column, Column]:
@@ -278,20 +299,20 @@ def _removal_order(rows: DataFrame, rules: QualityRules) -> DataFrame:
         return both, both & (F.abs(diff) > F.lit(rules.jump_limit)) & ~F.isnan(diff)
 
     gone = (rows.withColumn("_neg_us", -F.col("us"))
-            .withColumn("_gone", F.coalesce(F.min(F.when(F.col("_own"), F.col("seq"))).over(newer), never))
+            .withColumn("_gone", F.coalesce(F.min(F.when(F.col("_own"), F.col("_at"))).over(newer), never))
             .withColumn("_dent", F.coalesce(F.col("_gone") < F.max("_gone").over(before), F.lit(False))))
     near = gone.select("*", F.lag(F.struct("_dent", "_gone", F.col("temperature").alias("t"))).over(arrived).alias("_p"),
                        F.last(F.when(~F.col("_dent"), F.struct("_gone", F.col("temperature").alias("t"))),
                               ignorenulls=True).over(before).alias("_a"))
     after_dent = F.coalesce(F.col("_p._dent"), F.lit(False))
     # The first pair begins with the row or, where that is later, with the removal of the dent before it.
-    waits = after_dent & (F.col("_p._gone") > F.col("seq"))
-    begins = F.when(waits, F.col("_p._gone")).otherwise(F.col("seq"))
+    waits = after_dent & (F.col("_p._gone") > F.col("_at"))
+    begins = F.when(waits, F.col("_p._gone")).otherwise(F.col("_at"))
     lives1 = F.col("_a").isNotNull() & (begins < F.least("_a._gone", "_gone"))
-    lives2 = after_dent & (F.col("seq") < F.col("_p._gone"))
+    lives2 = after_dent & (F.col("_at") < F.col("_p._gone"))
     (pair1, jump1), (pair2, jump2) = pair(F.col("_a.t")), pair(F.col("_p.t"))
     as_long = lambda c: F.coalesce(c, F.lit(False)).cast("long")
-    odd = (F.col("_gone") < F.col("seq")) | (F.col("_dent") & after_dent & (F.col("_gone") < F.col("_p._gone")))
+    odd = (F.col("_gone") < F.col("_at")) | (F.col("_dent") & after_dent & (F.col("_gone") < F.col("_p._gone")))
     return (near.select("*", waits.alias("_waits"),
                         *[as_long(c).alias(n) for n, c in (
                             ("_f1_pairs", lives1 & pair1), ("_f1_jumps", lives1 & jump1),
@@ -311,14 +332,14 @@ def _event_windows(rows: DataFrame, rules: QualityRules) -> DataFrame:
     in the window never is a dent: it follows the last one gone that was none.
     """
     key = Window.partitionBy("sensor_id", "_chunk")
-    arrived = key.orderBy("seq")
+    arrived = key.orderBy("_at")
     upto = arrived.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     older = key.orderBy("us").rangeBetween(Window.unboundedPreceding, -rules.window_us)
 
     dent, nothing = F.col("_dent"), F.lit(0)
     linked = ["_waits", "_f1_pairs", "_f1_jumps", "_f2_pairs", "_f2_jumps"]
     next_kept = F.expr("lead(if(_dent, null, struct(us, _f1_pairs, _f1_jumps))) ignore nulls "
-                       "over (partition by sensor_id, _chunk order by seq)")
+                       "over (partition by sensor_id, _chunk order by _at)")
     near = rows.select("*", *reading_flags(rules),
                        F.lead(F.struct(*linked)).over(arrived).alias("_q"), next_kept.alias("_b"))
     adds = {"n": F.lit(1)}
@@ -337,7 +358,7 @@ def _event_windows(rows: DataFrame, rules: QualityRules) -> DataFrame:
         "*", *[c.alias(f"_in_{k}") for k, c in adds.items()], *[c.alias(f"_out_{k}") for k, c in leaves.items()],
     ).select("*", F.when(F.col("_own"), F.struct(
         "us", *[F.coalesce(F.sum(f"_out_{k}").over(older), nothing).alias(k) for k in leaves],
-        F.max(F.when(~dent, F.struct("seq", F.col("_b.us").alias("start")))).over(older)["start"].alias("start"),
+        F.max(F.when(~dent, F.struct("_at", F.col("_b.us").alias("start")))).over(older)["start"].alias("start"),
     )).alias("_left"))
     stats = gone.select(
         "*", F.max("_left").over(upto).alias("_now"), F.first("us").over(upto).alias("_first_us"),
@@ -358,9 +379,9 @@ def _replayed_windows(rows: DataFrame, rules: QualityRules) -> DataFrame:
          StructField("_start_us", LongType())]
         + [StructField(c, LongType()) for c in _COUNTS]
         + [StructField(p, StringType()) for p in passthrough])
-    flagged = rows.select("seq", "sensor_id", *passthrough, "us", *READING_FIELDS, "_chunk", "_own",
+    flagged = rows.select("seq", "sensor_id", *passthrough, "us", *READING_FIELDS, "_chunk", "_own", "_at",
                           *[F.col(f).isNull().alias(f"_{f}_null") for f in READING_FIELDS])
-    return (flagged.sortWithinPartitions("sensor_id", "_chunk", "seq")
+    return (flagged.sortWithinPartitions("sensor_id", "_chunk", "_at").drop("_at")
             .mapInPandas(_replay_partition(rules, passthrough), schema))
 
 
@@ -370,16 +391,16 @@ def _passthrough(readings: DataFrame) -> tuple[str, ...]:
 
 def arrival_window(readings: DataFrame, rules: QualityRules = DEFAULT_RULES,
                    chunk_seqs: int | None = None, chunk_span_us: int = DEFAULT_CHUNK_SPAN_US) -> DataFrame:
-    """Window statistics per reading in arrival (``seq``) order.
+    """Window statistics per reading in arrival order (:func:`arrival_key`).
 
     Same output columns as :func:`sensorqc.operators.windows.trailing_window`;
-    ``window_start`` is the first point in arrival order. Where readings carry
-    ``received_at`` it must not fall as ``seq`` grows (broker time does not).
+    ``window_start`` is the first point in arrival order: by ``received_at`` and then
+    ``seq``, or by ``seq`` alone where there is no ``received_at`` or ``chunk_seqs`` is given.
     Readings without a sensor, which P2 rejects, belong to no window.
     """
     passthrough = _passthrough(readings)
     base = readings.select(
-        "seq", "sensor_id", *passthrough, "us", *READING_FIELDS,
+        "seq", "sensor_id", *passthrough, "us", *READING_FIELDS, arrival_key(readings, chunk_seqs).alias("_at"),
         F.coalesce(arrival_chunk(readings, chunk_seqs, chunk_span_us), F.lit(-(1 << 63))).alias("_chunk"),
     ).where(F.col("sensor_id").isNotNull())
     rows = _removal_order(_with_context(base, rules.window_us), rules)

@@ -46,19 +46,30 @@ def read_readings_stream(spark: SparkSession, fmt: str = "kafka", options: dict
     return df
 
 
-def number_messages(messages: DataFrame) -> DataFrame:
-    """Kafka rows as (seq, value, received_at), numbered by broker time, partition and offset.
+#: Bits of a partition's number and of an offset in ``seq``.
+PARTITION_BITS, OFFSET_BITS = 16, 47
+
 
-    A topic without keys spreads a sensor over partitions, so only the
-    broker's time orders its messages. ``seq`` packs milliseconds (41 bits),
-    partition (8 bits) and the offset's low 14 bits; it is unique for up to 256
-    partitions of 16,384 messages a millisecond each, until 2039.
+def number_messages(messages: DataFrame) -> DataFrame:
+    """Kafka rows as (seq, value, received_at): arrival order is ``received_at``, then ``seq``.
+
+    ``seq`` is partition and offset, so it is unique and in order within a
+    partition, for 65,536 partitions of 2^47 messages; beyond, the query fails
+    rather than let numbers clash. Over partitions the time orders: the
+    broker's append time, which does not fall within a partition. A topic that
+    keeps its producers' stamps (``timestampType`` 0) has no such time; there
+    it is the time of the micro-batch, which a replayed batch keeps, and
+    within a batch partitions come one after the other.
     """
-    seq = (F.shiftleft(F.unix_millis("timestamp"), 22)
-           + F.shiftleft(F.pmod(F.col("partition").cast("long"), F.lit(256)), 14)
-           + F.col("offset").cast("long").bitwiseAND(F.lit((1 << 14) - 1)))
+    partition, offset = F.col("partition").cast("long"), F.col("offset").cast("long")
+    fits = (partition < F.lit(1 << PARTITION_BITS)) & (offset < F.lit(1 << OFFSET_BITS))
+    seq = F.when(fits, F.shiftleft(partition, OFFSET_BITS) + offset).otherwise(
+        F.raise_error(F.lit("partition or offset too large for an arrival number")).cast("long"))
+    time = F.col("timestamp")
+    if "timestampType" in messages.columns:
+        time = F.when(F.col("timestampType") == 1, time).otherwise(F.current_timestamp())
     return messages.select(seq.alias("seq"), F.col("value").cast("string").alias("value"),
-                           F.timestamp_micros(F.unix_micros("timestamp")).cast("timestamp_ntz").alias("received_at"))
+                           F.timestamp_micros(F.unix_micros(time)).cast("timestamp_ntz").alias("received_at"))
 
 
 def parse_readings(messages: DataFrame, value_col: str = "value") -> DataFrame:

@@ -2,7 +2,7 @@
 
 ``transformWithStateInPandas`` keeps each sensor's window (the points not yet
 removed, in arrival order) in a ``ListState`` on the RocksDB state store. Each
-micro-batch of a sensor is sorted by arrival number and replayed on the
+micro-batch of a sensor is sorted by arrival (``received_at``, then ``seq``) and replayed on the
 :class:`~sensorqc.operators.arrival.ArrivalWindow` state machine, so late
 readings are never dropped and results equal the batch W2 form.
 
@@ -11,9 +11,11 @@ a window older than it. By default state is keyed by buckets of sensors, and
 sensors that have been silent for a day (``idle_us``) are dropped from it. A
 sensor with a row in the micro-batch is never dropped, however old its points;
 for every sensor the bucket's clock at its last row is kept, and it is silent
-when that (and its newest point) lie ``idle_us`` behind the clock. With a
+when that lies ``idle_us`` behind the clock. With a
 ``received_at`` column the clock is the latest arrival time, so a backlog may
-take any number of micro-batches. Without one it is the lower median of the
+take any number of micro-batches and stamps from the future change nothing. Without one
+its newest point must lie that far behind, too (or ahead, then it is no time at all),
+and the clock is the lower median of the
 sensors' newest points, never going back (a lower median, so that one sensor
 with a clock ahead moves nothing, also in a bucket of two); there a sensor
 whose backlog came before the bucket knew the present time can be dropped
@@ -52,6 +54,14 @@ DEFAULT_STATE_BUCKETS = 64
 DEFAULT_IDLE_US = 86_400_000_000  # a day
 
 
+def in_arrival_order(pdf: pd.DataFrame, *first: str) -> pd.DataFrame:
+    """Rows by ``first``, time of arrival (unknown first) and arrival number."""
+    keys = [*first, *(["arrived_us"] if pdf["arrived_us"].notna().any() else []), "seq"]
+    if not first and all(pdf[k].is_monotonic_increasing for k in keys):
+        return pdf
+    return pdf.sort_values(keys, kind="stable", na_position="first")
+
+
 class ArrivalQualityProcessor(StatefulProcessor):
     """Keyed by sensor: replays new readings on the stored window."""
 
@@ -63,7 +73,7 @@ class ArrivalQualityProcessor(StatefulProcessor):
         self.points = handle.getListState("points", STATE_SCHEMA, self.idle_timeout_ms)
 
     def handleInputRows(self, key, rows, timerValues):
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable")
+        pdf = in_arrival_order(pd.concat(list(rows), ignore_index=True))
         win = ArrivalWindow(self.rules)
         for seq, us, t, h, w in self.points.get():  # empty for a new sensor
             win.load(seq, us, (t, h, w))
@@ -111,8 +121,7 @@ def _group_state_fn(rules: QualityRules, idle_timeout_ms: int | None):
                 win.load(seq, us, (t, h, w))
         parts = list(batches)
         pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-        if not pdf["seq"].is_monotonic_increasing:
-            pdf = pdf.sort_values("seq", kind="stable")
+        pdf = in_arrival_order(pdf)
         seqs, uss = pdf["seq"].tolist(), pdf["us"].tolist()
         fvals = [[None if isnull else v for v, isnull in zip(pdf[f].tolist(), pdf[f"{f}_isnull"].tolist())]
                  for f in FIELDS]
@@ -140,7 +149,7 @@ BUCKET_STATE_SCHEMA = ("sensor_id array<string>, seq array<long>, us array<long>
 
 
 def _newest(wins: dict[str, ArrivalWindow]) -> dict[str, int | None]:
-    return {sid: max((us for _, us, *_ in win.points()), default=None) for sid, win in wins.items()}
+    return {sid: win.newest for sid, win in wins.items()}
 
 
 def lower_median(newest: dict[str, int | None]) -> int | None:
@@ -149,18 +158,23 @@ def lower_median(newest: dict[str, int | None]) -> int | None:
 
 
 def drop_silent(wins: dict[str, ArrivalWindow], idle_us: int, seen: dict[str, int] | None = None,
-                clock: int | None = None, reported: frozenset[str] | set[str] = frozenset()) -> None:
+                clock: int | None = None, reported: frozenset[str] | set[str] = frozenset(),
+                by_arrival: bool = False) -> None:
     """Forgets windows of sensors last seen ``idle_us`` before ``clock``, but of none that has reported.
 
     Without ``seen`` a sensor was last seen at its newest point, without
-    ``clock`` it is the lower median of these.
+    ``clock`` it is the lower median of these. ``by_arrival`` tells that the
+    clock is arrival time, next to which the points' own times do not count;
+    nor do they where they lie more than ``idle_us`` ahead of the clock.
     """
     newest = _newest(wins)
     clock = lower_median(newest) if clock is None else clock
     for sid, us in newest.items():
         if sid in reported:
             continue
-        last = max((t for t in (us, (seen or {}).get(sid)) if t is not None), default=None)
+        last = (seen or {}).get(sid)
+        if us is not None and (last is None or not by_arrival and last < us <= clock + idle_us):
+            last = us
         if last is None or last < clock - idle_us:
             del wins[sid]
 
@@ -184,7 +198,7 @@ def _bucket_state_fn(rules: QualityRules, idle_us: int):
                 win.load(seq, us, (t, h, w))
         parts = list(batches)
         pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-        pdf = pdf.sort_values(["sensor_id", "seq"], kind="stable")
+        pdf = in_arrival_order(pdf, "sensor_id")
         sids, seqs, uss = pdf["sensor_id"].tolist(), pdf["seq"].tolist(), pdf["us"].tolist()
         fvals = [[None if isnull else v for v, isnull in zip(pdf[f].tolist(), pdf[f"{f}_isnull"].tolist())]
                  for f in FIELDS]
@@ -201,7 +215,7 @@ def _bucket_state_fn(rules: QualityRules, idle_us: int):
         clock = present if clock is None else max(clock, present)
         reported = set(sids)
         seen |= dict.fromkeys(reported, clock)
-        drop_silent(wins, idle_us, seen, clock, reported)
+        drop_silent(wins, idle_us, seen, clock, reported, by_arrival=len(arrived) > 0)
         seen = {sid: t for sid, t in seen.items() if sid in wins}
         cols = ([], [], [], [], [], [])
         for sid, win in wins.items():

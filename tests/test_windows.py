@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import BASE, readings_df, replay, stats_by_seq
-from sensorqc.operators.arrival import _removal_order, _with_context, arrival_chunk, arrival_window
+from sensorqc.operators.arrival import _removal_order, _with_context, arrival_chunk, arrival_key, arrival_window
 from sensorqc.operators.windows import trailing_window
 from sensorqc.rules import DEFAULT_RULES
 from sensorqc.sources import fixtures
@@ -92,13 +92,55 @@ def test_kafka_numbers_follow_broker_time_over_partitions(spark):
     raw = spark.range(0, 30 * 24 * 60).selectExpr(
         "timestamp_micros(1704067200000000 + id * 60000000) as timestamp", "cast(id % 4 as int) as partition",
         "id div 4 as offset", "cast('{}' as binary) as value", "id")
-    numbered = number_messages(raw).orderBy("seq")
+    numbered = number_messages(raw).orderBy("received_at", "seq")
     times = [r.received_at for r in numbered.collect()]
     assert times == sorted(times) and numbered.select("seq").distinct().count() == len(times)
     chunks = numbered.select(arrival_chunk(numbered, None, DEFAULT_CHUNK_SPAN_US).alias("c")).distinct().count()
     assert chunks == 720
 
 
+def _broker_rows(spark, rows):
+    return spark.createDataFrame(rows, "ms long, partition int, offset long, timestampType int").selectExpr(
+        "timestamp_millis(ms) as timestamp", "partition", "offset", "timestampType", "cast('{}' as binary) as value")
+
+
+def test_kafka_numbers_at_the_edges_of_partitions_and_offsets(spark):
+    """Neighbouring offsets of one millisecond, 300 partitions, the largest numbers, and one too large."""
+    from sensorqc.sources.readings import number_messages
+    near = _broker_rows(spark, [(7, 3, o, 1) for o in (16385, 16383, 16384, (1 << 47) - 1)])
+    seqs = [r.seq for r in number_messages(near).orderBy("received_at", "seq").collect()]
+    assert [s & ((1 << 47) - 1) for s in seqs] == [16383, 16384, 16385, (1 << 47) - 1] and min(seqs) > 0
+    many = number_messages(_broker_rows(spark, [(7, p, o, 1) for p in [*range(300), 65535] for o in range(3)]))
+    assert many.select("seq").distinct().count() == 903 and many.where("seq < 0").count() == 0
+    for partition, offset in ((65536, 0), (0, 1 << 47)):
+        with pytest.raises(Exception, match="too large"):
+            number_messages(_broker_rows(spark, [(7, partition, offset, 1)])).collect()
+
+
+def test_producer_stamps_are_no_arrival_times(spark):
+    from sensorqc.sources.readings import number_messages
+    got = number_messages(_broker_rows(spark, [(9, 0, 0, 0), (5, 0, 1, 0), (9, 1, 0, 1)])).orderBy("seq").collect()
+    assert got[0].received_at == got[1].received_at > got[2].received_at  # the query's time, then the broker's
+    assert got[2].received_at.microsecond == 9000
+
+
+def test_arrival_window_over_partitions_follows_broker_time(spark):
+    """A sensor's messages alternate between partitions, one of which has far higher numbers; some are late."""
+    from sensorqc.sources.readings import number_messages
+    rng = random.Random(3)
+    sent = [(i * 20_000 + (i % 3 == 0), i % 2 * 200, i // 2, i * 20 - rng.choice([0, 0, 10, 350])) for i in range(400)]
+    raw = _broker_rows(spark, [(ms, p, o, 1) for ms, p, o, _ in sent])
+    at = {(p << 47) + o: (ms, sec) for ms, p, o, sec in sent}
+    order = {s: k for k, s in enumerate(sorted(at, key=lambda s: (at[s][0], s)))}
+    df = readings_df(spark, [(s, "A", sec, float(order[s] % 7), 50.0, 3.0) for s, (_, sec) in at.items()])
+    df = df.join(number_messages(raw).select("seq", "received_at"), "seq")
+    ranked = [(order[s], "A", BASE + at[s][1] * 1_000_000, float(order[s] % 7), 50.0, 3.0) for s in at]
+    expect = replay(sorted(ranked))
+    for span in (600_000_000, 3_600_000_000):
+        got = stats_by_seq(arrival_window(df, chunk_span_us=span))
+        assert {order[s]: v for s, v in got.items()} == expect
+
+
 def test_arrival_window_sensor_going_back_in_time(spark):
     # A sensor replays old readings for a while: survivors outlive several
     # chunks and are matched with the sensor's list of chunks.
@@ -131,7 +173,7 @@ def test_random_sequences_property(spark):
 def _unit_rows(df, chunk_seqs):
     """Rows of every chunk with their removers, as the operator sees them."""
     base = df.select("seq", "sensor_id", "us", "temperature", "humidity", "wind_speed",
-                     arrival_chunk(df, chunk_seqs, 0).alias("_chunk"))
+                     arrival_key(df, chunk_seqs).alias("_at"), arrival_chunk(df, chunk_seqs, 0).alias("_chunk"))
     return _removal_order(_with_context(base, DEFAULT_RULES.window_us), DEFAULT_RULES)
 
 
