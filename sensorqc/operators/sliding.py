@@ -10,13 +10,13 @@ Two plans with the same result:
   are expanded and shuffled again; the sample standard deviation is combined
   exactly from per-pane moments (Chan et al.).
 
-Streams use the first form (the watermark needs a window on event time).
-Windows start at multiples of the slide.
+Streams have both forms: the pane form chains two stateful aggregations, see
+:func:`pane_aggregate_stream`. Windows start at multiples of the slide.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
@@ -41,8 +41,7 @@ def sliding_aggregate(readings: DataFrame, window: str = "5 minutes", slide: str
     aggregate's message schema declares the three fields as 32-bit floats, so
     averages are taken over float-rounded values (``"double"`` keeps them).
     """
-    readings = readings.select(*[F.col(c).cast(field_type).alias(c) if c in FIELDS else F.col(c)
-                                 for c in readings.columns])
+    readings = _float_fields(readings, field_type)
     if panes:
         return _pane_aggregate(readings, _duration_us(window), _duration_us(slide), ts_col)
     w = F.window(ts_col, window, slide)
@@ -63,39 +62,71 @@ def sliding_aggregate(readings: DataFrame, window: str = "5 minutes", slide: str
     )
 
 
+def _moments() -> list[Column]:
+    """A pane's counts and sums, and the centred second moment of temperature."""
+    t = F.col("temperature")
+    return [F.count(F.lit(1)).alias("n"),
+            F.count("temperature").alias("t_n"), F.sum("temperature").alias("t_sum"),
+            (F.var_pop(t) * F.count(t)).alias("t_m2"),
+            F.count("humidity").alias("h_n"), F.sum("humidity").alias("h_sum"),
+            F.count("wind_speed").alias("w_n"), F.sum("wind_speed").alias("w_sum")]
+
+
+def _combined() -> list[Column]:
+    """A window's figures from its panes' :func:`_moments`."""
+    t_n = F.sum("t_n")
+    t_sum = F.sum("t_sum")
+    # Combined M2 = sum(M2_i) + sum(S_i^2 / n_i) - S^2 / n
+    m2 = (F.sum(F.coalesce("t_m2", F.lit(0.0)))
+          + F.sum(F.when(F.col("t_n") > 0, F.col("t_sum") * F.col("t_sum") / F.col("t_n")))
+          - t_sum * t_sum / t_n)
+    return [F.sum("n").alias("record_count"),
+            F.try_divide(t_sum, t_n).alias("avg_temperature"),
+            F.try_divide(F.sum("h_sum"), F.sum("h_n")).alias("avg_humidity"),
+            F.try_divide(F.sum("w_sum"), F.sum("w_n")).alias("avg_wind_speed"),
+            F.when(t_n > 1, F.sqrt(F.greatest(m2, F.lit(0.0)) / (t_n - 1))).alias("temp_stddev")]
+
+
+def _float_fields(readings: DataFrame, field_type: str) -> DataFrame:
+    return readings.select(*[F.col(c).cast(field_type).alias(c) if c in FIELDS else F.col(c)
+                             for c in readings.columns])
+
+
+def pane_aggregate_stream(readings: DataFrame, window: str = "5 minutes", slide: str = "1 minute",
+                          ts_col: str = "timestamp", field_type: str = "float") -> DataFrame:
+    """The pane form of a stream: one stateful aggregation into panes, a second one into windows.
+
+    ``readings`` carry a watermark on ``ts_col``. In a micro-batch a sensor's readings of
+    one minute change one pane's state, and a pane, when the watermark has
+    closed it, its ``window / slide`` windows once; the direct form copies every reading into those
+    windows and changes all their states in every micro-batch.
+    Spark chains stateful operators in append mode only, so a window comes once,
+    when it is closed. A late reading counts in all its windows, or in none if its pane
+    is closed already.
+    """
+    if _duration_us(window) % _duration_us(slide):
+        raise ValueError("window must be a multiple of the slide for the pane form")
+    per_pane = _float_fields(readings, field_type).groupBy(F.window(ts_col, slide).alias("pane"), "sensor_id").agg(*_moments())
+    windows = F.window(F.window_time("pane"), window, slide)
+    return (per_pane.groupBy(windows.alias("w"), "sensor_id").agg(*_combined())
+            .select(from_micros(F.unix_micros("w.start")).alias("window_start"),
+                    from_micros(F.unix_micros("w.end")).alias("window_end"), *AGG_COLUMNS[2:]))
+
+
 def _pane_aggregate(readings: DataFrame, window_us: int, slide_us: int, ts_col: str) -> DataFrame:
     if window_us % slide_us:
         raise ValueError("window must be a multiple of the slide for the pane form")
     k = window_us // slide_us
     us = to_micros(F.col(ts_col))
     pane = (us - F.pmod(us, F.lit(slide_us))).alias("pane")
-    t = F.col("temperature")
-    per_pane = readings.groupBy("sensor_id", pane).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count("temperature").alias("t_n"), F.sum("temperature").alias("t_sum"),
-        (F.var_pop(t) * F.count(t)).alias("t_m2"),
-        F.count("humidity").alias("h_n"), F.sum("humidity").alias("h_sum"),
-        F.count("wind_speed").alias("w_n"), F.sum("wind_speed").alias("w_sum"),
-    )
+    per_pane = readings.groupBy("sensor_id", pane).agg(*_moments())
     # A pane belongs to the k windows starting at pane, pane - slide, ...
     starts = F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
                          lambda i: F.col("pane") - i.cast("long") * F.lit(slide_us))
-    t_n = F.sum("t_n")
-    t_sum = F.sum("t_sum")
-    # Combined M2 = sum(M2_i) + sum(S_i^2 / n_i) - S^2 / n
-    m2 = (F.sum(F.coalesce("t_m2", F.lit(0.0)))
-          + F.sum(F.when(F.col("t_n") > 0, F.col("t_sum") * F.col("t_sum") / F.col("t_n")))
-          - t_sum * t_sum / t_n)
     return (
         per_pane.select("*", F.explode(starts).alias("ws"))
         .groupBy("sensor_id", "ws")
-        .agg(
-            F.sum("n").alias("record_count"),
-            F.try_divide(t_sum, t_n).alias("avg_temperature"),
-            F.try_divide(F.sum("h_sum"), F.sum("h_n")).alias("avg_humidity"),
-            F.try_divide(F.sum("w_sum"), F.sum("w_n")).alias("avg_wind_speed"),
-            F.when(t_n > 1, F.sqrt(F.greatest(m2, F.lit(0.0)) / (t_n - 1))).alias("temp_stddev"),
-        )
+        .agg(*_combined())
         .select(from_micros("ws").alias("window_start"),
                 from_micros(F.col("ws") + F.lit(window_us)).alias("window_end"),
                 *AGG_COLUMNS[2:])

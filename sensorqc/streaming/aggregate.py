@@ -14,20 +14,26 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import TimestampNTZType
 
 from sensorqc.functions.timeutil import to_micros
-from sensorqc.operators.sliding import sliding_aggregate
+from sensorqc.operators.sliding import pane_aggregate_stream, sliding_aggregate
 
 
 def sliding_aggregate_stream(readings: DataFrame, watermark: str = "2 minutes", window: str = "5 minutes",
-                             slide: str = "1 minute", ts_col: str = "timestamp") -> DataFrame:
+                             slide: str = "1 minute", ts_col: str = "timestamp", panes: bool = False) -> DataFrame:
     """R1 + R2: windowed aggregate; rows later than the watermark are dropped.
 
+    ``panes`` aggregates panes first and combines them, for queries in append
+    mode (:func:`sensorqc.operators.sliding.pane_aggregate_stream`).
+
     Watermarks need an instant (``TIMESTAMP``); NTZ reading times are turned
     into one through their microseconds, independent of the session zone.
     """
     if isinstance(readings.schema[ts_col].dataType, TimestampNTZType):
         readings = readings.withColumn("_event_time", F.timestamp_micros(to_micros(ts_col)))
         ts_col = "_event_time"
-    return sliding_aggregate(readings.withWatermark(ts_col, watermark), window, slide, panes=False, ts_col=ts_col)
+    readings = readings.withWatermark(ts_col, watermark)
+    if panes:
+        return pane_aggregate_stream(readings, window, slide, ts_col)
+    return sliding_aggregate(readings, window, slide, panes=False, ts_col=ts_col)
 
 
 def start_stream(df: DataFrame, checkpoint: str, fmt: str = "console", output_mode: str = "update",

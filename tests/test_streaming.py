@@ -253,6 +253,80 @@ def test_silent_sensor_is_dropped_by_arrival_time():
     assert sorted(wins) == ["b", "c"]
 
 
+def test_stamps_from_the_future_keep_no_sensor():
+    from sensorqc.operators.arrival import ArrivalWindow
+    from sensorqc.rules import DEFAULT_RULES
+    from sensorqc.streaming.stateful import drop_silent
+    day = 86_400_000_000
+    for by_arrival in (True, False):
+        wins = {s: ArrivalWindow(DEFAULT_RULES) for s in ("ahead", "now", "idle")}
+        for s, us in (("ahead", 900 * day), ("now", 10 * day), ("idle", 7 * day)):
+            wins[s].push(1, us, (1.0, 1.0, 1.0))
+        drop_silent(wins, day, {"ahead": 8 * day, "now": 10 * day, "idle": 7 * day}, 10 * day, {"now"}, by_arrival)
+        assert sorted(wins) == ["now"]
+
+
+@pytest.mark.parametrize("engine,buckets", [("group_state", None), ("transform", None), ("group_state", 4)])
+def test_stateful_stream_orders_by_arrival_time_over_partitions(spark, engine, buckets):
+    """Kafka numbers order a partition only: the broker's time puts a sensor's messages in order."""
+    src = tempfile.mkdtemp(prefix="sensorqc-src-")
+    r = fixtures.readings_late(spark, SF).where("seq < 900").withColumn(
+        "received_at", F.timestamp_micros(F.col("seq") * 1_000_000).cast("timestamp_ntz"))
+    moved = F.shiftleft(F.pmod(F.col("seq"), F.lit(2)) * 200, 47) + F.col("seq")
+    for lo, hi in ((0, 300), (300, 900)):
+        part = r.where((F.col("seq") >= lo) & (F.col("seq") < hi)).withColumn("seq", moved)
+        part.orderBy("seq").coalesce(1).write.mode("append").parquet(src)
+    name = f"r5_order_{engine}_{buckets}"
+    q = start_stream(stateful_quality(_stream(spark, src, r.schema), engine=engine, state_buckets=buckets),
+                     tempfile.mkdtemp(prefix="ck-"), fmt="memory", output_mode="append", available_now=True, query_name=name)
+    q.awaitTermination()
+    back = spark.table(name).withColumn("seq", F.col("seq").bitwiseAND(F.lit((1 << 47) - 1)))
+    assert stats_by_seq(back) == stats_by_seq(arrival_window(r.drop("received_at")))
+
+
+def test_pane_stream_equals_batch_with_late_rows(spark):
+    """Late rows within the watermark count in all their windows, one behind it in none."""
+    src = tempfile.mkdtemp(prefix="sensorqc-src-")
+    r = fixtures.readings(spark, SF).select("seq", "sensor_id", "us", "timestamp", "temperature", "humidity", "wind_speed")
+    end = r.agg(F.max("us")).first()[0]
+    late = (r.where(F.col("us") > end - 60_000_000).withColumn("us", F.col("us") - F.lit(90_000_000))
+            .withColumn("seq", F.col("seq") + 10**6).withColumn("temperature", F.lit(99.5)))
+    flush = r.where("seq = 0").withColumn("us", F.lit(end + 3_600_000_000)).withColumn("seq", F.lit(10**8).cast("long"))
+    behind = r.where("seq = 1").withColumn("us", F.lit(end - 1_200_000_000)).withColumn("seq", F.lit(10**8 + 1).cast("long"))
+    stamped = lambda df: df.withColumn("timestamp", F.timestamp_micros("us").cast("timestamp_ntz"))
+    assert late.count() > 0
+    for part in (r, late, flush, behind):
+        stamped(part).coalesce(1).write.mode("append").parquet(src)
+    q = start_stream(sliding_aggregate_stream(_stream(spark, src, r.schema), panes=True), tempfile.mkdtemp(prefix="ck-"),
+                     fmt="memory", output_mode="append", available_now=True, query_name="r1_panes")
+    q.awaitTermination()
+    rnd = lambda df: sorted(df.where(F.col("window_end") <= F.timestamp_micros(F.lit(end + 600_000_000)).cast("timestamp_ntz"))
+                            .select("window_start", "sensor_id", "record_count", F.round("avg_temperature", 6).alias("a"),
+                                    F.round("avg_wind_speed", 6).alias("b"), F.round("temp_stddev", 5).alias("c")).collect())
+    want = rnd(sliding_aggregate(stamped(r.unionByName(late))))
+    assert rnd(spark.table("r1_panes")) == want and len(want) > 100
+
+
+def test_pane_stream_changes_fewer_states(spark):
+    """Micro-batches of 15 seconds: the direct form changes five windows a sensor each time, the pane form one pane."""
+    src = tempfile.mkdtemp(prefix="sensorqc-src-")
+    rows = [(i, s, f"2024-01-01 00:0{i * 5 // 60}:{i * 5 % 60:02d}", 20.0 + i, 50.0, None) for i in range(24) for s in "abc"]
+    rows += [(10**6, "a", "2024-01-01 02:00:00", 0.0, 0.0, 0.0)]
+    r = spark.createDataFrame(rows, "seq long, sensor_id string, at string, temperature double, humidity double, "
+                                    "wind_speed double").selectExpr("*", "cast(at as timestamp_ntz) as timestamp").drop("at")
+    _write_parts(r, src, [(k, k + 3) for k in range(0, 24, 3)] + [(24, 10**9)])
+    updates, found = {}, {}
+    for panes in (True, False):
+        q = start_stream(sliding_aggregate_stream(_stream(spark, src, r.schema), panes=panes), tempfile.mkdtemp(prefix="ck-"),
+                         fmt="memory", output_mode="append", available_now=True, query_name=f"r1_updates_{panes}")
+        q.awaitTermination()
+        updates[panes] = sum(o["numRowsUpdated"] for p in q.recentProgress for o in p["stateOperators"])
+        found[panes] = sorted(map(str, spark.table(f"r1_updates_{panes}").select(
+            "window_start", "sensor_id", "record_count", "avg_temperature", F.round("temp_stddev", 6)).collect()))
+    assert found[True] == found[False] and len(found[True]) == 18
+    assert updates[True] <= 60 < 120 <= updates[False], updates
+
+
 def test_processing_time_trigger_and_console(spark):
     """A query on a clock, in update mode, printing to the console."""
     src = tempfile.mkdtemp(prefix="sensorqc-src-")
