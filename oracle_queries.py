@@ -493,6 +493,8 @@ FROM (SELECT CAST(count(*) AS BIGINT) AS total_data_points,
       WHERE timestamp >= {_lower(24)} AND NOT resolved) a,
      (SELECT coalesce(string_agg(sensor_id, ',' ORDER BY failure_rate DESC, sensor_id), '') AS top_sensor_ids
       FROM (SELECT * FROM rates ORDER BY failure_rate DESC, sensor_id LIMIT 5)) t"""
+    q["quality_metrics_summary_rollups"] = _with(*M, _summary_cte(0.25)) + "SELECT * FROM summary"
+    q["system_statistics_rollups"] = q["system_statistics"]
     q["summary_head"] = _with(*M, _summary_cte()) + "SELECT * FROM summary ORDER BY sensor_id, metric_name LIMIT 10"
     q["monitor_health_stopped"] = _with(*R) + f"""
 SELECT (SELECT CAST(count(*) AS BIGINT) FROM readings WHERE timestamp >= {_lower(1)}) AS recent_data_count,

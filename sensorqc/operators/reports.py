@@ -188,12 +188,21 @@ def system_statistics(readings: DataFrame, metrics: DataFrame, alerts: DataFrame
         F.countDistinct("metric_name").cast("long").alias("n_metrics"),
         F.count_if(F.col("status").isin("PASS", "FAIL")).cast("long").alias("total_checks"),
         F.count_if(F.col("status") == "FAIL").cast("long").alias("failed_checks"))
+    return statistics_row(counts, per_sensor, active_alert_count(alerts, as_of), k)
+
+
+def active_alert_count(alerts: DataFrame, as_of: datetime | None = AS_OF_DEFAULT) -> DataFrame:
+    """Active alerts of the last day (one row)."""
+    return _active(alerts, 24, as_of).agg(F.count(F.lit(1)).cast("long").alias("active_alerts_count"))
+
+
+def statistics_row(counts: DataFrame, per_sensor: DataFrame, active: DataFrame, k: int) -> DataFrame:
+    """G14's row from its parts: one row of counts, checks per sensor, one row of active alerts."""
     used = per_sensor.where((F.col("n_metrics") >= 0) & (F.col("total_checks") >= F.col("failed_checks")))
     groups = used.agg(F.coalesce(F.sum("n_metrics"), F.lit(0)).cast("long").alias("quality_metrics_count"),
                       F.count("sensor_id").cast("long").alias("active_sensors_count"))
     rates = (used.where(F.col("total_checks") > 0)
              .withColumn("failure_rate", (F.col("failed_checks") / F.col("total_checks")) * 100))
-    active = _active(alerts, 24, as_of).agg(F.count(F.lit(1)).cast("long").alias("active_alerts_count"))
     top = (top_problem_sensors(rates, k)
            .agg(F.sort_array(F.collect_list(F.struct(
                (-F.col("failure_rate")).alias("_k"), F.col("sensor_id"), F.col("failure_rate"),

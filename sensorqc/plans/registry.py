@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from sensorqc.operators import alerts as A
 from sensorqc.operators import extensions as X
 from sensorqc.operators import reports as G
+from sensorqc.operators import rollups
 from sensorqc.operators.metrics import evaluate_metrics
 from sensorqc.operators.windows import trailing_window
 from sensorqc.plans.pipeline import quality_metrics, window_stats
@@ -117,6 +118,18 @@ def _retention(spark, d):
     return apply_retention(fixtures.events(spark, d), "ts", days=10, as_of=datetime(2024, 1, 25))
 
 
+def _summary_rollups(spark, d):
+    """Fifteen minutes: whole hours from the rollups, the hour cut by the bound from the metrics."""
+    m = metrics(spark, d)
+    return _r6(rollups.quality_metrics_summary(rollups.metric_rollup(m), m, 0.25, AS_OF), "avg_value")
+
+
+def _statistics_rollups(spark, d):
+    r, m = readings(spark, d), metrics(spark, d)
+    return rollups.system_statistics(rollups.reading_rollup(r), rollups.metric_rollup(m), r, m, alerts(spark, d),
+                                     AS_OF).drop("top_problematic_sensors")
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         # sources / projections / predicates
@@ -189,6 +202,8 @@ def queries() -> dict[str, Query]:
             readings(s, d), metrics(s, d), alerts(s, d), AS_OF).drop("top_problematic_sensors"),
         "system_statistics_top": lambda s, d: G.system_statistics(
             readings(s, d), metrics(s, d), alerts(s, d), AS_OF).selectExpr("inline(top_problematic_sensors)"),
+        "quality_metrics_summary_rollups": _summary_rollups,
+        "system_statistics_rollups": _statistics_rollups,
         "summary_head": lambda s, d: _r6(G.summary_head(summary(s, d), 10), "avg_value"),
         "monitor_health": lambda s, d: G.monitor_health(readings(s, d), AS_OF).select(
             "recent_data_count", "active_sensors", "processed_count", "status"),

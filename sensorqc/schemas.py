@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    BinaryType,
     BooleanType,
     DateType,
+    DoubleType,
     FloatType,
     LongType,
     StringType,
@@ -82,6 +84,30 @@ TABLE_SCHEMAS = {
     "rejects": REJECTS_SCHEMA,
 }
 
+#: Partial aggregates of the tables above, see :mod:`sensorqc.operators.rollups`.
+ROLLUP_SCHEMAS = {
+    "metric_rollups": StructType([
+        StructField("hour", TimestampNTZType(), False),
+        StructField("sensor_id", StringType(), False),
+        StructField("metric_name", StringType(), False),
+        StructField("value_count", LongType(), False),
+        StructField("value_sum", DoubleType()),
+        StructField("value_min", DoubleType()),
+        StructField("value_max", DoubleType()),
+        StructField("fail_count", LongType(), False),
+        StructField("pass_count", LongType(), False),
+        StructField("dt", DateType(), False),
+        StructField("batch_id", StringType(), False),
+    ]),
+    "reading_rollups": StructType([
+        StructField("hour", TimestampNTZType(), False),
+        StructField("readings", LongType(), False),
+        StructField("sensors", BinaryType(), False),
+        StructField("dt", DateType(), False),
+        StructField("batch_id", StringType(), False),
+    ]),
+}
+
 #: Defaults of stored columns, as SQL: what an INSERT that leaves them out gets.
 TABLE_DEFAULTS = {
     "sensor_data": {"received_at": "localtimestamp()"},
@@ -99,5 +125,8 @@ TABLE_CLUSTERING = {
     "quality_metrics": ("sensor_id", "metric_name", "timestamp"),
     "alerts": ("timestamp", "sensor_id", "severity_rank"),
     "rejects": ("reject_reason", "seq"),
+    "metric_rollups": ("hour", "sensor_id", "metric_name"),
+    "reading_rollups": ("hour",),
 }
-TABLE_RETENTION_DAYS = {"sensor_data": 30, "quality_metrics": 90, "alerts": 180, "rejects": 30}
+TABLE_RETENTION_DAYS = {"sensor_data": 30, "quality_metrics": 90, "alerts": 180, "rejects": 30,
+                        "metric_rollups": 90, "reading_rollups": 90}

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from sensorqc.functions.expressions import severity_rank
 from sensorqc.functions.timeutil import from_micros, iso_format, ntz_literal, to_micros
+from sensorqc.operators.rollups import merge_metric_rollups, merge_reading_rollups, metric_rollup, reading_rollup
 from sensorqc.schemas import PARTITIONS, TABLE_CLUSTERING, TABLE_RETENTION_DAYS
 from sensorqc.sinks.commits import CommitLog, new_attempt
 
@@ -128,7 +129,7 @@ def write_batch(df: DataFrame, path: str, table: str, batch_id: int | str | None
     again = batch_id is not None and log.begin(batch)
     days = _stage(df, log, attempt, table, cluster, files)
     old = {x for x in log.attempts(batch) if x[1] != attempt} if again else set()
-    if days or old:
+    if days or old or not log.exists():  # a table whose first batch is empty can be read, too
         log.commit(attempt, old)
     if old:
         log.clean_up()
@@ -172,9 +173,21 @@ def append_rejects(rejects: DataFrame, path: str, batch_id: int | str | None = N
     write_batch(reject_rows(rejects, rejected_at), path, "rejects", batch_id, cluster=False, run=run)
 
 
+def append_rollups(readings: DataFrame, metrics: DataFrame, base: str, batch_id: int | str | None = None,
+                   files: int | None = None, run: str | None = None) -> None:
+    """The hourly partial aggregates of readings and metrics, of the values as stored."""
+    reading_rows = reading_rollup(sensor_data_rows(readings))
+    write_batch(reading_rows, f"{base}/reading_rollups", "reading_rollups", batch_id, cluster=False, run=run)
+    write_batch(metric_rollup(metric_rows(metrics)), f"{base}/metric_rollups", "metric_rollups", batch_id, files=files, run=run)
+
+
+#: How compaction merges the rows of a table; those of others stay as they are.
+MERGES = {"metric_rollups": merge_metric_rollups, "reading_rollups": merge_reading_rollups}
+
+
 def compact_day(spark: SparkSession, path: str, table: str, day: str, files: int | None = None,
                 file_bytes: int = COMPACTED_FILE_BYTES) -> None:
-    """Rewrites the batches of a finished day as one batch of sorted files.
+    """Rewrites the batches of a finished day as one batch of sorted files; partial aggregates are merged.
 
     There are as many files as the day's measured bytes need (``files``
     overrides). One commit puts the new batch in the place of the old ones: a
@@ -187,7 +200,7 @@ def compact_day(spark: SparkSession, path: str, table: str, day: str, files: int
     files = files or max(1, -(-log.size(old) // file_bytes))
     rows = spark.read.option("basePath", path).parquet(*[log.location(*x) for x in old])
     attempt = new_attempt(f"compact-{uuid.uuid4().hex}")
-    _stage(rows.drop("batch_id"), log, attempt, table, True, files)
+    _stage(MERGES.get(table, lambda df: df)(rows.drop("batch_id")), log, attempt, table, True, files)
     log.commit(attempt, old)
     log.clean_up()
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorqc.functions.timeutil import lower_bound
-from sensorqc.schemas import PARTITIONS, TABLE_DEFAULTS, TABLE_SCHEMAS
+from sensorqc.schemas import PARTITIONS, ROLLUP_SCHEMAS, TABLE_DEFAULTS, TABLE_SCHEMAS
 from sensorqc.sinks.commits import CommitLog
 
 
@@ -39,8 +39,9 @@ def _committed(spark: SparkSession, log: CommitLog, since: date | None) -> DataF
     name = log.path.rsplit("/", 1)[-1]
     if folders:
         return spark.read.option("basePath", log.path).parquet(*folders)
-    if name in TABLE_SCHEMAS:
-        return spark.createDataFrame([], TABLE_SCHEMAS[name])
+    schema = TABLE_SCHEMAS.get(name) or ROLLUP_SCHEMAS.get(name)
+    if schema:
+        return spark.createDataFrame([], schema)
     raise FileNotFoundError(f"{log.path} has no committed batch")
 
 

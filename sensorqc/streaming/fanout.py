@@ -2,7 +2,7 @@
 
 ``foreachBatch`` receives the window statistics of one micro-batch and, from
 one persisted copy, writes raw readings, metrics, alerts and notification
-payloads, and optionally publishes the metric records. Rejected messages go to
+payloads, and optionally hourly partial aggregates (``rollups``) and the published metric records. Rejected messages go to
 their own table from a query of their own (:class:`Rejects`). Every table
 write is the batch of that number of the running query, whose id its
 checkpoint keeps, and replaces itself: a micro-batch replayed after a failure
@@ -29,7 +29,7 @@ from pyspark.sql.streaming import StreamingQuery
 from sensorqc.operators.alerts import build_alerts, quality_notifications_of
 from sensorqc.operators.metrics import evaluate_all
 from sensorqc.rules import DEFAULT_RULES, QualityRules
-from sensorqc.sinks.tables import (append_alerts, append_metrics, append_readings, append_rejects, batch_name,
+from sensorqc.sinks.tables import (append_alerts, append_metrics, append_readings, append_rejects, append_rollups, batch_name,
                                   publish_metrics, run_of, write_batch)
 from sensorqc.sources.readings import accept_readings, parse_readings, reject_readings
 from sensorqc.streaming.progress import record_processed
@@ -51,7 +51,9 @@ class FanOut:
 
     def __init__(self, base_path: str, rules: QualityRules = DEFAULT_RULES, publish_fmt: str | None = None,
                  publish_options: dict | None = None, publish_path: str | None = None,
-                 evaluated_at_reading_time: bool = False, run: str | None = None, rows_per_file: int = ROWS_PER_FILE):
+                 evaluated_at_reading_time: bool = False, run: str | None = None, rows_per_file: int = ROWS_PER_FILE,
+                 rollups: bool = False):
+        self.rollups = rollups
         self.base = base_path.rstrip("/")
         self.rules = rules
         self.publish = (publish_fmt, publish_options, publish_path)
@@ -77,6 +79,8 @@ class FanOut:
             messages = quality_notifications_of(stats.withColumn("timestamp", at), self.rules)
             write_batch(messages.withColumn("dt", F.to_date("timestamp")).coalesce(few), f"{self.base}/notifications",
                         "notifications", cluster=False, **one)
+            if self.rollups:
+                append_rollups(stats, metrics, self.base, files=more, **one)
             fmt, options, path = self.publish
             if fmt:
                 publish_metrics(metrics, fmt, options, path, batch_name(batch_id, run))
@@ -96,14 +100,15 @@ class Rejects:
 
 
 def start_pipeline(messages: DataFrame, base_path: str, checkpoint: str, rules: QualityRules = DEFAULT_RULES,
-                   trigger: dict | None = None, evaluated_at_reading_time: bool = False, **stateful) -> list[StreamingQuery]:
+                   trigger: dict | None = None, evaluated_at_reading_time: bool = False, rollups: bool = False,
+                   **stateful) -> list[StreamingQuery]:
     """Messages -> all tables: one query for readings and what follows, one for rejects.
 
     ``trigger`` as for ``writeStream.trigger`` (default: every 30 seconds).
     """
     trigger = trigger or {"processingTime": "30 seconds"}
     parsed = parse_readings(messages)
-    fan_out = FanOut(base_path, rules, evaluated_at_reading_time=evaluated_at_reading_time)
+    fan_out = FanOut(base_path, rules, evaluated_at_reading_time=evaluated_at_reading_time, rollups=rollups)
     sinks = (("readings", stateful_quality(accept_readings(parsed), rules, **stateful), fan_out),
              ("rejects", reject_readings(parsed), Rejects(base_path)))
     return [df.writeStream.foreachBatch(sink).option("checkpointLocation", f"{checkpoint.rstrip('/')}/{name}")
