@@ -15,8 +15,8 @@ between the centroids, so one of them is within half a chord of the border.
 The default ``margin`` is that half, with which no link can be missed.
 
 Cases: vectors that are null, empty or zero, or hold null or non-finite
-components, and those without a label, link with nothing; vectors of different
-lengths do not link; rows that repeat a vector link with each other; an empty
+components, and those without a label or a vec_id, link with nothing and are kept
+(with a null component where the vec_id is null); vectors of different lengths do not link; rows that repeat a vector link with each other; an empty
 table gives an empty result; other columns do not matter.
 """
 
@@ -64,12 +64,12 @@ def classes(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedd
     """(rows, classes): rows have vec_id, label, v (null if it can link with nothing); classes id, label, v, n."""
     v = F.col(f"`{embedding}`").cast("array<double>")
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    fine = (~bad) & F.exists(v, lambda x: x != 0) & F.col(f"`{label}`").isNotNull()
+    fine = (~bad) & F.exists(v, lambda x: x != 0) & F.col(f"`{label}`").isNotNull() & F.col(f"`{vec_id}`").isNotNull()
     rows = vectors.select(F.col(f"`{vec_id}`").cast("long").alias("vec_id"), F.col(f"`{label}`").alias("label"),
                           F.when(fine, v).alias("v"))
     found = (rows.filter("v is not null").groupBy("label", "v")
              .agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("n")))
-    return rows, found.filter("id is not null")
+    return rows, found
 
 
 def fit_cells(found: DataFrame, n: int, dim: int) -> np.ndarray:
@@ -204,4 +204,4 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, margin: fl
     out = rows.join(judged, ["label", "v"], "left")
     component = F.coalesce("component", "vec_id")
     return out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
-                      component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))
+                      component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))

@@ -2,6 +2,7 @@
 
 import itertools
 import math
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -176,6 +177,10 @@ def test_vectors_awkward(spark):
     assert embedding_dedup.near_duplicates(as_df(spark, rows).limit(0)).collect() == []
     same = embedding_dedup.near_duplicates(as_df(spark, [(1, [1.0, 2.0], 1)] * 3)).collect()
     assert [tuple(r) for r in same] == [(1, 2, 1, True)] * 3
+    unnamed = [(None, [1.0, 2.0], 1), (None, [1.0, 2.0], 1), (3, [1.0, 2.0], 1), (4, [2.0, 4.0], 1)]
+    found = Counter(tuple(r) for r in embedding_dedup.near_duplicates(as_df(spark, unnamed)).collect())
+    assert found == {(None, 0, None, True): 2, (3, 1, 3, True): 1, (4, 1, 3, False): 1}
+    assert {tuple(r) for r in embedding_dedup.near_duplicates(as_df(spark, unnamed[:2])).collect()} == {(None, 0, None, True)}
 
 
 @pytest.mark.parametrize("least", [0, 1])
