@@ -1,11 +1,8 @@
 """Alignment of two tokenizers' ids over the same text, with corpus-wide link counts.
 
 Every document is encoded whole by both tokenizers. Byte offsets where a token
-of each ends are shared ends. Those that stand before space-marked tokens of
-both are anchors: they split the document into windows of token ids, mostly
-one word long, whose alignment depends on their ids alone and is memoised by
-the pair of id tuples. Inside a window all shared ends cut the tokens into
-groups; a group links every one of its A tokens with every one of its B tokens.
+of each ends are shared ends. They cut the tokens into groups; a group links
+every one of its A tokens with every one of its B tokens.
 
 The corpus-wide part: an id pair counts the documents that hold it linked, and
 each document is told the counts of its links.
@@ -23,27 +20,31 @@ each document is told the counts of its links.
    are its share of the distinct pairs, which the two vocabularies bound. As
    many shards are used as the session has shuffle partitions.
 
-Encoding is memoised by chunks, a chunk being a stretch between two spaces that
-have a non-space on both sides. No match of the byte-level vocabulary's
+Encoding and alignment go by chunks, a chunk being a stretch between two spaces
+that have a non-space on both sides. No match of the byte-level vocabulary's
 pattern and no piece of the other vocabulary goes on from a non-space into a
 space (the latter is looked up in the vocabulary; where one does, whole texts
-are encoded), so the chunks' ids joined are the text's.
+are encoded), so the chunks' ids joined are the text's, every chunk ends in a
+shared end, and its groups depend on itself alone. Documents are taken a few
+megabytes at a time: a chunk that several of them hold is encoded and aligned
+once, and remembered for those to come.
 
 Cases: documents whose text is null or empty, or whose tokens do not spell
 space + text (a text that holds U+2581, say), have no tokens: zeros and an
 empty ``groups_sha256``. Repeated rows and clashing or null ids are documents of
 their own. Special tokens' strings are plain text. Very long texts are
-processed whole; chunks and windows are remembered from the second time on,
-windows over 64 tokens never. An empty
-table gives no rows; other columns do not matter.
+processed whole; chunks are remembered from the second time on, those over 64
+tokens never. A text with a chunk that does not spell itself is encoded and
+compared whole. An empty table gives no rows; other columns do not matter.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from array import array
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain, count, islice
 from typing import NamedTuple
 
 import numpy as np
@@ -72,16 +73,18 @@ _DDL = ("block bigint, doc int, doc_id bigint, n_a bigint, n_b bigint, n_groups
 class Bounds(NamedTuple):
     """What a task keeps at most; no bound changes results."""
 
-    #: Chunks and windows that a worker remembers before it starts anew.
+    #: Chunks that a worker remembers before it starts anew.
     memo: int = 250_000
-    #: Characters of a chunk and tokens of a window that are remembered.
+    #: Characters and tokens of a chunk that is remembered.
     memo_chars: int = 48
     memo_tokens: int = 64
-    #: Pairs and documents (below 65,536) of a block; a document is not split.
-    block_pairs: int = 1 << 19
+    #: Links (an id pair as often as a document's chunks hold it) and documents (below 65,536) of a block; a document is not split.
+    block_pairs: int = 1 << 20
     block_docs: int = (1 << 16) - 1
     #: Entries of a posting row.
     row_pairs: int = 1 << 10
+    #: Bytes of the texts taken together; a text is not split.
+    part_bytes: int = 1 << 22
 
 
 class Repeats:
@@ -106,7 +109,10 @@ class Repeats:
 
 
 class Encoders:
-    """Both tokenizers of a worker, memoised by chunk; ``ids`` gives A and B ids as little-endian uint32 bytes."""
+    """Both tokenizers of a worker; ids are little-endian uint32."""
+
+    #: Characters of chunks that are encoded in one call.
+    call_chars = 1 << 12
 
     def __init__(self, path_a: str, path_b: str, bounds: Bounds = Bounds()):
         self.bounds = bounds
@@ -114,10 +120,9 @@ class Encoders:
         self.bytes_a, self.bytes_b = token_bytes(path_a), token_bytes(path_b)
         self.len_a, self.len_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
         # B's pieces must not go on from a non-space into a space.
-        split = not any(b" " in piece.lstrip(b" ") for piece in self.bytes_b)
-        self.chunks = re.compile(r"(?<=\S) (?=\S)").split if split else lambda text: [text]
-        self.memo: dict[str, tuple[bytes, bytes, bool]] = {}
-        self.repeats = Repeats()
+        self.split = not any(b" " in piece.lstrip(b" ") for piece in self.bytes_b)
+        # The space comes first in the pattern, which is searched for faster than a condition.
+        self.chunks = re.compile(r" (?<=\S )(?=\S)").split if self.split else lambda text: [text]
 
     def _encode(self, text: str) -> tuple[np.ndarray, np.ndarray, bool]:
         """Ids by A and by B, and whether both spell space + text."""
@@ -126,55 +131,62 @@ class Encoders:
         same = raw == b"".join([self.bytes_a[i] for i in a]) == b"".join([self.bytes_b[i] for i in b])
         return np.array(a, "<u4"), np.array(b, "<u4"), same
 
-    def _alone(self, chunk: str) -> tuple[bytes, bytes, bool]:
-        a, b, same = self._encode(chunk)
-        return a.tobytes(), b.tobytes(), same
-
-    def _encode_all(self, chunks: list[str], ends: tuple[str, str]) -> dict[str, tuple[bytes, bytes, bool]]:
-        """Each chunk's ids, of most from one call over all of them with spaces between.
+    def encode(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(A ids, B ids, how many A and how many B ids each chunk has, whether they spell space + chunk).
 
-        Only the text's first and last chunk (``ends``) can be empty or begin or end in white space.
+        Most chunks are encoded by calls over many of them with spaces between.
+        Only a text's first and last chunk can be empty or begin or end in white
+        space; these are encoded alone.
         """
-        odd = {c for c in ends if not c or c[0].isspace() or c[-1].isspace()}
-        joined = [c for c in chunks if c not in odd] if odd else chunks
-        out: dict[str, tuple[bytes, bytes, bool]] = {}
-        if len(joined) > 1:
-            a, b, same = self._encode(" ".join(joined))
-            if same:
-                ends = np.cumsum([len(c.encode()) + 1 for c in joined])
-                cuts = [[0, *(4 * np.searchsorted(np.cumsum(n[i]), ends) + 4).tolist()]
-                        for n, i in ((self.len_a, a), (self.len_b, b))]
-                raw_a, raw_b = a.tobytes(), b.tobytes()
-                for c, p, q, r, s in zip(joined, cuts[0], cuts[0][1:], cuts[1], cuts[1][1:]):
-                    out[c] = raw_a[p:q], raw_b[r:s], True
-        for c in chunks:
-            if c not in out:
-                out[c] = self._alone(c)
-        return out
+        n = np.zeros((2, len(chunks)), np.int64)
+        same = np.ones(len(chunks), bool)
+        ids: tuple[list, list] = ([], [])
+        lengths = np.fromiter(map(len, chunks), np.int64, len(chunks)) + 1
+        alone = np.array([not c or c[0].isspace() or c[-1].isspace() for c in chunks], bool) | (not self.split)
+        calls = np.cumsum(lengths) // self.call_chars
+        first = np.flatnonzero(np.r_[True, (calls[1:] != calls[:-1]) | alone[1:] | alone[:-1]][:len(chunks)]).tolist()
+        for at, end in zip(first, [*first[1:], len(chunks)]):
+            if end - at > 1:
+                text = " ".join(chunks[at:end])
+                a, b, spelled = self._encode(text)
+                if spelled:
+                    ends = np.cumsum(lengths[at:end] if text.isascii() else [len(c.encode()) + 1 for c in chunks[at:end]])
+                    for side, sizes, x in ((0, self.len_a, a), (1, self.len_b, b)):
+                        n[side, at:end] = np.diff(np.searchsorted(np.cumsum(sizes[x]), ends) + 1, prepend=0)
+                        ids[side].append(x)
+                    continue
+            for k in range(at, end):
+                *found, same[k] = self._encode(chunks[k])
+                for side, x in enumerate(found):
+                    n[side, k] = len(x)
+                    ids[side].append(x)
+        a, b = (np.concatenate([np.zeros(0, "<u4"), *x]) for x in ids)
+        return a, b, n[0], n[1], same
 
     def ids(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids of space + text by A and of text by B; None where they do not spell space + text."""
-        memo, most = self.memo, self.bounds.memo_chars
-        parts = self.chunks(text)
-        found = [*map(memo.get, parts)]
-        if None in found:
-            missing = [k for k, x in enumerate(found) if x is None]
-            new = self._encode_all([*dict.fromkeys([parts[k] for k in missing])], (parts[0], parts[-1]))
-            for k in missing:
-                found[k] = new[parts[k]]
-            if len(memo) > self.bounds.memo:
-                memo.clear()
-            for c in self.repeats.of([c for c in new if len(c) <= most]):
-                memo[c] = new[c]
-        raw_a, raw_b, same = zip(*found)
-        a, b = (np.frombuffer(b"".join(raw), "<u4") for raw in (raw_a, raw_b))
-        if not all(same):  # a chunk that spells something else: compare the whole text
+        a, b, _, _, same = self.encode(self.chunks(text))
+        if not same.all():  # a chunk that spells something else: compare the whole text
             raw = f" {text}".encode()
             if not raw == b"".join([self.bytes_a[i] for i in a]) == b"".join([self.bytes_b[i] for i in b]):
                 return None
         return a, b
 
 
+class Aligned(NamedTuple):
+    """Alignments of some chunks or texts."""
+
+    #: Four rows: A tokens, B tokens, groups (-1 where the ids spell something else) and links of each.
+    figures: np.ndarray
+    #: Their groups as text, each with a semicolon after it.
+    texts: list[str]
+    #: Where each one's pairs begin in ``pairs``, with the end; a pair stands there once per link.
+    starts: np.ndarray
+    pairs: np.ndarray
+    #: Of some, by number, the pairs of their large groups, with links per pair.
+    large: dict[int, list[tuple[np.ndarray, np.ndarray]]]
+
+
 def _groups(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of each A and each B token, whether it ends a group: whether both have an end there."""
     seen = np.zeros(int(ends_a[-1]) + 1, np.int8)
@@ -183,118 +195,178 @@ def _groups(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndar
     return seen[ends_a] == 3, seen[ends_b] == 3
 
 
-class Windows:
-    """A worker's memo of window alignments, with their groups and links in flat arrays."""
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of some ranges, one range after the other."""
+    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+
+
+class Part(NamedTuple):
+    """Alignments of some documents: the numbers in ``made`` of each one's chunks lie between its ``ends``."""
+
+    made: Aligned
+    numbers: np.ndarray
+    ends: np.ndarray
+
+
+class Chunks:
+    """A worker's memo of chunk alignments. A pair of ids is one number: A's, then ``bits`` bits for B's."""
+
+    #: Characters of chunks that are aligned in one go.
+    align_chars = 1 << 18
+    #: Links of a group beyond which its pairs are kept once each, with their number.
+    large_links = 1 << 12
 
     def __init__(self, encoders: Encoders):
-        self.bounds = encoders.bounds
+        self.encoders, self.bounds = encoders, encoders.bounds
         self.len_a, self.len_b = encoders.len_a, encoders.len_b
-        self.marked_a, self.marked_b = (np.array([x[:1] == b" " for x in t]) for t in (encoders.bytes_a, encoders.bytes_b))
+        self.bits = (len(self.len_b) - 1).bit_length()
+        if (len(self.len_a) - 1).bit_length() + self.bits > 47:
+            raise ValueError("vocabularies with more than 2^47 pairs of ids")
         # Ids as text with what follows: a comma inside a side, a bar after side A, a semicolon after side B.
-        self.text_a, self.text_b = (np.array([f"{i}{end}" for end in f",{last}" for i in range(len(t))], object)
-                                    for t, last in ((encoders.bytes_a, "|"), (encoders.bytes_b, ";")))
+        self.text_a, self.text_b = (np.array([f"{i}{end}" for end in f",{last}" for i in range(n)], object)
+                                    for n, last in ((len(self.len_a), "|"), (len(self.len_b), ";")))
         self.repeats = Repeats()
         self._start()
 
     def _start(self) -> None:
-        self.memo: dict[tuple[bytes, bytes], int] = {}
-        self.texts: list[str] = []
-        self.n_groups, self.starts, self.codes, self.links = array("q"), array("q", [0]), array("q"), array("q")
+        self.memo: defaultdict[str, int] = defaultdict()
+        self.made = Aligned(np.zeros((4, 0), np.int64), [], np.zeros(1, np.int64), np.zeros(0, np.int64), {})
 
-    def _forget(self, n: int) -> None:
-        """Drops the windows from number ``n`` on."""
-        del self.texts[n:], self.n_groups[n:], self.starts[n + 1:]
-        del self.codes[self.starts[n]:], self.links[self.starts[n]:]
+    def _align(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, same: np.ndarray) -> Aligned:
+        """Aligns chunks, given their ids in a row.
 
-    def _add(self, keys: list[tuple[bytes, bytes]]) -> None:
-        """Aligns windows and stores them under the next numbers.
-
-        Every window ends in an end of both, so the windows' ids joined have
-        the groups of the windows in a row.
+        Every chunk ends in an end of both, so the chunks' ids joined have the
+        groups of the chunks in a row. Those not ``same`` have no groups.
         """
-        a, b = (np.frombuffer(b"".join([k[x] for k in keys]), "<u4") for x in (0, 1))
+        if not same.all():
+            a, b = a[np.repeat(same, n_a)], b[np.repeat(same, n_b)]
+            n_a, n_b = np.where(same, n_a, 0), np.where(same, n_b, 0)
+        figures = np.array([n_a, n_b, np.where(same, 0, -1), np.zeros(len(same))], np.int64)
+        if not len(a):
+            return Aligned(figures, [""] * len(same), np.zeros(len(same) + 1, np.int64), np.zeros(0, np.int64), {})
         last_a, last_b = _groups(np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b]))
         end_a, end_b = np.flatnonzero(last_a) + 1, np.flatnonzero(last_b) + 1
-        n_a, n_b = np.diff(end_a, prepend=0), np.diff(end_b, prepend=0)
-        of_window = np.searchsorted(end_a, np.cumsum([len(k[0]) // 4 for k in keys])) + 1  # groups up to each window's end
-        # Links, as (code, times): single ones from all small groups at once, large groups by distinct ids.
-        n_links = n_a * n_b
-        large = np.flatnonzero(n_links > 4096)
-        small = np.where(n_links > 4096, 0, n_links)
-        group = np.repeat(np.arange(len(n_a)), small)
-        k = np.arange(len(group)) - np.repeat(np.cumsum(small) - small, small)
-        codes = (a[(end_a - n_a)[group] + k // n_b[group]].astype(np.int64) << 32) | b[(end_b - n_b)[group] + k % n_b[group]]
-        links = np.ones(len(codes), np.int64)
-        if len(large):
-            parts = [(codes, links, group)]
-            for g in large:
-                (x, n), (y, m) = (np.unique(t[e - c:e], return_counts=True)
-                                  for t, e, c in ((a, end_a[g], n_a[g]), (b, end_b[g], n_b[g])))
-                pairs = (x.astype(np.int64)[:, None] << 32 | y).ravel()
-                parts.append((pairs, np.outer(n, m).ravel(), np.full(len(pairs), g)))
-            codes, links, group = (np.concatenate(p) for p in zip(*parts))
-            order = np.argsort(group, kind="stable")
-            codes, links, group = codes[order], links[order], group[order]
-        stored = len(self.codes)
-        self.codes.frombytes(codes.tobytes())
-        self.links.frombytes(links.tobytes())
-        self.starts.frombytes((stored + np.searchsorted(group, of_window)).tobytes())
-        self.n_groups.frombytes(np.diff(of_window, prepend=0).tobytes())
-        # Text: the sides in turn.
-        place = np.concatenate([2 * (np.cumsum(last_a) - last_a), 2 * (np.cumsum(last_b) - last_b) + 1])
-        pieces = np.concatenate([self.text_a[a + last_a * len(self.len_a)], self.text_b[b + last_b * len(self.len_b)]])
-        pieces, at = pieces[np.argsort(place, kind="stable")].tolist(), 0
-        for raw_a, raw_b in keys:
-            end = at + (len(raw_a) + len(raw_b)) // 4
-            self.texts.append("".join(pieces[at:end]))
-            at = end
-
-    def document(self, a: np.ndarray, b: np.ndarray) -> tuple[str, int, np.ndarray, np.ndarray]:
-        """(groups as text, their number, distinct pair codes in order, links per code) of a document's ids."""
-        if len(self.texts) > self.bounds.memo:
+        size_a, size_b = np.diff(end_a, prepend=0), np.diff(end_b, prepend=0)
+        # Groups up to each chunk's end.
+        upto = np.r_[0, np.searchsorted(end_a, np.cumsum(n_a), side="right")]
+        links = size_a * size_b
+        summed = np.r_[0, np.cumsum(links)][upto]
+        figures[2] += np.diff(upto)
+        figures[3] = np.diff(summed)
+        # Pairs of all small groups at once, of large groups by distinct ids.
+        is_large = links > self.large_links
+        small = np.where(is_large, 0, links)
+        k = _ranges(np.zeros_like(small), small)
+        per_b = np.repeat(size_b, small)
+        of_a = k // per_b
+        x = a[np.repeat(end_a - size_a, small) + of_a].astype(np.int64)
+        pairs = (x << self.bits) + b[np.repeat(end_b - size_b, small) + k - of_a * per_b]
+        large: dict[int, list] = {}
+        for g in np.flatnonzero(is_large):
+            (x, n), (y, m) = (np.unique(t[e - c:e], return_counts=True)
+                              for t, e, c in ((a, end_a[g], size_a[g]), (b, end_b[g], size_b[g])))
+            found = ((x.astype(np.int64)[:, None] << self.bits) + y).ravel()
+            large.setdefault(int(np.searchsorted(upto, g, side="right")) - 1, []).append((found, np.outer(n, m).ravel()))
+        # Text: of each group, side A and side B.
+        pieces = np.empty(len(a) + len(b), object)
+        pieces[np.arange(len(a)) + np.repeat(end_b - size_b, size_a)] = self.text_a[a + last_a * len(self.len_a)]
+        pieces[np.arange(len(b)) + np.repeat(end_a, size_b)] = self.text_b[b + last_b * len(self.len_b)]
+        pieces, cuts = pieces.tolist(), [0, *np.cumsum(n_a + n_b).tolist()]
+        texts = ["".join(pieces[p:q]) for p, q in zip(cuts, cuts[1:])]
+        return Aligned(figures, texts, np.r_[0, np.cumsum(small)][upto], pairs, large)
+
+    def _add(self, new: list[Aligned]) -> None:
+        """Stores alignments under the next numbers."""
+        all_made = [self.made, *new]
+        numbers = np.cumsum([len(x.texts) for x in all_made])
+        starts, first = [self.made.starts], self.made.starts[-1]
+        for x in new:
+            starts.append(first + x.starts[1:])
+            first = starts[-1][-1]
+        large = dict(self.made.large)
+        for x, n in zip(new, numbers.tolist()):
+            large |= {n + k: found for k, found in x.large.items()}
+        self.made = Aligned(np.concatenate([x.figures for x in all_made], 1), [*chain.from_iterable(x.texts for x in all_made)],
+                            np.concatenate(starts), np.concatenate([x.pairs for x in all_made]), large)
+
+    def _keep(self, n: int, chunks: list[str], seen: np.ndarray) -> None:
+        """Of the ``chunks`` with the numbers from ``n`` on, keeps those worth it, given how often each was seen."""
+        made = self.made
+        fits = np.fromiter(map(len, chunks), np.int64, len(chunks)) <= self.bounds.memo_chars
+        fits &= made.figures[:2, n:n + len(chunks)].sum(0) <= self.bounds.memo_tokens
+        fits[[k - n for k in made.large if n <= k < n + len(chunks)]] = False
+        once = self.repeats.of([chunks[k] for k in np.flatnonzero(fits & (seen == 1)).tolist()])
+        seen[[self.memo[c] - n for c in once]] += 1
+        kept = np.flatnonzero(fits & (seen > 1)).tolist()
+        for c in chunks:
+            del self.memo[c]
+        self.memo.update(zip([chunks[k] for k in kept], range(n, n + len(kept))))
+        at = np.array(kept, np.int64) + n
+        sizes = made.starts[at + 1] - made.starts[at]
+        first = made.starts[n]
+        self.made = Aligned(np.concatenate([made.figures[:, :n], made.figures[:, at]], 1),
+                            made.texts[:n] + [made.texts[k] for k in at.tolist()],
+                            np.concatenate([made.starts[:n + 1], first + np.cumsum(sizes)]),
+                            np.concatenate([made.pairs[:first], made.pairs[_ranges(made.starts[at], sizes)]]),
+                            {k: x for k, x in made.large.items() if k < n})
+
+    def documents(self, texts: list[str | None]) -> Part:
+        """Aligns documents together; a chunk that several of them hold is encoded and aligned once."""
+        if len(self.made.texts) > self.bounds.memo:
             self._start()
-        ends_a, ends_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
-        before_a, before_b = np.flatnonzero(self.marked_a[a[1:]]), np.flatnonzero(self.marked_b[b[1:]])
-        # Anchors: verified shared ends before space-marked tokens. The text's end is one too.
-        ends_a, ends_b = ends_a[np.append(before_a, -1)], ends_b[np.append(before_b, -1)]
-        anchor_a, anchor_b = _groups(ends_a, ends_b)
-        at_a = [0, *(4 * before_a[anchor_a[:-1]] + 4).tolist(), 4 * len(a)]
-        at_b = [0, *(4 * before_b[anchor_b[:-1]] + 4).tolist(), 4 * len(b)]
-        raw_a, raw_b, memo = a.tobytes(), b.tobytes(), self.memo
-        keys = [(raw_a[p:q], raw_b[r:s]) for p, q, r, s in zip(at_a, at_a[1:], at_b, at_b[1:])]
-        numbers, kept = [*map(memo.get, keys)], len(self.texts)
-        if None in numbers:
-            most = 4 * self.bounds.memo_tokens
-            missing = [k for k, n in enumerate(numbers) if n is None]
-            new = dict.fromkeys([keys[k] for k in missing])
-            keep = self.repeats.of([k for k in new if len(k[0]) + len(k[1]) <= most])
-            fresh = dict.fromkeys(keep)  # those to be kept come first
-            fresh.update(new)
-            fresh = dict(zip(fresh, range(kept, kept + len(fresh))))
-            self._add([*fresh])
-            for k in missing:
-                numbers[k] = fresh[keys[k]]
-            kept += len(keep)
-            for k in keep:
-                memo[k] = fresh[k]
-        text = "".join([self.texts[n] for n in numbers])[:-1]
-        out = (text, *self._links(np.array(numbers)))
-        self._forget(kept)
-        return out
-
-    def _links(self, numbers: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
-        """(groups, distinct pair codes in order, links per code) of some windows."""
-        distinct, times = np.unique(numbers, return_counts=True)
-        starts = np.frombuffer(self.starts, np.int64)
-        n_groups = int((np.frombuffer(self.n_groups, np.int64)[distinct] * times).sum())
-        sizes = starts[distinct + 1] - starts[distinct]
-        at = np.repeat(starts[distinct] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-        codes = np.frombuffer(self.codes, np.int64)[at]
-        links = np.frombuffer(self.links, np.int64)[at] * np.repeat(times, sizes)
-        order = np.argsort(codes, kind="stable")
-        codes, links = codes[order], links[order]
-        first = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
-        return n_groups, codes[first], np.add.reduceat(links, first)
+        parts = [self.encoders.chunks(t) if t else [] for t in texts]
+        words = [*chain.from_iterable(parts)]
+        ends = np.cumsum([len(p) for p in parts])
+        memo, n = self.memo, len(self.made.texts)
+        memo.default_factory = count(n).__next__  # new chunks get the next numbers
+        numbers = np.fromiter(map(memo.__getitem__, words), np.int64, len(words))
+        new = [*islice(reversed(memo), max(0, int(numbers.max(initial=0)) + 1 - n))][::-1]
+        if new:
+            # Aligned by stretches, as working arrays are many times the ids.
+            sizes = np.cumsum(np.fromiter(map(len, new), np.int64, len(new))) // self.align_chars
+            cuts = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), len(new)]
+            self._add([self._align(*self.encoders.encode(new[p:q])) for p, q in zip(cuts, cuts[1:])])
+        seen = np.bincount(numbers, minlength=n + len(new))[n:]
+        odd = np.flatnonzero(self.made.figures[2, numbers] < 0)
+        if len(odd):  # texts with a chunk that spells something else are aligned whole
+            by_doc = np.split(numbers, ends[:-1])
+            for d in np.unique(np.searchsorted(ends, odd, side="right")):
+                ids = self.encoders.ids(texts[d])
+                by_doc[d] = np.zeros(0, np.int64)
+                if ids is not None:
+                    by_doc[d] = np.array([len(self.made.texts)])
+                    self._add([self._align(*ids, *(np.array([len(x)]) for x in ids), np.array([True]))])
+            numbers, ends = np.concatenate(by_doc), np.cumsum([len(x) for x in by_doc])
+        part = Part(self.made, numbers, ends)
+        self._keep(n, new, seen)
+        return part
+
+
+def _pairs_of(part: Part, lo: int, hi: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(pairs with the document's number from ``lo`` on in the last 16 bits, in order, and links of each) of some documents."""
+    first, last = (int(part.ends[d - 1]) if d else 0 for d in (lo, hi))
+    numbers = part.numbers[first:last]
+    docs = np.repeat(np.arange(hi - lo), np.diff(part.ends[lo:hi], prepend=first))
+    sizes = part.made.starts[numbers + 1] - part.made.starts[numbers]
+    summed, found, at = np.cumsum(sizes), [], 0
+    while at < len(numbers):  # all at once, but for a very long document
+        end = max(at + 1, int(np.searchsorted(summed, (summed[at - 1] if at else 0) + 2 * most)))
+        n, some = sizes[at:end], numbers[at:end]
+        keys = (part.made.pairs[_ranges(part.made.starts[some], n)] << 16) + np.repeat(docs[at:end], n)
+        keys.sort()
+        start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+        found.append((keys[start], np.diff(start, append=len(keys))))
+        at = end
+    if part.made.large:
+        for at in np.flatnonzero(np.isin(numbers, [*part.made.large])):
+            found += [((pairs << 16) + docs[at], links) for pairs, links in part.made.large[int(numbers[at])]]
+    if len(found) == 1:
+        return found[0]
+    keys, links = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (zip(*found) if found else ((), ())))
+    order = np.argsort(keys, kind="stable")
+    keys, links = keys[order], links[order]
+    start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[start], np.add.reduceat(links, start) if len(keys) else links
 
 
 def _shard(a, b, shards: int):
@@ -302,15 +374,18 @@ def _shard(a, b, shards: int):
     return (a * 40_503 + b * 30_011) % 1_000_003 % shards
 
 
-def _postings(block: int, per_doc: list[tuple[int, np.ndarray, np.ndarray]], shards: int,
-              row_pairs: int) -> pa.RecordBatch:
-    """A block's pairs as rows of one shard each, sorted by code."""
-    codes = np.concatenate([c for _, c, _ in per_doc])
-    docs = np.repeat(np.array([d for d, _, _ in per_doc], np.int32), [len(c) for _, c, _ in per_doc])
-    links = np.concatenate([n for _, _, n in per_doc])
-    shard = _shard(codes >> 32, codes & 0xFFFFFFFF, shards).astype(np.int32)
-    order = np.lexsort((codes, shard))
-    codes, docs, links, shard = codes[order], docs[order], links[order], shard[order]
+def _postings(block: int, keys: np.ndarray, links: np.ndarray, bits: int, shards: int, row_pairs: int) -> pa.RecordBatch:
+    """A block's pairs (see ``_pairs_of``) as rows of one shard each, sorted by code."""
+    pairs = keys >> 16
+    start = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]]))
+    sizes, pairs = np.diff(start, append=len(keys)), pairs[start]
+    a, b = pairs >> bits, pairs & ((1 << bits) - 1)
+    shard = _shard(a, b, shards).astype(np.int32)
+    order = np.argsort(shard, kind="stable")
+    codes, shard, sizes = (a << 32 | b)[order], shard[order], sizes[order]
+    at = _ranges(start[order], sizes)
+    docs, links = (keys[at] & 0xFFFF).astype(np.int32), links[at]
+    codes, shard = np.repeat(codes, sizes), np.repeat(shard, sizes)
     n, new = len(codes), np.r_[True, shard[1:] != shard[:-1]]
     within = np.arange(n) - np.maximum.accumulate(np.where(new, np.arange(n), 0))
     row = within % row_pairs == 0
@@ -326,6 +401,21 @@ def _postings(block: int, per_doc: list[tuple[int, np.ndarray, np.ndarray]], sha
     return _batch(len(rows), lists)
 
 
+def _parts(batches: Iterator[pa.RecordBatch], bounds: Bounds) -> Iterator[tuple[list, list]]:
+    """(ids, texts) of rows in turn, as many as the bounds allow at once."""
+    ids, texts, size = [], [], 0
+    for batch in batches:
+        for d, t in zip(*(c.to_pylist() for c in batch.columns)):
+            ids.append(d)
+            texts.append(t)
+            size += len((t or "").encode())
+            if size >= bounds.part_bytes or len(ids) >= bounds.block_docs:
+                yield ids, texts
+                ids, texts, size = [], [], 0
+    if ids:
+        yield ids, texts
+
+
 def _batch(n: int, columns: dict[str, pa.Array]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else pa.nulls(n, f.type) for f in _SCHEMA],
                                       schema=_SCHEMA)
@@ -338,30 +428,30 @@ def encoded(docs: DataFrame, shards: int, path_a: str | None = None, path_b: str
     path_a, path_b = path_a or vocabulary("byte_bpe_50k.tiktoken"), path_b or vocabulary("piece_bpe_32k.model")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoders = Encoders(path_a, path_b, bounds)
-        windows = Windows(encoders)
-        block, held, n_pairs, n_docs = TaskContext.get().partitionId() << 32, [], 0, 0
-        for batch in batches:
-            rows: list[tuple] = []
-            for d, t in zip(*(c.to_pylist() for c in batch.columns)):
-                if n_pairs >= bounds.block_pairs or n_docs >= bounds.block_docs:
-                    if held:
-                        yield _postings(block, held, shards, bounds.row_pairs)
-                    block, held, n_pairs, n_docs = block + 1, [], 0, 0
-                ids = encoders.ids(t) if t else None
-                if ids is None:
-                    rows.append((block, n_docs, d, 0, 0, 0, 0, "", "" if with_groups else None))
-                else:
-                    groups, n_groups, codes, links = windows.document(*ids)
-                    held.append((n_docs, codes, links))
-                    n_pairs += len(codes)
-                    rows.append((block, n_docs, d, len(ids[0]), len(ids[1]), n_groups, int(links.sum()),
-                                 hashlib.sha256(groups.encode()).hexdigest(), groups if with_groups else None))
-                n_docs += 1
-            if rows:
-                yield _batch(len(rows), {f.name: pa.array(c, f.type) for f, c in zip(_SCHEMA, zip(*rows))})
-        if held:
-            yield _postings(block, held, shards, bounds.row_pairs)
+        chunks = Chunks(Encoders(path_a, path_b, bounds))
+        block = TaskContext.get().partitionId() << 32
+        for ids, texts in _parts(batches, bounds):
+            part = chunks.documents(texts)
+            del texts
+            made, starts = part.made, np.r_[0, part.ends]
+            figures = [np.diff(np.r_[0, np.cumsum(x[part.numbers])][starts]) for x in made.figures]
+            sizes = np.r_[0, np.cumsum(made.starts[part.numbers + 1] - made.starts[part.numbers])][starts]
+            numbers, cuts, lo = part.numbers.tolist(), starts.tolist(), 0
+            while lo < len(ids):
+                # Documents until one reaches a bound.
+                hi = int(np.searchsorted(sizes, sizes[lo] + bounds.block_pairs))
+                hi = max(lo + 1, min(hi, lo + bounds.block_docs, len(ids)))
+                groups = ["".join([made.texts[k] for k in numbers[p:q]])[:-1] for p, q in zip(cuts[lo:hi], cuts[lo + 1:hi + 1])]
+                shas = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups]
+                columns = {"block": np.full(hi - lo, block), "doc": np.arange(hi - lo, dtype=np.int32), "doc_id": ids[lo:hi],
+                           "groups_sha256": shas, **dict(zip(("n_a", "n_b", "n_groups", "n_links"), (x[lo:hi] for x in figures)))}
+                if with_groups:
+                    columns["groups"] = groups
+                yield _batch(hi - lo, {f.name: pa.array(columns[f.name], f.type) for f in _SCHEMA if f.name in columns})
+                keys, links = _pairs_of(part, lo, hi, bounds.block_pairs)
+                if len(keys):
+                    yield _postings(block, keys, links, chunks.bits, shards, bounds.row_pairs)
+                block, lo = block + 1, hi
 
     return (docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
             .mapInArrow(run, _DDL))

@@ -125,3 +125,61 @@ def encoders(made=[]):
     if not made:
         made.append(token_alignment.Encoders(vocabulary("byte_bpe_50k.tiktoken"), vocabulary("piece_bpe_32k.model")))
     return made[0]
+
+
+def test_a_chunk_of_many_documents_is_encoded_once():
+    """The tokenizers must not be given every document's words anew."""
+    words = [f"Word{chr(97 + k % 26)}{chr(97 + k // 26)}{'ing' * (k % 4)}," for k in range(300)]
+    texts = [" ".join(words[k % 7::1 + k % 3]) for k in range(60)]
+    made = token_alignment.Encoders(vocabulary("byte_bpe_50k.tiktoken"), vocabulary("piece_bpe_32k.model"))
+    given_chars = [0, 0]
+
+    def counted(side, encode):
+        def run(text):
+            given_chars[side] += len(text)
+            return encode(text)
+        return run
+
+    made.of_a, made.of_b = counted(0, made.of_a), counted(1, made.of_b)
+    chunks, once = token_alignment.Chunks(made), sum(len(w) + 2 for w in words)
+    chunks.documents(texts)
+    assert max(given_chars) <= once < sum(map(len, texts)) / 20
+    chunks.documents(texts)  # remembered
+    assert max(given_chars) <= once
+
+
+@pytest.mark.parametrize("limits", [(), (5, 4, 3, 20, 3, 4, 10)])
+@pytest.mark.parametrize("large", [1, 3, 1 << 12])
+def test_parts_of_documents_against_brute_force(whole, monkeypatch, limits, large):
+    monkeypatch.setattr(token_alignment.Encoders, "call_chars", 30 if limits else 1 << 12)
+    monkeypatch.setattr(token_alignment.Chunks, "align_chars", 25 if limits else 1 << 18)
+    monkeypatch.setattr(token_alignment.Chunks, "large_links", large)
+    bounds = token_alignment.Bounds(*limits)
+    chunks = token_alignment.Chunks(token_alignment.Encoders(vocabulary("byte_bpe_50k.tiktoken"),
+                                                             vocabulary("piece_bpe_32k.model"), bounds))
+    texts = [*ODD, "one two, one", "a▁b one two, one", "x" * 90, None, "two, " * 40 + "one", " two, one", "one two, "]
+    for some in (texts, texts[::-1], ["one"], [None, ""], texts[5:9] * 2):
+        part = chunks.documents(some)
+        made, starts = part.made, [0, *part.ends.tolist()]
+        for lo, hi in [(k, k + 1) for k in range(len(some))] + [(0, len(some)), (1, len(some))]:
+            keys, links = token_alignment._pairs_of(part, lo, hi, bounds.block_pairs)
+            want = Counter((d, x, y) for d, t in enumerate(some[lo:hi]) for a, b in groups_of(t, whole) for x in a for y in b)
+            mask = (1 << chunks.bits) - 1
+            got = [(k & 0xFFFF, k >> 16 >> chunks.bits, k >> 16 & mask) for k in keys.tolist()]
+            assert len(set(got)) == len(got) and dict(zip(got, links.tolist())) == want
+        for d, t in enumerate(some):
+            numbers, groups = part.numbers[starts[d]:starts[d + 1]], groups_of(t, whole)
+            assert "".join(made.texts[k] for k in numbers)[:-1] == ";".join(
+                f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in groups)
+            assert made.figures[:, numbers].sum(1).tolist() == [
+                sum(len(a) for a, _ in groups), sum(len(b) for _, b in groups), len(groups),
+                sum(len(a) * len(b) for a, b in groups)]
+
+
+@pytest.mark.parametrize("part_bytes", [1, 200, 1 << 22])
+def test_parts_do_not_change_results(spark, whole, part_bytes):
+    texts = [*ODD, "the same words the same", "the same words the same"] * 2
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    bounds = token_alignment.Bounds(part_bytes=part_bytes, block_docs=11)
+    got = {r.doc_id: tuple(r[c] for c in COLS) for r in token_alignment.align(df, shards=3, bounds=bounds).collect()}
+    assert [got[k] for k in range(len(texts))] == brute(texts, whole)
