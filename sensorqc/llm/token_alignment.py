@@ -34,8 +34,8 @@ space + text (a text that holds U+2581, say), have no tokens: zeros and an
 empty ``groups_sha256``. Repeated rows and clashing or null ids are documents of
 their own. Special tokens' strings are plain text. Very long texts are
 processed whole; chunks are remembered from the second time on, those over 64
-tokens never. A text with a chunk that does not spell itself is encoded and
-compared whole. An empty table gives no rows; other columns do not matter.
+tokens never. A text with a chunk that does not spell itself is compared
+whole. An empty table gives no rows; other columns do not matter.
 """
 
 from __future__ import annotations
@@ -84,7 +84,7 @@ class Bounds(NamedTuple):
     #: Entries of a posting row.
     row_pairs: int = 1 << 10
     #: Bytes of the texts taken together; a text is not split.
-    part_bytes: int = 1 << 22
+    part_bytes: int = 1 << 21
 
 
 class Repeats:
@@ -123,6 +123,8 @@ class Encoders:
         self.split = not any(b" " in piece.lstrip(b" ") for piece in self.bytes_b)
         # The space comes first in the pattern, which is searched for faster than a condition.
         self.chunks = re.compile(r" (?<=\S )(?=\S)").split if self.split else lambda text: [text]
+        #: What A and B spell for the chunks encoded since it was cleared that they do not both spell as they are.
+        self.odd: dict[str, tuple[bytes, bytes]] = {}
 
     def _encode(self, text: str) -> tuple[np.ndarray, np.ndarray, bool]:
         """Ids by A and by B, and whether both spell space + text."""
@@ -136,13 +138,14 @@ class Encoders:
 
         Most chunks are encoded by calls over many of them with spaces between.
         Only a text's first and last chunk can be empty or begin or end in white
-        space; these are encoded alone.
+        space; these are encoded alone, as are those with U+2581, which B gives
+        back as a space.
         """
         n = np.zeros((2, len(chunks)), np.int64)
         same = np.ones(len(chunks), bool)
         ids: tuple[list, list] = ([], [])
         lengths = np.fromiter(map(len, chunks), np.int64, len(chunks)) + 1
-        alone = np.array([not c or c[0].isspace() or c[-1].isspace() for c in chunks], bool) | (not self.split)
+        alone = np.array([not c or c[0].isspace() or c[-1].isspace() or "▁" in c for c in chunks], bool) | (not self.split)
         calls = np.cumsum(lengths) // self.call_chars
         first = np.flatnonzero(np.r_[True, (calls[1:] != calls[:-1]) | alone[1:] | alone[:-1]][:len(chunks)]).tolist()
         for at, end in zip(first, [*first[1:], len(chunks)]):
@@ -157,19 +160,25 @@ class Encoders:
                     continue
             for k in range(at, end):
                 *found, same[k] = self._encode(chunks[k])
+                if not same[k]:
+                    self.odd[chunks[k]] = tuple(b"".join([t[i] for i in x]) for t, x in zip((self.bytes_a, self.bytes_b), found))
                 for side, x in enumerate(found):
                     n[side, k] = len(x)
                     ids[side].append(x)
         a, b = (np.concatenate([np.zeros(0, "<u4"), *x]) for x in ids)
         return a, b, n[0], n[1], same
 
+    def spelled(self, parts: list[str]) -> bool:
+        """Whether the ids of a text's chunks, some of them odd, together spell space + text."""
+        raw = "".join([f" {c}" for c in parts]).encode()
+        return all(raw == b"".join([self.odd[c][side] if c in self.odd else f" {c}".encode() for c in parts]) for side in (0, 1))
+
     def ids(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids of space + text by A and of text by B; None where they do not spell space + text."""
-        a, b, _, _, same = self.encode(self.chunks(text))
-        if not same.all():  # a chunk that spells something else: compare the whole text
-            raw = f" {text}".encode()
-            if not raw == b"".join([self.bytes_a[i] for i in a]) == b"".join([self.bytes_b[i] for i in b]):
-                return None
+        parts = self.chunks(text)
+        a, b, _, _, same = self.encode(parts)
+        if not same.all() and not self.spelled(parts):
+            return None
         return a, b
 
 
@@ -293,7 +302,8 @@ class Chunks:
         """Of the ``chunks`` with the numbers from ``n`` on, keeps those worth it, given how often each was seen."""
         made = self.made
         fits = np.fromiter(map(len, chunks), np.int64, len(chunks)) <= self.bounds.memo_chars
-        fits &= made.figures[:2, n:n + len(chunks)].sum(0) <= self.bounds.memo_tokens
+        figures = made.figures[:, n:n + len(chunks)]
+        fits &= (figures[:2].sum(0) <= self.bounds.memo_tokens) & (figures[2] > 0)
         fits[[k - n for k in made.large if n <= k < n + len(chunks)]] = False
         once = self.repeats.of([chunks[k] for k in np.flatnonzero(fits & (seen == 1)).tolist()])
         seen[[self.memo[c] - n for c in once]] += 1
@@ -318,6 +328,7 @@ class Chunks:
         words = [*chain.from_iterable(parts)]
         ends = np.cumsum([len(p) for p in parts])
         memo, n = self.memo, len(self.made.texts)
+        self.encoders.odd.clear()
         memo.default_factory = count(n).__next__  # new chunks get the next numbers
         numbers = np.fromiter(map(memo.__getitem__, words), np.int64, len(words))
         new = [*islice(reversed(memo), max(0, int(numbers.max(initial=0)) + 1 - n))][::-1]
@@ -328,12 +339,12 @@ class Chunks:
             self._add([self._align(*self.encoders.encode(new[p:q])) for p, q in zip(cuts, cuts[1:])])
         seen = np.bincount(numbers, minlength=n + len(new))[n:]
         odd = np.flatnonzero(self.made.figures[2, numbers] < 0)
-        if len(odd):  # texts with a chunk that spells something else are aligned whole
+        if len(odd):  # texts with a chunk that spells something else
             by_doc = np.split(numbers, ends[:-1])
             for d in np.unique(np.searchsorted(ends, odd, side="right")):
-                ids = self.encoders.ids(texts[d])
                 by_doc[d] = np.zeros(0, np.int64)
-                if ids is not None:
+                if self.encoders.spelled(parts[d]):
+                    ids = self.encoders.ids(texts[d])
                     by_doc[d] = np.array([len(self.made.texts)])
                     self._add([self._align(*ids, *(np.array([len(x)]) for x in ids), np.array([True]))])
             numbers, ends = np.concatenate(by_doc), np.cumsum([len(x) for x in by_doc])
